@@ -1,9 +1,8 @@
 """Column functions for text.
 
-All are native expressions (they stay inside whole-stage codegen) except
-:func:`fold_unicode`, an Arrow pandas UDF for the one step Spark lacks:
-Unicode NFKD decomposition + casefold.  Callers apply it only to short
-candidate lines, never to whole corpora.
+All are native expressions.  Spark has no Unicode NFKD; :func:`fold_unicode`
+replaces it with a character table derived from Python's ``unicodedata`` by
+rule (the pandas-UDF original, :func:`fold_unicode_udf`, checks it in tests).
 """
 
 from __future__ import annotations
@@ -34,6 +33,15 @@ IMAGE_RE = r"!\[[^\]]*\]\([^)]*\)"
 LETTER_DIGIT_RE = r"(?<=[a-z])(?=[0-9])|(?<=[0-9])(?=[a-z])"
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a one-element ``transform``).
+
+    Column helpers that use an input several times would otherwise copy its
+    whole expression tree each time, and nested helpers grow exponentially.
+    """
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def _map_literal(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
@@ -45,31 +53,77 @@ def strip_markdown(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def _fold_char(ch: str) -> str:
+    """The rule applied to one character: NFKD, drop combining marks, '&' -> ' and ', casefold."""
+    t = unicodedata.normalize("NFKD", ch)
+    t = "".join(x for x in t if not unicodedata.combining(x))
+    return t.replace("&", " and ").casefold()
+
+
 def _fold(s: pd.Series) -> pd.Series:
-    def one(v):
-        if v is None:
-            return None
-        t = unicodedata.normalize("NFKD", v)
-        t = "".join(ch for ch in t if not unicodedata.combining(ch))
-        return t.replace("&", " and ").casefold()
-    return s.map(one)
+    return s.map(lambda v: None if v is None else "".join(_fold_char(ch) for ch in v))
 
 
 _FOLD_UDF = None
 
 
-def fold_unicode(c: Column) -> Column:
-    """NFKD, drop combining marks, '&' -> 'and', casefold (Arrow batches).
-
-    The UDF object is created on first use on the driver, so importing this
-    module on an executor never touches Spark.
-    """
+def fold_unicode_udf(c: Column) -> Column:
+    """Reference implementation of the fold as an Arrow pandas UDF (used to verify the native table)."""
     global _FOLD_UDF
     if _FOLD_UDF is None:
         _FOLD_UDF = F.pandas_udf(_fold, "string")
     return _FOLD_UDF(c)
 
 
+_FOLD_TABLE = None
+_QUOTES = "'’‘`"
+
+
+def _fold_table():
+    """Built from the rule, once: which non-ASCII characters survive :func:`normalize` and as what.
+
+    Only ``[0-9a-z]`` survives normalisation, so a character either maps to one
+    such letter (``translate``), disappears (combining marks, quotes), expands to
+    several (``ß`` -> ``ss``, ligatures; a map lookup), or becomes a space like
+    any other symbol (left alone).  Basic Multilingual Plane only.
+    """
+    global _FOLD_TABLE
+    if _FOLD_TABLE is None:
+        import re
+
+        src, dst, gone, multi = [], [], [], {}
+        for cp in range(0x80, 0x10000):
+            if 0xD800 <= cp <= 0xDFFF:
+                continue
+            ch = chr(cp)
+            t = "".join(x for x in _fold_char(ch) if x not in _QUOTES)
+            if t == "":
+                gone.append(ch)
+            elif re.search("[0-9a-z]", t):
+                t = re.sub("[^0-9a-z]+", " ", t)
+                if len(t) == 1:
+                    src.append(ch)
+                    dst.append(t)
+                else:
+                    multi[ch] = t
+        _FOLD_TABLE = ("".join(src) + "".join(gone), "".join(dst), multi)
+    return _FOLD_TABLE
+
+
+def fold_unicode(c: Column) -> Column:
+    """NFKD + drop combining marks + '&' -> 'and' + casefold, as far as ``[0-9a-z]`` can tell: native."""
+    src, dst, multi = _fold_table()
+    klass = "[" + "".join(f"\\x{{{ord(k):04x}}}" for k in multi) + "]"
+    mmap = F.create_map(*[F.lit(v) for kv in multi.items() for v in kv])
+
+    def expand(x):
+        spread = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(mmap[ch], ch)), "")
+        return F.when(x.rlike(klass), spread).otherwise(x)
+
+    x = let(F.translate(c, src, dst), expand)
+    return F.lower(F.replace(x, F.lit("&"), F.lit(" and ")))
+
+
 def normalize(c: Column) -> Column:
     """Lower-case alphanumeric words separated by single spaces."""
     c = fold_unicode(strip_markdown(c))
@@ -88,11 +142,15 @@ def ascii_normalize(c: Column) -> Column:
 
 def token_value(tok: Column) -> Column:
     """Value of one normalised number token: digits (<= 3), number word, roman (<= 39)."""
-    roman_tens = F.length(F.regexp_extract(tok, ROMAN_RE, 1)) * 10
-    roman_units = _map_literal(ROMAN_UNITS)[F.regexp_extract(tok, ROMAN_RE, 2)]
-    return (F.when(tok.rlike("^[0-9]+$"), F.when(F.length(tok) <= 3, tok.cast("int")))
-            .when(_map_literal(NUMBER_WORDS)[tok].isNotNull(), _map_literal(NUMBER_WORDS)[tok])
-            .when((tok != "") & tok.rlike(ROMAN_RE), roman_tens + roman_units))
+    def value(t):
+        roman_tens = F.length(F.regexp_extract(t, ROMAN_RE, 1)) * 10
+        roman_units = _map_literal(ROMAN_UNITS)[F.regexp_extract(t, ROMAN_RE, 2)]
+        word = _map_literal(NUMBER_WORDS)[t]
+        return (F.when(t.rlike("^[0-9]+$"), F.when(F.length(t) <= 3, t.cast("int")))
+                .when(word.isNotNull(), word)
+                .when((t != "") & t.rlike(ROMAN_RE), roman_tens + roman_units))
+
+    return let(tok, value)
 
 
 def parse_number(tokens: Column) -> Column:
@@ -100,43 +158,56 @@ def parse_number(tokens: Column) -> Column:
 
     "twenty one" uses two tokens: a tens word followed by a word worth < 10.
     """
-    first = F.get(tokens, 0)
-    second = F.get(tokens, 1)
-    v1 = token_value(F.coalesce(first, F.lit("")))
-    word2 = _map_literal(NUMBER_WORDS)[F.coalesce(second, F.lit(""))]
-    two = first.isin(*TENS_WORDS) & word2.isNotNull() & (word2 < 10)
-    return F.when(v1.isNotNull(), F.struct(
-        F.when(two, v1 + word2).otherwise(v1).alias("value"),
-        F.when(two, F.lit(2)).otherwise(F.lit(1)).alias("used")))
+    def parse(toks):
+        first = F.coalesce(F.get(toks, 0), F.lit(""))
+        word2 = _map_literal(NUMBER_WORDS)[F.coalesce(F.get(toks, 1), F.lit(""))]
+        two = first.isin(*TENS_WORDS) & word2.isNotNull() & (word2 < 10)
+
+        def build(v1):
+            return F.when(v1.isNotNull(), F.struct(
+                F.when(two, v1 + word2).otherwise(v1).alias("value"),
+                F.when(two, F.lit(2)).otherwise(F.lit(1)).alias("used")))
+        return let(token_value(first), build)
+
+    return let(tokens, parse)
 
 
 def strip_number_prefix(norm: Column) -> Column:
     """Drop a leading ``chapter 3`` / ``iv`` / ``twenty one``; struct(rest, value)."""
-    toks = F.filter(F.split(norm, " "), lambda t: t != "")
-    toks = F.when(F.get(toks, 0).isin("chapter", "chap"), F.slice(toks, 2, 1 << 20)).otherwise(toks)
-    p = parse_number(toks)
-    rest = F.when(p.isNull(), F.array_join(toks, " ")).otherwise(
-        F.array_join(F.slice(toks, p["used"] + 1, 1 << 20), " "))
-    return F.struct(rest.alias("rest"), p["value"].alias("value"))
+    def drop_word(t):
+        return F.when(F.get(t, 0).isin("chapter", "chap"), F.slice(t, 2, 1 << 20)).otherwise(t)
+
+    def split_off(toks):
+        def result(p):
+            rest = F.when(p.isNull(), F.array_join(toks, " ")).otherwise(
+                F.array_join(F.slice(toks, F.coalesce(p["used"], F.lit(0)) + 1, 1 << 20), " "))
+            return F.struct(rest.alias("rest"), p["value"].alias("value"))
+        return let(parse_number(toks), result)
+
+    toks = let(F.filter(F.split(norm, " "), lambda t: t != ""), drop_word)
+    return let(toks, split_off)
 
 
 def canonical(norm: Column) -> Column:
     """Spell a leading number as digits: ``chapter two x`` -> ``2 x``."""
-    s = strip_number_prefix(norm)
-    return F.when(s["value"].isNull(), norm).otherwise(
-        F.trim(F.concat_ws(" ", s["value"].cast("string"), s["rest"])))
+    def spell(n):
+        return let(strip_number_prefix(n), lambda s: F.when(s["value"].isNull(), n).otherwise(
+            F.trim(F.concat_ws(" ", s["value"].cast("string"), s["rest"]))))
+    return let(norm, spell)
 
 
 def is_number_marker(norm: Column) -> Column:
     """True for ``chapter 3``, ``iv``, ``twelve``."""
-    s = strip_number_prefix(norm)
-    return F.coalesce((norm != "") & s["value"].isNotNull() & (s["rest"] == ""), F.lit(False))
+    def test(n):
+        return let(strip_number_prefix(n), lambda s: F.coalesce(
+            (n != "") & s["value"].isNotNull() & (s["rest"] == ""), F.lit(False)))
+    return let(norm, test)
 
 
 def is_part_title(norm: Column) -> Column:
     """``part|book|volume|section`` followed by a number token."""
-    tok = F.regexp_extract(norm, r"^(part|book|volume|section)\s+(\S+)", 2)
-    return F.coalesce((tok != "") & token_value(tok).isNotNull(), F.lit(False))
+    return let(F.regexp_extract(norm, r"^(part|book|volume|section)\s+(\S+)", 2),
+               lambda tok: F.coalesce((tok != "") & token_value(tok).isNotNull(), F.lit(False)))
 
 
 def parse_date(c: Column) -> Column:

@@ -109,3 +109,78 @@ F1N_EXTRA_SQL = f"""f1n AS (
   UNION ALL SELECT o_orderkey, o_custkey, 'C', o_totalprice, o_orderdate, o_orderpriority,
          'update_postimage', CAST(3 AS BIGINT), {_sql_ts(3)} FROM orders WHERE o_orderkey = 2
 )"""
+
+
+# --------------------------------------------------------------------- F5
+
+# Book layouts, one per splitting strategy, and the chapter heading lines of each.
+LAYOUTS = ("headings", "chapter_markers", "slides", "backlink_headings", "table_of_contents")
+BOOK_SIZE = 10
+PADDING = 12
+
+
+def _heading_lines(layout: F.Column, n: F.Column) -> F.Column:
+    ns = n.cast("string")
+    title = F.concat(F.lit("Title "), ns)
+    return (F.when(layout == "headings", F.array(F.concat(F.lit("# "), title)))
+            .when(layout == "chapter_markers", F.array(F.concat(F.lit("Chapter "), ns), F.lit(""), title))
+            .when(layout == "slides", F.array(F.concat(F.lit("<!-- Slide number: "), ns, F.lit(" -->")),
+                                              F.concat(F.lit("# "), title)))
+            .when(layout == "backlink_headings", F.array(F.concat(F.lit("["), title, F.lit("](toc.html#c"), ns,
+                                                                  F.lit(")"))))
+            .otherwise(F.array(title)))
+
+
+def f5_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 chapters: every document becomes one chapter of a book of ~10 consecutive documents
+    of its source (the short tail joins the last book); the layout cycles over the strategies."""
+    from strata.operators.relational import position_within
+
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    p = position_within(d, ["source"], "doc_id")
+    books = F.greatest(F.floor(F.col("pos_count") / BOOK_SIZE), F.lit(1))
+    book_no = F.least(F.floor(F.col("pos") / BOOK_SIZE), books - 1)
+    src_num = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).cast("int"), F.lit(0))
+    layout = F.element_at(F.array(*[F.lit(x) for x in LAYOUTS]),
+                          ((src_num + book_no) % len(LAYOUTS) + 1).cast("int"))
+    return p.select("doc_id", "source", "text", book_no.alias("book_no"),
+                    (F.col("pos") - book_no * BOOK_SIZE + 1).cast("int").alias("number"),
+                    layout.alias("layout"),
+                    F.concat(F.col("source"), F.lit("#"), book_no.cast("string")).alias("book_id"))
+
+
+def f5_books(spark: SparkSession, sf_dir: str, chapters: DataFrame | None = None) -> DataFrame:
+    """F5 books: (book_id, layout, text). Each chapter block is its heading lines, the text and
+    12 blank lines; table-of-contents books start with a linked contents list."""
+    ch = chapters if chapters is not None else f5_chapters(spark, sf_dir)
+    block = F.array_join(F.concat(_heading_lines(F.col("layout"), F.col("number")), F.array(F.col("text")),
+                                  F.array_repeat(F.lit(""), PADDING)), "\n")
+    entry = F.concat(F.lit("[Title "), F.col("number").cast("string"), F.lit("](toc.html#c"),
+                     F.col("number").cast("string"), F.lit(")"))
+    books = ch.groupBy("book_id", "layout").agg(
+        F.array_sort(F.collect_list(F.struct("number", block.alias("block"), entry.alias("entry")))).alias("c"))
+    body = F.array_join(F.transform("c", lambda x: x["block"]), "\n")
+    toc = F.concat(F.lit("Contents\n\n"), F.array_join(F.transform("c", lambda x: x["entry"]), "\n"), F.lit("\n\n"))
+    return books.select("book_id", "layout", F.when(F.col("layout") == "table_of_contents", F.concat(toc, body))
+                        .otherwise(body).alias("text"))
+
+
+F5_SQL = """f5c AS (
+  SELECT doc_id, source, text, book_no, CAST(pos - book_no * 10 + 1 AS INTEGER) AS number,
+    (['headings', 'chapter_markers', 'slides', 'backlink_headings', 'table_of_contents'])[
+      CAST((coalesce(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER), 0) + book_no) % 5 + 1 AS INTEGER)] AS layout,
+    source || '#' || CAST(book_no AS VARCHAR) AS book_id
+  FROM (SELECT *, CAST(least(pos // 10, greatest(cnt // 10, 1) - 1) AS BIGINT) AS book_no FROM (
+    SELECT doc_id, source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+           count(*) OVER (PARTITION BY source) AS cnt FROM documents))
+),
+f5h AS (
+  SELECT *, CASE layout WHEN 'headings' THEN 8 + length(CAST(number AS VARCHAR))
+                        WHEN 'backlink_headings' THEN 20 + 2 * length(CAST(number AS VARCHAR)) ELSE 0 END
+            + length(replace(text, chr(10), '')) AS chars
+  FROM f5c
+),
+f5ok AS (
+  SELECT book_id, sum(chars) / count(*) >= 800 OR min(layout) NOT IN ('headings', 'backlink_headings') AS ok
+  FROM f5h GROUP BY book_id
+)"""
