@@ -75,7 +75,7 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame
 
 
 def position_within(df: DataFrame, group: Sequence[str], order: str, span: int = 1 << 16,
-                    name: str = "pos") -> DataFrame:
+                    name: str = "pos", tiebreak: Sequence[str] = ()) -> DataFrame:
     """0-based position of each row inside its group, ordered by the integer column ``order``.
 
     Skew-safe ``row_number``: rows are numbered inside (group, order // span)
@@ -91,7 +91,7 @@ def position_within(df: DataFrame, group: Sequence[str], order: str, span: int =
     wo = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))) \
         .withColumn("__total", F.sum("__n").over(Window.partitionBy(*group)))
-    wl = Window.partitionBy(*group, "__bucket").orderBy(order)
+    wl = Window.partitionBy(*group, "__bucket").orderBy(order, *tiebreak)
     local = x.withColumn("__local", F.row_number().over(wl) - 1)
     out = local.join(offsets.select(*group, "__bucket", "__off", "__total"), [*group, "__bucket"])
     return out.withColumn(name, F.col("__off") + F.col("__local")).withColumn(

@@ -184,3 +184,33 @@ f5ok AS (
   SELECT book_id, sum(chars) / count(*) >= 800 OR min(layout) NOT IN ('headings', 'backlink_headings') AS ok
   FROM f5h GROUP BY book_id
 )"""
+
+
+# --------------------------------------------------------------------- F7
+
+RESET_AT = "2024-01-15 00:00:00"
+
+
+def f7_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one counter series per event type: running count of its events (by ts, event_id),
+    restarted at 2024-01-15 by subtracting the count reached before that instant."""
+    from strata.operators.relational import position_within
+
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id", "value")
+    ev = ev.withColumn("ts_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    p = position_within(ev, ["event_type"], "ts_us", span=3_600_000_000, tiebreak=["event_id"])
+    reset = F.to_timestamp_ntz(F.lit(RESET_AT))
+    before = ev.where(F.col("ts") < reset).groupBy("event_type").agg(F.count(F.lit(1)).alias("before"))
+    x = p.join(before, "event_type", "left")
+    value = (F.col("pos") + 1 - F.when(F.col("ts") >= reset, F.coalesce(F.col("before"), F.lit(0))).otherwise(0))
+    return x.select("event_id", "ts", F.col("event_type").alias("stream"), value.cast("double").alias("value"))
+
+
+F7_SQL = f"""f7 AS (
+  SELECT event_id, ts, event_type AS stream,
+    CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)
+         - CASE WHEN ts >= TIMESTAMP '{RESET_AT}'
+                THEN (SELECT count(*) FROM events e2 WHERE e2.event_type = e.event_type AND e2.ts < TIMESTAMP '{RESET_AT}')
+                ELSE 0 END AS DOUBLE) AS value
+  FROM events e
+)"""
