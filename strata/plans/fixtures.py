@@ -214,3 +214,27 @@ F7_SQL = f"""f7 AS (
                 ELSE 0 END AS DOUBLE) AS value
   FROM events e
 )"""
+
+
+# --------------------------------------------------------------------- F8
+
+def f8_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: documents as silver rows: decorator columns NULL, a summary already present for
+    doc_id % 4 = 0, a (one-element) dense vector for % 8 = 0, empty text for % 50 = 0."""
+    d = read_table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    return d.select(
+        "doc_id", F.when(k % 50 == 0, F.lit("")).otherwise(F.col("text")).alias("text"), "lang", "source",
+        F.when(k % 4 == 0, F.concat(F.lit("Summary of document "), k.cast("string"), F.lit(".")))
+        .cast("string").alias("summary"),
+        F.lit(None).cast("string").alias("ner_nel"),
+        F.when(k % 8 == 0, F.array(F.lit(-1.0).cast("float"))).cast("array<float>").alias("text_embedding_dense"),
+        F.lit(None).cast("map<string,float>").alias("text_embedding_sparse"),
+        F.lit(None).cast("array<float>").alias("summary_embedding_dense"))
+
+
+F8_SQL = """f8 AS (
+  SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN '' ELSE text END AS text, lang, source,
+         CASE WHEN doc_id % 4 = 0 THEN 'Summary of document ' || CAST(doc_id AS VARCHAR) || '.' END AS summary
+  FROM documents
+)"""

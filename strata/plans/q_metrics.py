@@ -79,7 +79,7 @@ m AS (SELECT n.name, r.*, row_number() OVER (PARTITION BY n.name ORDER BY r.rule
 b AS (SELECT name, rule_index, metric,
         array_to_string(list_sort(list_filter([
           CASE WHEN l1 <> '' THEN l1 || '=' || regexp_extract(name, rx, 1) END,
-          CASE WHEN l2 <> '' THEN l2 || '=' || regexp_extract(name, rx, 2) END], x -> x IS NOT NULL)), ',') AS labels
+          CASE WHEN l2 <> '' THEN l2 || '=' || regexp_extract(name, rx, 2) END], lambda x: x IS NOT NULL)), ',') AS labels
       FROM m WHERE rn = 1)
 SELECT n.name, b.rule_index, coalesce(b.metric, replace(n.name, '.', '_')) AS metric, coalesce(b.labels, '') AS labels
 FROM n LEFT JOIN b ON b.name = n.name""")
