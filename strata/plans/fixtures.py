@@ -238,3 +238,41 @@ F8_SQL = """f8 AS (
          CASE WHEN doc_id % 4 = 0 THEN 'Summary of document ' || CAST(doc_id AS VARCHAR) || '.' END AS summary
   FROM documents
 )"""
+
+
+# --------------------------------------------------------------------- F6
+
+# Inbox file extensions, chosen by doc_id % 8 (png/mp3 cannot be converted).
+INBOX_EXTENSIONS = (".md", ".txt", ".epub", ".pdf", ".html", ".docx", ".png", ".mp3")
+
+
+def f6_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """every document delivered as an inbox file; ids divisible by 23 are hidden files,
+    by 29 office lock files; the text is the converted content."""
+    d = read_table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    ext = F.element_at(F.array(*[F.lit(e) for e in INBOX_EXTENSIONS]), (k % 8 + 1).cast("int"))
+    base = F.concat(F.col("source"), F.lit("-"), k.cast("string"), ext)
+    name = (F.when(k % 23 == 0, F.concat(F.lit("."), base)).when(k % 29 == 0, F.concat(F.lit("~$"), base))
+            .otherwise(base))
+    return d.select("doc_id", name.alias("filename"), F.concat(F.lit("inbox/"), name).alias("path"), "text",
+                    (F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_interval(secs=k.cast("int")))
+                    .alias("modified_at"))
+
+
+F6_SQL = """f6 AS (
+  SELECT doc_id, filename, 'inbox/' || filename AS path, text, modified_at FROM (
+    SELECT doc_id, text, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS modified_at,
+      CASE WHEN doc_id % 23 = 0 THEN '.' WHEN doc_id % 29 = 0 THEN '~$' ELSE '' END || source || '-' ||
+      CAST(doc_id AS VARCHAR) || (['.md', '.txt', '.epub', '.pdf', '.html', '.docx', '.png', '.mp3'])[doc_id % 8 + 1]
+      AS filename FROM documents)
+),
+f6a AS (SELECT * FROM f6 WHERE filename NOT LIKE '.%' AND filename NOT LIKE '~$%'),
+known AS (SELECT DISTINCT sha256(d.text) AS file_hash FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+f6p AS (SELECT *, sha256(text) AS file_hash,
+          CASE WHEN doc_id % 8 IN (6, 7) THEN 'ValueError(''no converter for ' || CASE WHEN doc_id % 8 = 6 THEN 'png'
+               ELSE 'mp3' END || ''')' END AS error FROM f6a),
+f6f AS (SELECT file_hash, min(path) AS first_path FROM f6p WHERE error IS NULL GROUP BY file_hash),
+f6o AS (SELECT p.*, CASE WHEN p.error IS NOT NULL THEN 'failed'
+          WHEN p.file_hash IN (SELECT file_hash FROM known) OR p.path <> f.first_path THEN 'duplicate'
+          ELSE 'ingested' END AS outcome FROM f6p p LEFT JOIN f6f f ON f.file_hash = p.file_hash)"""

@@ -101,13 +101,17 @@ def split_toc(spark, sf_dir):
     return _split_one(spark, sf_dir, "table_of_contents")
 
 
-CASCADE_SQL = f"""WITH {F5_SQL}
-SELECT c.book_id, number, {NAME_SQL} AS name, CAST(NULL AS VARCHAR) AS part, {TEXT_SQL} AS text, c.layout AS strategy
+CASCADE_BODY = f"""SELECT c.book_id, number, {NAME_SQL} AS name, CAST(NULL AS VARCHAR) AS part, {TEXT_SQL} AS text, c.layout AS strategy
 FROM f5c c JOIN f5ok o ON o.book_id = c.book_id WHERE o.ok
 UNION ALL
 SELECT c.book_id, 1, 'Full text', CAST(NULL AS VARCHAR),
        rtrim(string_agg({BLOCK_SQL}, chr(10) ORDER BY number), chr(10)), 'whole_document'
 FROM f5c c JOIN f5ok o ON o.book_id = c.book_id WHERE NOT o.ok GROUP BY c.book_id"""
+CASCADE_SQL = f"WITH {F5_SQL} {CASCADE_BODY}"
+BOOK_TEXT_SQL = f"""bt AS (SELECT book_id, min(source) AS source, min(book_no) AS book_no,
+  CASE WHEN min(layout) = 'table_of_contents' THEN 'Contents' || chr(10) || chr(10) || string_agg('[Title ' ||
+    CAST(number AS VARCHAR) || '](toc.html#c' || CAST(number AS VARCHAR) || ')', chr(10) ORDER BY number) || chr(10) || chr(10)
+  ELSE '' END || string_agg({BLOCK_SQL}, chr(10) ORDER BY number) AS text FROM f5c GROUP BY book_id)"""
 
 
 @query("split_cascade", CASCADE_SQL)
