@@ -196,11 +196,16 @@ def commit(spark: SparkSession, changes: DataFrame, root: str, version: int | No
     """
     if version is None:
         version = next_version(spark, root)
-    ts = F.current_timestamp() if commit_ts is None else F.lit(commit_ts)
     out = changes
     if VERSION in out.columns:
         out = out.drop(VERSION)
-    out = (out.withColumn(COMMIT_TS, ts.cast("timestamp"))
+    if commit_ts is not None:
+        ts = F.lit(commit_ts).cast("timestamp_ntz")
+    elif COMMIT_TS in out.columns:
+        ts = F.col(COMMIT_TS).cast("timestamp_ntz")
+    else:
+        ts = F.localtimestamp()
+    out = (out.withColumn(COMMIT_TS, ts)
            .withColumn(OPERATION, F.lit(operation))
            .withColumn(BATCH_REF, F.lit(batch_ref).cast("string")))
     staging = f"{root}/_staging/{uuid.uuid4().hex}"
