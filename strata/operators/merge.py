@@ -71,11 +71,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, key, columns: Sequence[
     upsert type -> INSERT; unmatched deletes and preimages are ignored.
     ``columns`` limits what is copied; other target columns keep their value
     on update and are NULL on insert.  Without ``columns`` every target column
-    is copied, so feed metadata never lands in the target.
+    the source also has is copied, so feed metadata never lands in the target.
     """
     keys = _keys(key)
     tcols = target.columns
-    copy = [c for c in (columns if columns is not None else tcols) if c in tcols]
+    # Only columns both sides have are copied: target-only columns keep their values.
+    copy = [c for c in (columns if columns is not None else tcols) if c in tcols and c in changes.columns]
     src = collapse_changes(changes, keys) if collapse else changes
     src = src.where(F.col(CHANGE_TYPE).isin(*upsert_types, "delete"))
     s_cols = list(dict.fromkeys(keys + copy))
