@@ -120,3 +120,21 @@ def book_rows(books: DataFrame, chapters: DataFrame, ingested_at: Column) -> Dat
                     "filename", F.col("m.title").alias("title"), F.col("m.author").alias("author"),
                     F.col("m.publication_date").alias("publication_date"), "part_name", "chapter_number",
                     "chapter_name", "text", "split_strategy", ingested_at.cast("timestamp").alias("ingested_at"))
+
+
+def run_ingest(spark, inbox: DataFrame, known_hashes: DataFrame, kind: str = "documents"):
+    """One ingest run.  An empty inbox stops before the table is touched (returns None);
+    otherwise returns (outcomes, rows) for the chosen scan type (``documents`` or ``books``)."""
+    if inbox.isEmpty():
+        return None
+    parsed = inbox.withColumn("file_hash", F.sha2("text", 256)).withColumn("error", parse_error(F.col("filename")))
+    outcomes = classify_files(parsed, known_hashes)
+    new = outcomes.where(F.col("outcome") == "ingested")
+    now = F.current_timestamp()
+    if kind == "documents":
+        return outcomes, document_rows(new, now)
+    from strata.operators.splitting import split_cascade
+
+    chapters = split_cascade(new.select("doc_id", "text"))
+    strategy = chapters.groupBy("doc_id").agg(F.first("strategy").alias("strategy"))
+    return outcomes, book_rows(new.join(strategy, "doc_id"), chapters, now)

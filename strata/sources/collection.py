@@ -32,3 +32,21 @@ def write_events_collection(spark: SparkSession, sf_dir: str, path: str) -> str:
         F.array(F.lit(None).cast("string")).alias("null_list"))
     doc.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
     return path
+
+
+def read_files(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """CSV / JSON / JSON-lines / text / Markdown inputs as rows ``(path, text)``.
+
+    Text and Markdown are read whole (one row per file); CSV and JSON are parsed by
+    Spark's readers and each record is rendered back to JSON text.
+    """
+    if fmt in ("txt", "text", "md", "markdown"):
+        df = spark.read.text(path, wholetext=True)
+        return df.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    if fmt == "csv":
+        df = spark.read.option("header", "true").csv(path)
+    elif fmt in ("json", "jsonl"):
+        df = spark.read.option("multiLine", fmt == "json").json(path)
+    else:
+        raise ValueError(f"unsupported input format {fmt!r}")
+    return df.select(F.input_file_name().alias("path"), F.to_json(F.struct(*df.columns)).alias("text"))
