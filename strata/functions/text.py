@@ -172,8 +172,24 @@ def parse_number(tokens: Column) -> Column:
     return let(tokens, parse)
 
 
+# A normalised text can only carry a number prefix if its first token looks like one.
+NUMBERISH_RE = r"^(chapter|chap|[0-9]|[ivx]+( |$)|(" + "|".join(NUMBER_WORDS) + r")( |$))"
+
+
 def strip_number_prefix(norm: Column) -> Column:
-    """Drop a leading ``chapter 3`` / ``iv`` / ``twenty one``; struct(rest, value)."""
+    """Drop a leading ``chapter 3`` / ``iv`` / ``twenty one``; struct(rest, value).
+
+    Most lines do not start with anything number-like: a native regex guard
+    sends only the others through the token logic.
+    """
+    def guarded(n):
+        fast = F.struct(F.trim(F.regexp_replace(n, " +", " ")).alias("rest"), F.lit(None).cast("int").alias("value"))
+        return F.when(n.rlike(NUMBERISH_RE), _strip_number_prefix(n)).otherwise(fast)
+
+    return let(norm, guarded)
+
+
+def _strip_number_prefix(norm: Column) -> Column:
     def drop_word(t):
         return F.when(F.get(t, 0).isin("chapter", "chap"), F.slice(t, 2, 1 << 20)).otherwise(t)
 
