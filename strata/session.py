@@ -77,3 +77,16 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (the files outlive lost executors),
+    but later reads are columnar: pruned to the columns each consumer needs and
+    much cheaper than deserialising checkpointed rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
