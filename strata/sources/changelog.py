@@ -177,13 +177,19 @@ def read_log(spark: SparkSession, root: str, schema=None) -> DataFrame:
 
 
 def batch_seen(spark: SparkSession, root: str, batch_ref: str) -> bool:
-    """True when a commit carrying ``batch_ref`` exists (replay after a crash)."""
-    if not committed_versions(spark, root):
+    """True when the newest commit carries ``batch_ref`` (a batch replayed after a crash).
+
+    A replay can only follow the last commit (the crash fell between the commit
+    and the stream's checkpoint), so only that version's folder is read: the
+    check does not grow with the table's history.
+    """
+    versions = committed_versions(spark, root)
+    if not versions:
         return False
-    log = read_log(spark, root)
-    if BATCH_REF not in log.columns:
+    last = spark.read.parquet(f"{root}/{VERSION}={versions[-1]}")
+    if BATCH_REF not in last.columns:
         return False
-    return not log.where(F.col(BATCH_REF) == batch_ref).select(VERSION).limit(1).isEmpty()
+    return not last.where(F.col(BATCH_REF) == batch_ref).limit(1).isEmpty()
 
 
 def commit(spark: SparkSession, changes: DataFrame, root: str, version: int | None = None,
@@ -239,9 +245,19 @@ def write_snapshot(spark: SparkSession, root: str, key, version: int) -> str:
     return path
 
 
-def snapshot_at(spark: SparkSession, root: str, key, as_of: int | None = None) -> DataFrame:
-    """S03 on storage: newest stored snapshot <= ``as_of`` + the commits after it."""
+def snapshot_at(spark: SparkSession, root: str, key, as_of: int | None = None,
+                only_keys: DataFrame | None = None) -> DataFrame:
+    """S03 on storage: newest stored snapshot <= ``as_of`` + the commits after it.
+
+    ``only_keys`` restricts the result to those keys with a semi join *before* the
+    latest-per-key aggregate (a merge needs only the rows its batch touches).
+    """
     log = read_log(spark, root)
+    keys = _keys(key)
+
+    def restrict(df):
+        return df if only_keys is None else df.join(only_keys.select(*keys).distinct(), keys, "left_semi")
+
     base_version = None
     jvm, _, jpath, fs = _jvm_fs(spark, snapshots_root(root))
     if fs.exists(jpath):
@@ -250,9 +266,9 @@ def snapshot_at(spark: SparkSession, root: str, key, as_of: int | None = None) -
         stored = [v for v in stored if as_of is None or v <= as_of]
         base_version = stored[-1] if stored else None
     if base_version is None:
-        return snapshot(log, key, as_of=as_of)
-    base = spark.read.parquet(f"{snapshots_root(root)}/version={base_version}")
-    newer = log.where(F.col(VERSION) > base_version)
+        return snapshot(restrict(log), key, as_of=as_of)
+    base = restrict(spark.read.parquet(f"{snapshots_root(root)}/version={base_version}"))
+    newer = restrict(log.where(F.col(VERSION) > base_version))
     base_log = base.select(*[F.col(f"`{c}`") for c in data_columns(newer)]).withColumn(
         CHANGE_TYPE, F.lit("insert")).withColumn(VERSION, F.lit(base_version).cast("int"))
     merged = newer.select(*data_columns(newer), CHANGE_TYPE, VERSION).unionByName(

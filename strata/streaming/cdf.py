@@ -58,22 +58,31 @@ def read_change_stream(spark: SparkSession, config: StreamConfig, schema=None) -
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: StreamConfig, key,
                 columns: Sequence[str] | None = None, upsert_types: Sequence[str] = UPSERT_TYPES,
-                metrics_path: str | None = None, stream_name: str | None = None) -> int | None:
+                metrics_path: str | None = None, stream_name: str | None = None,
+                snapshot_every: int = 10) -> int | None:
     """One micro-batch: nothing for an empty batch; otherwise collapse, merge into the
     target's current state and commit the resulting change rows as one target version.
-    Errors propagate so the batch is retried."""
+    Errors propagate so the batch is retried.
+
+    Only the target rows of the batch's keys are rebuilt (semi join before the snapshot
+    aggregate), and every ``snapshot_every`` versions the target state is stored beside
+    the log, so a batch's cost follows its own size, not the table's history.
+    """
     if batch.isEmpty():
         return None
     ref = f"{config.query_name or 'stream'}:{batch_id}"
     if CL.batch_seen(spark, config.target, ref):
         return None
-    target_log = CL.read_log(spark, config.target)
     key_cols = [key] if isinstance(key, str) else list(key)
-    current = CL.snapshot(target_log, key_cols)
+    current = CL.snapshot_at(spark, config.target, key_cols, only_keys=batch)
     result = apply_changes(current, batch, key_cols, columns=columns, upsert_types=upsert_types)
     version = CL.commit(spark, result.changes, config.target, operation="MERGE", batch_ref=ref)
+    if snapshot_every and version % snapshot_every == 0:
+        CL.write_snapshot(spark, config.target, key_cols, version)
     if metrics_path:
-        m = batch_metrics(batch, result.changes, stream_name or config.query_name or "stream")
+        # Merge counts come from the commit just written (one version folder), not a second merge.
+        written = spark.read.parquet(f"{config.target}/{CL.VERSION}={version}")
+        m = batch_metrics(batch, written, stream_name or config.query_name or "stream")
         m.withColumn("batch_id", F.lit(batch_id)).withColumn("ts", F.localtimestamp()).write.mode(
             "append").parquet(metrics_path)
     return version
