@@ -37,7 +37,8 @@ def run_sync(spark: SparkSession, job: dict) -> dict:
         return {"job": "sync", "rows": 0}
     if job["mode"] == "upsert":
         versions = CL.committed_versions(spark, job["target"])
-        current = CL.snapshot(CL.read_log(spark, job["target"]), job["key"]) if versions else None
+        # Only the rows this run can touch are rebuilt from the bronze log.
+        current = CL.snapshot_at(spark, job["target"], job["key"], only_keys=src) if versions else None
         result, residual = SY.sync_upsert(current, src, job["key"], job["exclude"], job["json_columns"],
                                           job["limit"], job["move"])
         changes = result.changes
@@ -68,7 +69,8 @@ def run_decorate(spark: SparkSession, job: dict) -> dict:
     if todo.isEmpty():
         return {"job": "decorate", "version": None}
     upd = todo.select(job["key"], D.extractive_summary(F.col(job["text"])).alias("summary"))
-    res = M.merge_update(silver, upd, job["key"], ["summary"])
+    touched = silver.join(todo.select(job["key"]), job["key"], "left_semi")
+    res = M.merge_update(touched, upd, job["key"], ["summary"])
     version = CL.commit(spark, res.changes, job["table"], operation="DECORATE")
     return {"job": "decorate", "version": version}
 
