@@ -2,14 +2,13 @@
 
 All are native expressions.  Spark has no Unicode NFKD; :func:`fold_unicode`
 replaces it with a character table derived from Python's ``unicodedata`` by
-rule (the pandas-UDF original, :func:`fold_unicode_udf`, checks it in tests).
+rule (``tests/test_text.py`` checks it against the plain-Python rule).
 """
 
 from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,21 +59,6 @@ def _fold_char(ch: str) -> str:
     return t.replace("&", " and ").casefold()
 
 
-def _fold(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else "".join(_fold_char(ch) for ch in v))
-
-
-_FOLD_UDF = None
-
-
-def fold_unicode_udf(c: Column) -> Column:
-    """Reference implementation of the fold as an Arrow pandas UDF (used to verify the native table)."""
-    global _FOLD_UDF
-    if _FOLD_UDF is None:
-        _FOLD_UDF = F.pandas_udf(_fold, "string")
-    return _FOLD_UDF(c)
-
-
 _FOLD_TABLE = None
 _QUOTES = "'’‘`"
 
