@@ -94,13 +94,23 @@ def dense_vectors(df: DataFrame, key: str, text: str, out: str, dim: int = DENSE
     return v.select(F.col("__k").alias(key), vec.alias(out))
 
 
-def sparse_weights(df: DataFrame, key: str, text: str, out: str = "weights") -> DataFrame:
-    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``."""
+def token_weights(df: DataFrame, key: str, text: str) -> DataFrame:
+    """E07 as rows ``(key, token, weight)``: tf weight = count / tokens in the row (float).
+
+    Counts are a (row, token) partial aggregate; the per-row total comes from a
+    second, much smaller aggregate joined back on the row key.
+    """
     toks = df.select(F.col(key).alias("__k"), F.explode(tokens(F.col(text))).alias("t"))
     c = toks.groupBy("__k", "t").agg(F.count(F.lit(1)).alias("n"))
-    return c.groupBy("__k").agg(F.map_from_entries(F.collect_list(
-        F.struct("t", "n"))).alias("m"), F.sum("n").alias("total")).select(
-        F.col("__k").alias(key), F.transform_values("m", lambda k, v: (v / F.col("total")).cast("float")).alias(out))
+    tot = c.groupBy("__k").agg(F.sum("n").alias("total"))
+    return c.join(tot, "__k").select(F.col("__k").alias(key), F.col("t").alias("token"),
+                                     (F.col("n") / F.col("total")).cast("float").alias("weight"))
+
+
+def sparse_weights(df: DataFrame, key: str, text: str, out: str = "weights") -> DataFrame:
+    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``."""
+    w = token_weights(df, key, text)
+    return w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "weight"))).alias(out))
 
 
 # -------------------------------------------------------- generic runner

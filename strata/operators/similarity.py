@@ -59,12 +59,18 @@ def sparse_dot_topk(queries: DataFrame, q_key: str, corpus: DataFrame, d_key: st
                     k: int = 10) -> DataFrame:
     """Top-k corpus rows per query by sparse dot product Σ_t w_q(t)·w_d(t).
 
-    Both sides are exploded to (id, token, weight) and equi-joined on token;
-    the products are summed per (query, doc) with map-side combining (AQE
+    Inputs are stored sparse vectors (``map<string,float>`` column ``weights``) or,
+    without that column, rows ``(id, token, weight)``.  Both sides are equi-joined on
+    token; the products are summed per (query, doc) with map-side combining (AQE
     splits a hot token's join partition), then ranked in two phases.
     """
-    q = queries.select(F.col(q_key).alias("q"), F.explode(weights).alias("t", "wq"))
-    d = corpus.select(F.col(d_key).alias("d"), F.explode(weights).alias("t", "wd"))
+    def rows(df, key, w, alias):
+        if weights in df.columns:
+            return df.select(F.col(key).alias(alias), F.explode(weights).alias("t", w))
+        return df.select(F.col(key).alias(alias), F.col("token").alias("t"), F.col("weight").alias(w))
+
+    q = rows(queries, q_key, "wq", "q")
+    d = rows(corpus, d_key, "wd", "d")
     s = q.join(d, "t").groupBy("q", "d").agg(F.sum(F.col("wq").cast("double") * F.col("wd").cast("double"))
                                              .alias("score"))
     s = s.withColumn("score", F.round("score", 6))

@@ -172,6 +172,6 @@ s AS (SELECT item_id, doc_id, round(sum(CAST(wq.w AS DOUBLE) * CAST(wd.w AS DOUB
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
 def sparse_dot(spark, sf_dir):
-    q = D.sparse_weights(read_table(spark, sf_dir, "benchmark"), "item_id", "text")
-    d = D.sparse_weights(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    q = D.token_weights(read_table(spark, sf_dir, "benchmark"), "item_id", "text")
+    d = D.token_weights(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return SIM.sparse_dot_topk(q, "item_id", d, "doc_id", k=10)
