@@ -193,8 +193,14 @@ def dedupe_by_key(df: DataFrame, key, order: Column) -> DataFrame:
 def merge_update(target: DataFrame, updates: DataFrame, key, columns: Sequence[str]) -> MergeResult:
     """Update-only merge; only ``columns`` are set, unmatched update rows dropped."""
     keys = _keys(key)
+    # Duplicate keys: rows with more values win, then a content hash decides (total order).
+    from pyspark.sql.types import MapType
+
+    def hashable(c):  # maps cannot be hashed directly; their JSON text can
+        return F.to_json(_q(c)) if isinstance(updates.schema[c].dataType, MapType) else _q(c)
+
     upd = dedupe_by_key(updates.select(*keys, *columns), keys,
-                        F.struct(*[_q(c).isNull() for c in columns]))
+                        F.struct(*[_q(c).isNull() for c in columns], F.xxhash64(*[hashable(c) for c in columns])))
     u = upd.select(*[_q(c).alias("__u_" + c) for c in keys + list(columns)], F.lit(True).alias("__u_here"))
     tcols = target.columns
     t = target.select(*[_q(c).alias("__t_" + c) for c in tcols])
