@@ -55,8 +55,12 @@ def dense_topk(vectors: DataFrame, key: str, group: str, vec: str, k: int = 5) -
     return top_k(scored, [group], [F.col("score").desc(), F.col(key)], k, F.xxhash64(key))
 
 
+MAX_QUERIES = 64
+MAX_QUERY_TOKENS = 1_000_000
+
+
 def sparse_dot_topk(queries: DataFrame, q_key: str, corpus: DataFrame, d_key: str, weights: str = "weights",
-                    k: int = 10) -> DataFrame:
+                    k: int = 10, max_queries: int = MAX_QUERIES) -> DataFrame:
     """Top-k corpus rows per query by sparse dot product Σ_t w_q(t)·w_d(t).
 
     Inputs are stored sparse vectors (``map<string,float>`` column ``weights``) or,
@@ -71,8 +75,32 @@ def sparse_dot_topk(queries: DataFrame, q_key: str, corpus: DataFrame, d_key: st
 
     q = rows(queries, q_key, "wq", "q")
     d = rows(corpus, d_key, "wd", "d")
+    # A token group joins every query holding it with every document holding it, so the
+    # query side must be a small batch: checked here, then broadcast.
+    n_q = q.select("q").distinct().count()
+    n_t = q.count()
+    if n_q > max_queries or n_t > MAX_QUERY_TOKENS:
+        raise ValueError(f"{n_q} queries / {n_t} query tokens: too many for one batch; split the batch")
+    q = F.broadcast(q)
     s = q.join(d, "t").groupBy("q", "d").agg(F.sum(F.col("wq").cast("double") * F.col("wd").cast("double"))
                                              .alias("score"))
     s = s.withColumn("score", F.round("score", 6))
     out = top_k(s, ["q"], [F.col("score").desc(), F.col("d")], k, F.xxhash64("d"))
     return out.select(F.col("q").alias(q_key), F.col("d").alias(d_key), "score", "rank")
+
+
+def sparse_centroid_topk(weights: DataFrame, key: str, group: str, k: int = 10) -> DataFrame:
+    """Top-k rows of each group by sparse dot product with the group's mean sparse vector.
+
+    ``weights`` are rows ``(key, group, token, weight)``.  The centroid is a
+    (group, token) aggregate divided by the group's row count; every row token
+    then meets exactly one centroid entry through an equi-join on (group, token),
+    so the work is linear in the tokens: no pairs of rows are formed.
+    """
+    n = weights.select(key, group).distinct().groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    c = weights.groupBy(group, "token").agg(F.sum(F.col("weight").cast("double")).alias("s")).join(n, group)
+    c = c.select(group, "token", (F.col("s") / F.col("n")).alias("cw"))
+    s = weights.join(c, [group, "token"]).groupBy(group, key).agg(
+        F.round(F.sum(F.col("weight").cast("double") * F.col("cw")), 9).alias("score"))
+    return top_k(s, [group], [F.col("score").desc(), F.col(key)], k, F.xxhash64(key)).select(
+        group, key, "score", "rank")

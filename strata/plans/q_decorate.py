@@ -161,17 +161,41 @@ def dense_topk(spark, sf_dir):
 
 
 @query("sparse_dot", """WITH
-wq AS (SELECT item_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY item_id) AS FLOAT) AS w FROM (
-  SELECT item_id, token, count(*) AS n FROM (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token
-  FROM benchmark) WHERE token <> '' GROUP BY ALL)),
+t AS (SELECT doc_id, lang, token, count(*) AS n FROM (
+        SELECT doc_id, lang, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token FROM documents)
+      WHERE token <> '' GROUP BY ALL),
+w AS (SELECT doc_id, lang, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY doc_id) AS FLOAT) AS weight FROM t),
+nd AS (SELECT lang, count(DISTINCT doc_id) AS nd FROM w GROUP BY lang),
+c AS (SELECT w.lang, token, sum(CAST(weight AS DOUBLE)) / min(nd.nd) AS cw FROM w JOIN nd ON nd.lang = w.lang GROUP BY w.lang, token),
+s AS (SELECT w.lang, doc_id, round(sum(CAST(weight AS DOUBLE) * cw), 9) AS score
+      FROM w JOIN c ON c.lang = w.lang AND c.token = w.token GROUP BY w.lang, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT lang, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
+def sparse_dot(spark, sf_dir):
+    # Sparse dot product with the language's mean sparse vector; top 10 per language.
+    d = read_table(spark, sf_dir, "documents")
+    w = D.token_weights(d, "doc_id", "text").join(d.select("doc_id", "lang"), "doc_id")
+    out = SIM.sparse_centroid_topk(w, "doc_id", "lang", k=10)
+    return out.withColumn("score", F.round("score", 6))
+
+
+@query("sparse_dot_batch", """WITH
+q AS (SELECT CAST(1 AS BIGINT) AS item_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER () AS FLOAT) AS w FROM (
+        SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(string_agg(text, ' ' ORDER BY item_id)),
+        '[^a-z0-9]+')) AS token FROM benchmark) WHERE token <> '' GROUP BY token)),
 wd AS (SELECT doc_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY doc_id) AS FLOAT) AS w FROM (
   SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token
   FROM documents) WHERE token <> '' GROUP BY ALL)),
-s AS (SELECT item_id, doc_id, round(sum(CAST(wq.w AS DOUBLE) * CAST(wd.w AS DOUBLE)), 6) AS score
-      FROM wq JOIN wd ON wq.token = wd.token GROUP BY item_id, doc_id),
+s AS (SELECT item_id, doc_id, round(sum(CAST(q.w AS DOUBLE) * CAST(wd.w AS DOUBLE)), 6) AS score
+      FROM q JOIN wd ON q.token = wd.token GROUP BY item_id, doc_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
-def sparse_dot(spark, sf_dir):
-    q = D.token_weights(read_table(spark, sf_dir, "benchmark"), "item_id", "text")
+def sparse_dot_batch(spark, sf_dir):
+    # E11 with an explicit query: the whole benchmark set as one sparse query vector
+    # (a checked, bounded query batch), top 10 documents.
+    # The query vector is a (token) count aggregate over every benchmark row -- one row per
+    # distinct token, never the texts gathered in one place.
+    b = read_table(spark, sf_dir, "benchmark").select(F.lit(1).cast("bigint").alias("item_id"), "text")
+    q = D.token_weights(b, "item_id", "text")
     d = D.token_weights(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return SIM.sparse_dot_topk(q, "item_id", d, "doc_id", k=10)
