@@ -46,15 +46,19 @@ def _join_cond(keys, left_prefix, right_prefix, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, parts)
 
 
-def collapse_changes(changes: DataFrame, key, order: Sequence[str] = (VERSION,)) -> DataFrame:
+def collapse_changes(changes: DataFrame, key, order: Sequence[str] = (VERSION,), null_safe: bool = False) -> DataFrame:
     """Keep the last change per key (preimages dropped).
 
     A batch may hold insert + update + delete of one key; MERGE needs one
     source row per target row.  Rows with a NULL key never match anything
-    under ``=``, so they pass through untouched.
+    under ``=``, so they pass through untouched; under ``<=>`` NULL is one key
+    and collapses like any other (so the join never pairs NULL rows).
     """
     keys = _keys(key)
     df = changes.where(F.col(CHANGE_TYPE) != "update_preimage")
+    if null_safe:
+        present = [c for c in order if c in df.columns]
+        return latest_per_key(df, keys, F.struct(*[_q(c) for c in present], type_rank()))
     has_null = reduce(lambda a, b: a | b, [_q(k).isNull() for k in keys])
     present = [c for c in order if c in df.columns]
     ordering = F.struct(*[_q(c) for c in present], type_rank())
@@ -77,7 +81,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key, columns: Sequence[
     tcols = target.columns
     # Only columns both sides have are copied: target-only columns keep their values.
     copy = [c for c in (columns if columns is not None else tcols) if c in tcols and c in changes.columns]
-    src = collapse_changes(changes, keys) if collapse else changes
+    src = collapse_changes(changes, keys, null_safe=null_safe) if collapse else changes
     src = src.where(F.col(CHANGE_TYPE).isin(*upsert_types, "delete"))
     s_cols = list(dict.fromkeys(keys + copy))
     s = src.select(*[_q(c).alias("__s_" + c) for c in s_cols],
