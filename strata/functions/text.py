@@ -26,6 +26,7 @@ NUMBER_WORDS.update(ORDINAL_WORDS)
 ROMAN_UNITS = {"": 0, "i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9}
 ROMAN_RE = "^(x{0,3})(ix|iv|v?i{0,3})$"
 
+# Markdown link, noise, image and letter/digit boundary patterns.
 LINK_RE = r"!?\[([^\]]*)\]\([^)]*\)"
 MD_NOISE_RE = r"[*_`>|#\\]+"
 IMAGE_RE = r"!\[[^\]]*\]\([^)]*\)"

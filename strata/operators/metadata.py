@@ -64,6 +64,7 @@ def strip_header(text: Column) -> Column:
     return F.when(has, body).otherwise(text)
 
 
+# Year and author patterns of file names.
 YEAR_RE = r"\((\d{4})(?:\s*,\s*\d{4})*\)"
 AUTHOR_RE = r"(?U)(?:\s-\s|\sby\s)((?:[A-Z][\w.'’]*\s?){2,4}(?:\s&\s(?:[A-Z][\w.'’]*\s?){2,4})?)$"
 
