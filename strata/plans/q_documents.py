@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import splitting as S
-from strata.plans.fixtures import F5_SQL, f5_books, f5_chapters
+from strata.plans.fixtures import F5_SQL, f5_books
 from strata.plans.registry import query
 from strata.sources.tables import read_table
 
@@ -61,16 +61,30 @@ BLOCK_SQL = """CASE layout WHEN 'headings' THEN '# Title ' || CAST(number AS VAR
   ELSE 'Title ' || CAST(number AS VARCHAR) END || chr(10) || text || repeat(chr(10), 12)"""
 
 
+# Slide books also carry "# Title n" headings: under the headings strategy alone each chapter
+# runs to the next heading, so it ends with the next slide's comment line.
+SLIDES_AS_HEADINGS_SQL = """
+UNION ALL
+SELECT c.book_id, number, 'Title ' || CAST(number AS VARCHAR), CAST(NULL AS VARCHAR),
+       CASE WHEN number < h.nch THEN text || repeat(chr(10), 13) || '<!-- Slide number: ' ||
+            CAST(number + 1 AS VARCHAR) || ' -->' ELSE text END, 'headings'
+FROM f5c c JOIN (
+  SELECT book_id, count(*) AS nch,
+         sum(31 + 2 * length(CAST(number AS VARCHAR)) + length(replace(text, chr(10), ''))) / count(*) >= 800 AS ok
+  FROM f5c WHERE layout = 'slides' GROUP BY book_id) h ON h.book_id = c.book_id WHERE h.ok"""
+
+
 def _strategy_sql(layout: str) -> str:
+    extra = SLIDES_AS_HEADINGS_SQL if layout == "headings" else ""
     return f"""WITH {F5_SQL}
 SELECT c.book_id, number, {NAME_SQL} AS name, CAST(NULL AS VARCHAR) AS part, {TEXT_SQL} AS text,
        c.layout AS strategy
-FROM f5c c JOIN f5ok o ON o.book_id = c.book_id WHERE o.ok AND c.layout = '{layout}'"""
+FROM f5c c JOIN f5ok o ON o.book_id = c.book_id WHERE o.ok AND c.layout = '{layout}'{extra}"""
 
 
 def _split_one(spark, sf_dir, layout):
-    ch = f5_chapters(spark, sf_dir)
-    books = f5_books(spark, sf_dir, ch).where(F.col("layout") == layout)
+    # One strategy on every F5 book: it yields chapters wherever its own rules apply.
+    books = f5_books(spark, sf_dir)
     out = S.split_with(books.select(F.col("book_id").alias("doc_id"), "text"), layout)
     return out.select(F.col("doc_id").alias("book_id"), F.col("number").cast("int").alias("number"), "name",
                       "part", "text", "strategy")
