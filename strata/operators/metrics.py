@@ -43,11 +43,6 @@ MAX_NAME_PARTS = 7
 
 # ------------------------------------------------------------ metric rows
 
-def metric_rows(stream: str, rows: Sequence[tuple]) -> list[tuple]:
-    """Normalise (metric, label, kind, value) tuples of one stream."""
-    return [(stream, m, lab, k, v) for m, lab, k, v in rows]
-
-
 def batch_metrics(changes: DataFrame, merged: DataFrame | None, stream: Column | str,
                   by: Sequence[str] = ()) -> DataFrame:
     """Metric rows of micro-batches (one per value of ``by``): the batch_rows gauge,
