@@ -18,11 +18,11 @@ def T(spark, sf_dir, name):
 
 
 @query("project_alias", """SELECT l_orderkey AS order_key, l_linenumber AS "line number",
-  round(l_extendedprice * (1 - l_discount), 4) AS revenue FROM lineitem""")
+  l_extendedprice * (1 - l_discount) AS revenue FROM lineitem""")
 def project_alias(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line number"),
-                     F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("revenue"))
+                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
 
 
 @query("filter_compare", """SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders
