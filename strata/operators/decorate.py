@@ -49,7 +49,7 @@ def pending_condition(decorator: str, text: str = "text") -> Column:
 def pending(df: DataFrame, decorator: str, key: str, text: str = "text", limit: int | None = None) -> DataFrame:
     """Pending rows, optionally the first ``limit`` by key (a per-run cap; None = all)."""
     rows = df.where(pending_condition(decorator, text))
-    return top_rows(rows, [F.col(key)], limit) if limit else rows
+    return top_rows(rows, [F.col(key)], limit, key=key) if limit else rows
 
 
 # ---------------------------------------------------------------- backends

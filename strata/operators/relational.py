@@ -63,14 +63,22 @@ def most_common(df: DataFrame, group: Sequence[str], value: str, position: str)
         F.max("n").alias("count"))
 
 
-def top_rows(df: DataFrame, order: Sequence[Column], n: int | None) -> DataFrame:
+LARGE_LIMIT = 100_000
+
+
+def top_rows(df: DataFrame, order: Sequence[Column], n: int | None, key: str | None = None) -> DataFrame:
     """``LIMIT n`` made deterministic by a total order; 0/None means no limit.
 
-    Spark plans ``orderBy().limit(n)`` as TakeOrderedAndProject: every task
-    keeps its own top n, so only n rows per task cross the network.
+    Small n: ``orderBy().limit(n)`` (TakeOrderedAndProject: each task keeps its
+    top n, one task merges them).  Large n over a unique integer ``key``: the
+    rows are ranked with :func:`position_within` and filtered, so no single task
+    ever holds the n rows (a per-run cap of millions stays distributed).
     """
     if not n:
         return df
+    if key is not None and n > LARGE_LIMIT and df.schema[key].dataType.typeName() in ("long", "integer", "short"):
+        ranked = position_within(df, [], key, span=1 << 20, name="__pos")
+        return ranked.where(F.col("__pos") < n).drop("__pos", "__pos_count")
     return df.orderBy(*order).limit(n)
 
 

@@ -44,3 +44,15 @@ def test_overwrite_is_a_diff(spark):
     assert got == [(1, "a", "delete"), (2, "B", "update_postimage"), (2, "b", "update_preimage"), (3, "c", "insert")]
     after = M.apply_changes(old, ch.withColumn("_commit_version", F.lit(1)), "id").table
     assert sorted(tuple(r) for r in after.collect()) == [(2, "B"), (3, "c")]
+
+
+def test_large_limit_is_distributed_and_exact(spark):
+    from strata.operators import relational as R
+
+    df = spark.range(0, 600_000, 3).withColumnRenamed("id", "k")
+    big = R.top_rows(df, [F.col("k")], 150_000, key="k")
+    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+    got = big.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("mx")).first()
+    assert (got.n, got.mx) == (150_000, 449_997)
+    small = R.top_rows(df, [F.col("k")], 5, key="k")
+    assert [r.k for r in small.collect()] == [0, 3, 6, 9, 12]
