@@ -127,5 +127,3 @@ def ingest_books(spark, sf_dir):
     rows = _book_rows(spark, sf_dir)
     return rows.select("chapter_id", "filename", "chapter_number", "chapter_name", "split_strategy")
 
-
-_ = F5_SQL

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, MapType, NullType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import NullType, StringType, StructField, StructType, TimestampType
 
 from strata.functions.schema import add_missing_columns, not_null_violations, void_to_string
 from strata.operators import merge as M
@@ -233,5 +232,3 @@ def list_tables(spark, sf_dir):
     register_tables(spark, sf_dir, prefix="lt_")
     return spark.sql("SHOW TABLES").where(F.col("tableName").startswith("lt_"))
 
-
-_ = (ArrayType, MapType)
