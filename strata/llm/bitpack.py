@@ -17,7 +17,7 @@ Other columns of the input are not read.  A very long text is one large block.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.encoder import batches_of, encoder
+from strata.llm.encoder import encoder
 
 BLOCK_IDS = 1 << 16  # a block is closed once it holds so many ids
 BLOCK_SCHEMA = ("shard int, block int, start long, n_ids long, width int, payload binary, "
@@ -63,9 +63,9 @@ def unpack(payload: bytes, width: int, count: int, first: int = 0) -> np.ndarray
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
-def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, order: str = "doc_id",
-                 block_ids: int = BLOCK_IDS) -> None:
-    """Encode ``docs`` (doc_id, text and the column ``order``) and write block files in ascending ``order``."""
+def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2,
+                 order: Sequence[str] = ("doc_id",), block_ids: int = BLOCK_IDS) -> None:
+    """Encode ``docs`` (doc_id, text and the columns ``order``) and write block files in ascending ``order``."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
@@ -82,22 +82,20 @@ def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                     strict=True)], schema=BLOCK_FIELDS)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in batches_of(texts):
-                for key, found in zip(keys[a:b], enc.encode(texts[a:b]), strict=True):
-                    held.append(np.append(found, np.uint32(end_id)))
-                    ids.append(key)
-                    at += len(held[-1])
-                    if at >= block_ids:
-                        yield close()
-                        start, block = start + at, block + 1
-                        held, ids, at = [], [], 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.append(np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)))
+                ids.append(key)
+                at += len(held[-1])
+                if at >= block_ids:
+                    yield close()
+                    start, block = start + at, block + 1
+                    held, ids, at = [], [], 0
         if held:
             yield close()
 
-    rows = docs.select("doc_id", "text", F.col(order).alias("packing_order"))
-    (rows.repartitionByRange("packing_order").sortWithinPartitions("packing_order", "doc_id", "text")
+    keys = [f"packing_order_{i}" for i in range(len(order))]
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)])
+    (rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "doc_id", "text")
          .select("doc_id", "text").mapInArrow(blocks, BLOCK_SCHEMA)
          .write.mode("errorifexists").option("compression", "uncompressed").parquet(path))
 

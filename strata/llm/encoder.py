@@ -1,11 +1,13 @@
-"""Token ids of whole texts with the ``tokenizers`` library.
+"""Token ids of whole texts with the ``tokenizers`` library, each distinct word encoded once per worker.
 
 For a byte-level BPE whose pre-tokenizer is the regular one (no normalizer, no
 prefix space), a single space between two non-space characters is always a
 pre-token boundary, and the space belongs to what follows.  So the ids of a text
-are the ids of its space-separated pieces in a row, and each distinct piece
-needs to be encoded once per worker.  Texts with a special token's string are
-encoded whole, and so is everything when the tokenizer is of another kind.
+are the ids of its space-separated pieces in a row.  Pieces are remembered, and
+so are their pre-tokens, which the library's model encodes.  Whatever is not
+plainly covered is encoded by the whole tokenizer: texts with a special token's
+string or with space at an end, pieces with other characters than printable
+ASCII, line ends and Latin letters, and every text of another kind of tokenizer.
 """
 
 from __future__ import annotations
@@ -13,13 +15,42 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-MEMO_LIMIT = 400_000  # pieces remembered per worker; the memo is emptied beyond it
+PIECES = 300_000      # pieces and pre-tokens remembered per worker; a memo is emptied beyond its limit
+PRETOKENS = 800_000
 _SPACE_PAIR = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PLAIN = re.compile(rf"[\n!-~{_LATIN}]+")
+# Fixed value: the pre-token pattern of byte-level BPE, on the characters of _PLAIN.
+_PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+class _Pretokens(dict):
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, pretoken: str) -> bytes:
+        if len(self) >= PRETOKENS:
+            self.clear()
+        coded = pretoken.encode().decode("latin-1").translate(_LETTERS)
+        ids = self[pretoken] = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
+        return ids
 
 
 class Encoder:
@@ -34,54 +65,37 @@ class Encoder:
                          and pre.get("use_regex", True) and spec.get("normalizer") is None)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.memo: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids (uint32) of each text."""
-        if not self.by_piece:
-            return [np.frombuffer(b, dtype="<u4") for b in self._whole(texts)]
-        out: list = [None] * len(texts)
-        cut: list[tuple[int, list[str]]] = []
-        direct = []
-        for i, text in enumerate(texts):
-            if text == "":
-                out[i] = np.empty(0, dtype="<u4")
-            elif any(s in text for s in self.special) or text[0] == " " or text[-1] == " ":
-                direct.append(i)
-            else:
-                cut.append((i, _SAFE_SPACE.split(text) if _SPACE_PAIR.search(text) else text.split(" ")))
-        for i, ids in zip(direct, self._whole([texts[i] for i in direct]), strict=True):
-            out[i] = np.frombuffer(ids, dtype="<u4")
-        memo = self.memo
-        if len(memo) > MEMO_LIMIT:
-            memo.clear()
-        missing: set[str] = set()
-        for _, parts in cut:
-            missing.update(p for p in parts[1:] if p not in memo)
-        new = list(missing)
-        memo.update(zip(new, self._whole([" " + p for p in new]), strict=True))
-        firsts = self._whole([parts[0] for _, parts in cut])
-        for (i, parts), first in zip(cut, firsts, strict=True):
-            out[i] = np.frombuffer(first + b"".join([memo[p] for p in parts[1:]]), dtype="<u4")
-        return out
+        self.pieces: dict[str, bytes] = {}
+        self.pretokens = _Pretokens(self.tokenizer.model)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str, lead: str) -> bytes:
+        if not _PLAIN.fullmatch(piece):
+            return self._whole(lead + piece)
+        known = self.pretokens
+        return b"".join([known[p] for p in _PRETOKEN.findall(lead + piece)])
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids (uint32) of a text."""
+        if not self.by_piece or not text or text[0] == " " or text[-1] == " " or any(s in text for s in self.special):
+            return np.frombuffer(self._whole(text), dtype="<u4")
+        parts = _SAFE_SPACE.split(text) if _SPACE_PAIR.search(text) else text.split(" ")
+        first = self._piece(parts[0], "")
+        known = self.pieces
+        if len(known) >= PIECES:
+            known.clear()
+        found = list(map(known.get, parts))
+        found[0] = first
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = ids = known.get(parts[i]) or self._piece(parts[i], " ")
+                    known[parts[i]] = ids
+        return np.frombuffer(b"".join(found), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
-
-
-def batches_of(texts: list[str], limit: int = 4 << 20):
-    """Index ranges of about ``limit`` characters, so that a worker's memory follows neither rows nor batch size."""
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= limit:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)

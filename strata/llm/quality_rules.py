@@ -77,21 +77,20 @@ def host_failures(rows: DataFrame) -> DataFrame:
 
 
 def beta_priors(hosts: DataFrame) -> dict[str, tuple[float, float]]:
-    """Per rule (a, b) of the beta prior by moments: the spread of host rates beyond binomial noise sets its weight."""
-    parts = []
-    for r in RULES:
-        rate = F.col(r) / F.col("n_docs")
-        parts += [F.avg(rate).alias(r + "_mean"), F.var_pop(rate).alias(r + "_var")]
-    row = hosts.agg(F.avg(1 / F.col("n_docs")).alias("noise"), *parts).first()  # one row, whatever the corpus
+    """Per rule (a, b) of the beta prior by moments: the spread of host rates around the pooled one sets its weight."""
+    docs = F.sum("n_docs")
+    pooled = hosts.agg(F.count(F.lit(1)).alias("hosts"), docs.alias("docs"),
+                       *[(F.sum(r) / docs).alias(r) for r in RULES]).first()  # one row, whatever the corpus
+    if not pooled.docs:
+        return dict.fromkeys(RULES, (1.0, 1.0))
+    spread = hosts.agg(*[(F.sum(F.col("n_docs") * F.pow(F.col(r) / F.col("n_docs") - pooled[r], 2)) / docs).alias(r)
+                         for r in RULES]).first()
     low, high = PRIOR_STRENGTH
     priors = {}
     for r in RULES:
-        mean, var = row[r + "_mean"], row[r + "_var"]
-        if mean is None:
-            priors[r] = (1.0, 1.0)
-            continue
-        spread = var - mean * (1 - mean) * row["noise"]
-        weight = mean * (1 - mean) / spread - 1 if spread > 0 else high
+        mean = pooled[r]
+        beyond = spread[r] - mean * (1 - mean) * pooled.hosts / pooled.docs  # less the binomial noise
+        weight = mean * (1 - mean) / beyond - 1 if beyond > 0 else high
         weight = min(max(weight, low), high)
         priors[r] = (mean * weight, (1 - mean) * weight)
     return priors
