@@ -1,6 +1,6 @@
 """Quality classifier by co-training on two views of a document.
 
-Text view: the set of hashed words and word shapes.  Metadata view: source,
+Text view: hashed words and word shapes.  Metadata view: source,
 language, length and layout figures (lines, white space, symbols, digits, case,
 repetition), each as a coarse class.  Both are naive Bayes models over hashed
 features, so a model is a table of counts of fixed size that Spark adds up.
@@ -23,6 +23,7 @@ all scores are 0.5; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from typing import Any
 
@@ -42,8 +43,9 @@ ROUNDS = 2
 CONFIDENT = 0.95
 FOLDS = 10            # fold 0 of the labelled documents calibrates, the others train
 KEEP = 0.5            # quality score from which a document is kept
+STRONGEST = 15        # features of a document that score it: those with the largest weights
 BINS = 200            # score bins of the calibration
-BIN_WIDTH = 0.1
+BIN_WIDTH = 0.02
 VIEWS = (("text", TEXT_BITS), ("meta", META_BITS))
 _SYMBOLS = b"#*$%&|<>@{}[]_=+~^\\/"
 _SHAPE = bytes(97 if chr(c).isalpha() or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
@@ -62,14 +64,20 @@ def _word_features(word: bytes) -> tuple[int, int]:
 
 
 def text_features(raw: bytes | None) -> np.ndarray:
-    found = set()
+    """Words, shapes, how much of the text each frequent shape makes up, and the share of the commonest word."""
+    words = Counter(raw.split() if raw else ())
     if len(_MEMO) > 400_000:
         _MEMO.clear()
-    for w in set(raw.split()) if raw else ():
+    found, shapes, total = set(), Counter(), max(1, words.total())
+    for w, n in words.items():
         pair = _MEMO.get(w)
         if pair is None:
             pair = _MEMO[w] = _word_features(w)
         found.update(pair)
+        shapes[pair[1]] += n
+    shares = [(shape, 20 * n // total) for shape, n in shapes.items() if 20 * n >= total]
+    shares.append((-1, 10 * max(words.values(), default=0) // total if total >= 10 else -1))
+    found.update(xxhash.xxh3_64_intdigest(f"{a}:{b}".encode(), seed=2) & ((1 << TEXT_BITS) - 1) for a, b in shares)
     return np.fromiter(found, dtype=np.uint16, count=len(found))
 
 
@@ -108,16 +116,19 @@ def _features(docs: DataFrame, source: str, lang: str) -> DataFrame:
 
 
 class _Model:
-    """Naive Bayes over feature presence; ``weights`` are log-ratios, scores are damped by the number of features."""
+    """Naive Bayes over feature presence; ``weights`` are log-ratios, of which a document's strongest are added."""
 
     def __init__(self, counts: np.ndarray, docs: np.ndarray):
-        share = (counts + 0.5) / (docs[:, None] + 1.0)
+        # the same small rate is added to both classes, so what neither has seen says nothing
+        share = counts / np.maximum(docs, 1)[:, None] + 1 / (docs.min() + 1.0)
         self.weights = np.log(share[1] / share[0])
         self.line = (1.0, 0.0)
 
     def raw(self, features: bytes) -> float:
-        f = np.frombuffer(features, dtype="<u2")
-        return float(self.weights[f].sum() / math.sqrt(len(f))) if len(f) else 0.0
+        w = self.weights[np.frombuffer(features, dtype="<u2")]
+        if len(w) > STRONGEST:
+            w = w[np.argpartition(-np.abs(w), STRONGEST)[:STRONGEST]]
+        return float(w.sum() / STRONGEST)
 
     def log_odds(self, features: bytes) -> float:
         return self.line[0] * self.raw(features) + self.line[1]
