@@ -53,8 +53,8 @@ def test_windows_read_back(spark, budget):
         chars[w.conv_id] = chars.get(w.conv_id, 0) + len(w.formatted)
         pieces = w.formatted.split("<|im_end|>\n")[:-1]
         assert all(p.startswith("<|im_start|>") for p in pieces) and w.n_repeated < len(pieces)
-        new = len(pieces) - w.n_repeated
-        assert w.n_tokens <= budget or new == 1  # only a turn that is too large alone goes over
+        led = w.window == 0 and w.formatted.startswith("<|im_start|>system\n")  # the system turn, new in the first window
+        assert w.n_tokens <= budget or len(pieces) - w.n_repeated - led <= 1  # only a turn that is too large alone goes over
         targets = [p.split("\n", 1)[1] for p in pieces[w.n_repeated:] if p.startswith("<|im_start|>assistant\n")]
         assert [w.formatted[s.begin:s.end] for s in w.loss_spans] == targets
     assert {r.conv_id: r.formatted_chars for r in got} == chars
@@ -135,12 +135,12 @@ def test_places_are_repeatable_and_weights_hold(spark):
 # --- co-training
 
 def test_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     scores = cotraining.judged(cotraining.quality_scores(docs, labels, hold_out=1))
     assert scores.count() == docs.count()
     held = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(cotraining.FOLDS)) == 1).join(scores, "doc_id").collect()
     right = sum((r.quality == 1) == r.kept for r in held)
-    assert len(held) > 20 and right >= 0.95 * len(held)
+    assert len(held) > 300 and right >= 0.97 * len(held)
 
 
 def test_hostile_rows_are_scored(spark):
