@@ -18,9 +18,8 @@ UNIT_WORDS = ("one two three four five six seven eight nine ten eleven twelve th
 TENS_WORDS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
 ORDINAL_WORDS = {"first": 1, "second": 2, "third": 3}
 
-NUMBER_WORDS: dict[str, int] = {w: i + 1 for i, w in enumerate(UNIT_WORDS)}
-NUMBER_WORDS.update({w: (i + 2) * 10 for i, w in enumerate(TENS_WORDS)})
-NUMBER_WORDS.update(ORDINAL_WORDS)
+NUMBER_WORDS: dict[str, int] = {
+    **dict(zip(UNIT_WORDS, range(1, 20), strict=True)), **dict(zip(TENS_WORDS, range(20, 100, 10), strict=True)), **ORDINAL_WORDS}
 
 # Roman numerals up to 39: tens part x{0,3}, units part from this table.
 ROMAN_UNITS = {"": 0, "i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9}
@@ -42,6 +41,11 @@ def let(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), 0)
 
 
+def pystrip(c: Column) -> Column:
+    """Without leading and trailing white space of any kind."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def _map_literal(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
@@ -70,14 +74,14 @@ def _fold_table():
     Only ``[0-9a-z]`` survives normalisation, so a character either maps to one
     such letter (``translate``), disappears (combining marks, quotes), expands to
     several (``ß`` -> ``ss``, ligatures; a map lookup), or becomes a space like
-    any other symbol (left alone).  Basic Multilingual Plane only.
+    any other symbol (left alone).
     """
     global _FOLD_TABLE
     if _FOLD_TABLE is None:
         import re
 
         src, dst, gone, multi = [], [], [], {}
-        for cp in range(0x80, 0x10000):
+        for cp in range(0x80, 0x110000):
             if 0xD800 <= cp <= 0xDFFF:
                 continue
             ch = chr(cp)
@@ -117,14 +121,6 @@ def normalize(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, LETTER_DIGIT_RE, " "))
 
 
-def ascii_normalize(c: Column) -> Column:
-    """:func:`normalize` for text already known to be ASCII (no UDF needed)."""
-    c = F.lower(F.regexp_replace(strip_markdown(c), "&", " and "))
-    c = F.regexp_replace(c, "['`]", "")
-    c = F.regexp_replace(c, "[^0-9a-z]+", " ")
-    return F.trim(F.regexp_replace(c, LETTER_DIGIT_RE, " "))
-
-
 def token_value(tok: Column) -> Column:
     """Value of one normalised number token: digits (<= 3), number word, roman (<= 39)."""
     def value(t):
@@ -211,10 +207,18 @@ def is_part_title(norm: Column) -> Column:
                lambda tok: F.coalesce((tok != "") & token_value(tok).isNotNull(), F.lit(False)))
 
 
+def join_title(texts: Column) -> Column:
+    """``["I", "Neoliberalism"]`` -> ``"I. Neoliberalism"``; otherwise the texts joined by spaces."""
+    first = F.get(texts, 0)
+    numbered = (F.size(texts) > 1) & is_number_marker(normalize(first))
+    return F.when(numbered, F.concat(first, F.lit(". "), F.array_join(F.slice(texts, 2, 1 << 20), " "))
+                  ).otherwise(F.array_join(texts, " "))
+
+
 def parse_date(c: Column) -> Column:
     """Leading ISO date, ``D:YYYYMMDD...`` or a bare year; a bad day gives the 1st,
     a bad month 1 January; no match or year 0 gives NULL."""
-    v = F.trim(c)
+    v = pystrip(c)
     v = F.when(v.startswith("D:"), F.substring(v, 3, 1 << 20)).otherwise(v)
     pat = r"^(\d{4})-?(\d{2})?-?(\d{2})?"
     y = F.regexp_extract(v, pat, 1)
