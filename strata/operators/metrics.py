@@ -18,27 +18,34 @@ from pyspark.sql import functions as F
 from strata.functions.text import sanitize_name
 from strata.sources.changelog import CHANGE_TYPE
 
-# Metric names, kinds and the prefix of the streaming metrics.
-PREFIX = "delta_streaming"
+# Statsd type letters per kind, and the exporter's name for each kind.
 KIND_SUFFIX = {"counter": "c", "gauge": "g", "timer": "ms"}
+KIND_TYPE = {"counter": "counter", "gauge": "gauge", "timer": "observer"}
 
-# Name-mapping rules (dotted glob -> metric name and labels), first match wins.
-MAPPING_RULES = [
-    ("spark.*.*.executor.recordsRead", "spark_executor_records_read_count", ("app_id", "executor_id")),
-    ("spark.*.*.executor.recordsWritten", "spark_executor_records_written_count", ("app_id", "executor_id")),
-    ("spark.*.*.executor.filesystem.file.read_bytes", "spark_executor_filesystem_file_read_bytes",
+# Name-mapping rules (dotted glob, metric type or None for any, metric name, labels), first match wins.
+ENGINE_RULES = [
+    ("spark.*.*.executor.recordsRead", None, "spark_executor_records_read_count", ("app_id", "executor_id")),
+    ("spark.*.*.executor.recordsWritten", None, "spark_executor_records_written_count", ("app_id", "executor_id")),
+    ("spark.*.*.executor.filesystem.file.read_bytes", None, "spark_executor_filesystem_file_read_bytes",
      ("app_id", "executor_id")),
-    ("spark.*.*.executor.filesystem.file.write_bytes", "spark_executor_filesystem_file_write_bytes",
+    ("spark.*.*.executor.filesystem.file.write_bytes", None, "spark_executor_filesystem_file_write_bytes",
      ("app_id", "executor_id")),
-    ("delta_streaming.*.processed.*", "delta_streaming_records_processed_total", ("stream", "change_type")),
-    ("delta_streaming.*.merge.*", "delta_streaming_merge_rows_total", ("stream", "operation")),
-    ("delta_streaming.*.batches.*", "delta_streaming_batches_total", ("stream", "status")),
-    ("delta_streaming.*.batch_rows", "delta_streaming_batch_rows", ("stream",)),
-    ("delta_streaming.*.batch_duration", "delta_streaming_batch_duration_seconds", ("stream",)),
-    ("delta_streaming.*.decorated.*", "delta_streaming_decorated_rows_total", ("stream", "status")),
-    ("delta_streaming.*.pending", "delta_streaming_pending_rows", ("stream",)),
 ]
-MAX_NAME_PARTS = 7
+STREAM_RULES = [
+    ("*.processed.*", "counter", "records_processed_total", ("stream", "change_type")),
+    ("*.merge.*", "counter", "merge_rows_total", ("stream", "operation")),
+    ("*.batches.*", "counter", "batches_total", ("stream", "status")),
+    ("*.batch_rows", "gauge", "batch_rows", ("stream",)),
+    ("*.batch_duration", "observer", "batch_duration_seconds", ("stream",)),
+    ("*.decorated.*", "counter", "decorated_rows_total", ("stream", "status")),
+    ("*.pending", "gauge", "pending_rows", ("stream",)),
+]
+MAX_RULES = 10_000  # rules are configuration; more are refused, as the table is broadcast
+
+
+def mapping_rules(prefix: str) -> list[tuple]:
+    """The rules for streams whose metric names begin with ``prefix``."""
+    return ENGINE_RULES + [(f"{prefix}.{glob}", kind, f"{prefix}_{name}", labels) for glob, kind, name, labels in STREAM_RULES]
 
 
 # ------------------------------------------------------------ metric rows
@@ -81,7 +88,26 @@ def batch_metrics(changes: DataFrame, merged: DataFrame | None, stream: Column |
     return out.select(*by, st.alias("stream"), "m.*")
 
 
-def metric_name(stream: Column, metric: Column, label: Column, prefix: str = PREFIX) -> Column:
+def batch_outcome(spark, stream: str, seconds: float, failed: bool, rejected: int = 0) -> DataFrame:
+    """How long a batch took, whether it failed, and how many rows it could not merge, as metric rows."""
+    rows = [("batch_duration", None, "timer", float(seconds))]
+    if failed:
+        rows.append(("batches", "failed", "counter", 1.0))
+    if rejected:
+        rows.append(("merge", "rejected", "counter", float(rejected)))
+    return spark.createDataFrame([(stream, *r) for r in rows],
+                                 "stream string, metric string, label string, kind string, value double")
+
+
+def decorator_metrics(spark, stream: str, pending: int, succeeded: int, failed: int) -> DataFrame:
+    """Rows waiting for a decorator before its run, decorated and failed in it."""
+    rows = [("pending", None, "gauge", pending), ("decorated", "succeeded", "counter", succeeded),
+            ("decorated", "failed", "counter", failed)]
+    return spark.createDataFrame([(stream, m, x, k, float(v)) for m, x, k, v in rows],
+                                 "stream string, metric string, label string, kind string, value double")
+
+
+def metric_name(stream: Column, metric: Column, label: Column, prefix: str) -> Column:
     """``<prefix>.<stream>.<metric>[.<label>]`` with stream and label sanitised to one path segment."""
     return F.concat_ws(".", F.lit(prefix), sanitize_name(stream), metric,
                        F.when(label.isNotNull(), sanitize_name(label)))
@@ -107,41 +133,45 @@ def parse_statsd(line: Column) -> Column:
 
 # ---------------------------------------------------------- name mapping
 
-def map_metric_names(names: DataFrame, name_col: str = "name", rules=MAPPING_RULES) -> DataFrame:
-    """First matching glob rule per dotted name -> metric name + labels.
+def map_metric_names(names: DataFrame, rules: Sequence[tuple], name_col: str = "name",
+                     kind_col: str | None = None) -> DataFrame:
+    """First matching glob rule per dotted name (and metric type, if ``kind_col`` gives the kind).
 
-    Each name is expanded into its wildcard masks (2^parts, parts <= 7) and
-    equi-joined with the rule patterns, so matching is a hash join against the
-    small, fixed rule table rather than a regex test of every pair.
+    A ``*`` stands for one part.  The rules' own places of ``*`` say which masks of
+    a name can match, so each name is expanded into those masks only and
+    equi-joined with the rule patterns, whatever the depth of names or rules.
     """
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} mapping rules")
     spark = names.sparkSession
+    kind = F.lit(None).cast("string") if kind_col is None else F.col(kind_col)
+    shapes = sorted({(pat.count(".") + 1, tuple(i for i, p in enumerate(pat.split(".")) if p == "*")) for pat, *_ in rules})
     rule_df = spark.createDataFrame(
-        [(i, pat, metric, list(labels)) for i, (pat, metric, labels) in enumerate(rules)],
-        "rule_index int, pattern string, metric string, label_names array<string>")
-    parts = F.split(F.col(name_col), r"\.")
-    # Names deeper than every rule cannot match; they take the default below.
-    n = names.select(F.col(name_col).alias("name"), parts.alias("parts")).where(
-        F.size("parts") <= MAX_NAME_PARTS).distinct()
-    masks = F.sequence(F.lit(0), F.pow(F.lit(2), F.size("parts")).cast("int") - 1)
-    x = n.select("name", "parts", F.explode(masks).alias("mask"))
-
-    def wild(i):
-        return F.floor(F.col("mask") / F.pow(F.lit(2), i)) % 2 == 1
-
-    pattern = F.array_join(F.transform("parts", lambda p, i: F.when(wild(i), F.lit("*")).otherwise(p)), ".")
-    values = F.filter(F.transform("parts", lambda p, i: F.when(wild(i), p)), lambda v: v.isNotNull())
-    x = x.select("name", pattern.alias("pattern"), values.alias("values"))
-    hit = x.join(F.broadcast(rule_df), "pattern")  # rule table: fixed size, a few dozen rows at most
-    best = hit.groupBy("name").agg(F.min_by(F.struct("rule_index", "metric", "label_names", "values"),
+        [(i, pat, type_, metric, list(labels)) for i, (pat, type_, metric, labels) in enumerate(rules)],
+        "rule_index int, pattern string, rule_type string, metric string, label_names array<string>")
+    shape_df = spark.createDataFrame([(n, list(stars)) for n, stars in shapes], "depth int, stars array<int>")
+    given = names.select(F.col(name_col).alias("name"), kind.alias("kind")).distinct()
+    n = given.withColumn("parts", F.split("name", r"\."))
+    x = n.join(F.broadcast(shape_df), F.size("parts") == F.col("depth"))  # no more shapes than rules
+
+    def starred(i):
+        return F.array_contains("stars", i)
+
+    pattern = F.array_join(F.transform("parts", lambda p, i: F.when(starred(i), F.lit("*")).otherwise(p)), ".")
+    values = F.filter(F.transform("parts", lambda p, i: F.when(starred(i), p)), lambda v: v.isNotNull())
+    x = x.select("name", "kind", pattern.alias("pattern"), values.alias("values"))
+    kinds = F.create_map(*[F.lit(v) for kv in KIND_TYPE.items() for v in kv])
+    right_type = F.col("rule_type").isNull() | F.col("kind").isNull() | (kinds[F.col("kind")] == F.col("rule_type"))
+    hit = x.join(F.broadcast(rule_df), "pattern").where(right_type)  # at most MAX_RULES rows
+    best = hit.groupBy("name", "kind").agg(F.min_by(F.struct("rule_index", "metric", "label_names", "values"),
                                             "rule_index").alias("r"))
     labels = F.array_join(F.array_sort(F.transform(F.arrays_zip(F.col("r.label_names"), F.col("r.values")),
                                                    lambda z: F.concat(z["label_names"], F.lit("="), z["values"]))), ",")
-    matched = best.select("name", F.col("r.rule_index").alias("rule_index"), F.col("r.metric").alias("metric"),
+    matched = best.select(F.col("name").alias("m_name"), F.col("kind").alias("m_kind"), F.col("r.rule_index").alias("rule_index"), F.col("r.metric").alias("metric"),
                           labels.alias("labels"))
     # Names no rule matches keep the exporter's default: dots become underscores, no labels.
-    every = names.select(F.col(name_col).alias("name")).distinct()
-    out = every.join(matched, "name", "left")
-    return out.select("name", "rule_index",
+    out = given.join(matched, (F.col("name") == F.col("m_name")) & F.col("kind").eqNullSafe(F.col("m_kind")), "left")
+    return out.select("name", *(["kind"] if kind_col else []), "rule_index",
                       F.coalesce(F.col("metric"), F.regexp_replace("name", r"\.", "_")).alias("metric"),
                       F.coalesce(F.col("labels"), F.lit("")).alias("labels"))
 

@@ -13,6 +13,7 @@ from strata.sources import changelog as CL
 from strata.sources.tables import read_table
 
 STREAM = "orders silver"
+PREFIX = "stream_jobs"
 
 
 @query("batch_metrics", f"""WITH {F1_SQL},
@@ -34,57 +35,68 @@ def batch_metrics(spark, sf_dir):
 
 
 @query("statsd_lines", f"""WITH {F1_SQL}, c AS (SELECT _commit_version AS version, _change_type, count(*) AS n FROM f1 GROUP BY ALL)
-SELECT version, 'delta_streaming.orders_silver.batch_rows:' || CAST(sum(n) AS VARCHAR) || '|g' AS line FROM c GROUP BY version
-UNION ALL SELECT version, 'delta_streaming.orders_silver.processed.' || _change_type || ':' || CAST(n AS VARCHAR) || '|c' FROM c
-UNION ALL SELECT DISTINCT version, 'delta_streaming.orders_silver.batches.succeeded:1|c' FROM c""")
+SELECT version, 'stream_jobs.orders_silver.batch_rows:' || CAST(sum(n) AS VARCHAR) || '|g' AS line FROM c GROUP BY version
+UNION ALL SELECT version, 'stream_jobs.orders_silver.processed.' || _change_type || ':' || CAST(n AS VARCHAR) || '|c' FROM c
+UNION ALL SELECT DISTINCT version, 'stream_jobs.orders_silver.batches.succeeded:1|c' FROM c""")
 def statsd_lines(spark, sf_dir):
     m = MX.batch_metrics(f1_change_log(spark, sf_dir), None, STREAM, by=["_commit_version"])
-    name = MX.metric_name(F.col("stream"), F.col("metric"), F.col("label"))
+    name = MX.metric_name(F.col("stream"), F.col("metric"), F.col("label"), PREFIX)
     return m.select(F.col("_commit_version").alias("version"),
                     MX.statsd_line(name, F.col("kind"), F.col("value")).alias("line"))
 
 
 def _metric_names(spark, sf_dir):
+    """Names with their kinds: executor counters, stream metrics (some of the wrong kind) and deep unknown names."""
     ev = read_table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    user = (F.col("user_id") % 5).cast("string")
+
+    def named(metric_kind, *parts):
+        return F.struct(F.concat(*[p if hasattr(p, "cast") else F.lit(p) for p in parts]).alias("name"),
+                        F.lit(metric_kind).alias("kind"))
+
     names = F.array(
-        F.concat(F.lit("spark.app-"), (F.col("user_id") % 5).cast("string"), F.lit("."), F.col("event_type"),
-                 F.lit(".executor.recordsRead")),
-        F.concat(F.lit("delta_streaming."), F.col("event_type"), F.lit(".processed.insert")),
-        F.concat(F.lit("delta_streaming."), F.col("event_type"), F.lit(".pending")),
-        F.concat(F.lit("delta_streaming."), F.col("event_type"), F.lit(".merge.u"), (F.col("user_id") % 3).cast("string")),
-        F.concat(F.lit("other."), F.col("event_type"), F.lit(".count")))
-    return ev.select(F.explode(names).alias("name"))
+        named("gauge", "spark.app-", user, ".", kind, ".executor.recordsRead"),
+        named("gauge", "spark.app-", user, ".", kind, ".executor.filesystem.file.read_bytes"),
+        named("counter", "stream_jobs.", kind, ".processed.insert"), named("gauge", "stream_jobs.", kind, ".pending"),
+        named("counter", "stream_jobs.", kind, ".pending"), named("timer", "stream_jobs.", kind, ".batch_duration"),
+        named("counter", "stream_jobs.", kind, ".merge.u", user), named("gauge", "other.a.b.c.d.e.f.g.h.", kind, ".count"))
+    return ev.select(F.explode(names).alias("x")).select("x.*")
 
 
-NAMES_SQL = """n AS (SELECT DISTINCT unnest([
-  'spark.app-' || CAST(user_id % 5 AS VARCHAR) || '.' || event_type || '.executor.recordsRead',
-  'delta_streaming.' || event_type || '.processed.insert', 'delta_streaming.' || event_type || '.pending',
-  'delta_streaming.' || event_type || '.merge.u' || CAST(user_id % 3 AS VARCHAR),
-  'other.' || event_type || '.count']) AS name FROM events)"""
+NAMES_SQL = """n AS (SELECT DISTINCT x.name AS name, x.kind AS kind FROM (SELECT unnest([
+  {'name': 'spark.app-' || CAST(user_id % 5 AS VARCHAR) || '.' || event_type || '.executor.recordsRead', 'kind': 'gauge'},
+  {'name': 'spark.app-' || CAST(user_id % 5 AS VARCHAR) || '.' || event_type || '.executor.filesystem.file.read_bytes', 'kind': 'gauge'},
+  {'name': 'stream_jobs.' || event_type || '.processed.insert', 'kind': 'counter'},
+  {'name': 'stream_jobs.' || event_type || '.pending', 'kind': 'gauge'},
+  {'name': 'stream_jobs.' || event_type || '.pending', 'kind': 'counter'},
+  {'name': 'stream_jobs.' || event_type || '.batch_duration', 'kind': 'timer'},
+  {'name': 'stream_jobs.' || event_type || '.merge.u' || CAST(user_id % 5 AS VARCHAR), 'kind': 'counter'},
+  {'name': 'other.a.b.c.d.e.f.g.h.' || event_type || '.count', 'kind': 'gauge'}]) AS x FROM events))"""
 
 
 def _rules_sql():
     rows = []
-    for i, (pat, metric, labels) in enumerate(MX.MAPPING_RULES):
+    for i, (pat, kind, metric, labels) in enumerate(MX.mapping_rules(PREFIX)):
         rx = "^" + pat.replace(".", "\\.").replace("*", "([^.]+)") + "$"
         l1 = labels[0] if labels else ""
         l2 = labels[1] if len(labels) > 1 else ""
-        rows.append(f"({i}, '{rx}', '{metric}', '{l1}', '{l2}')")
-    return "r(rule_index, rx, metric, l1, l2) AS (VALUES " + ", ".join(rows) + ")"
+        rows.append(f"({i}, '{rx}', '{(kind or '').replace('observer', 'timer')}', '{metric}', '{l1}', '{l2}')")
+    return "r(rule_index, rx, rkind, metric, l1, l2) AS (VALUES " + ", ".join(rows) + ")"
 
 
 @query("metric_mapping", f"""WITH {NAMES_SQL}, {_rules_sql()},
-m AS (SELECT n.name, r.*, row_number() OVER (PARTITION BY n.name ORDER BY r.rule_index) AS rn
-      FROM n JOIN r ON regexp_full_match(n.name, r.rx)),
-b AS (SELECT name, rule_index, metric,
+m AS (SELECT n.name, n.kind, r.*, row_number() OVER (PARTITION BY n.name, n.kind ORDER BY r.rule_index) AS rn
+      FROM n JOIN r ON regexp_full_match(n.name, r.rx) AND (r.rkind = '' OR r.rkind = n.kind)),
+b AS (SELECT name, kind, rule_index, metric,
         array_to_string(list_sort(list_filter([
           CASE WHEN l1 <> '' THEN l1 || '=' || regexp_extract(name, rx, 1) END,
           CASE WHEN l2 <> '' THEN l2 || '=' || regexp_extract(name, rx, 2) END], lambda x: x IS NOT NULL)), ',') AS labels
       FROM m WHERE rn = 1)
-SELECT n.name, b.rule_index, coalesce(b.metric, replace(n.name, '.', '_')) AS metric, coalesce(b.labels, '') AS labels
-FROM n LEFT JOIN b ON b.name = n.name""")
+SELECT n.name, n.kind, b.rule_index, coalesce(b.metric, replace(n.name, '.', '_')) AS metric, coalesce(b.labels, '') AS labels
+FROM n LEFT JOIN b ON b.name = n.name AND b.kind = n.kind""")
 def metric_mapping(spark, sf_dir):
-    return MX.map_metric_names(_metric_names(spark, sf_dir))
+    return MX.map_metric_names(_metric_names(spark, sf_dir), MX.mapping_rules(PREFIX), kind_col="kind")
 
 
 INC_SQL = f"""WITH {F7_SQL}, p AS (

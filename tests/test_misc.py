@@ -29,13 +29,21 @@ def test_decorator_isolates_failures(spark):
 
 
 def test_metric_lines(spark):
-    df = spark.createDataFrame([("my stream", "processed", "update_postimage", "counter", 3.0)],
-                               "stream string, metric string, label string, kind string, value double")
-    line = df.select(MX.statsd_line(MX.metric_name(F.col("stream"), F.col("metric"), F.col("label")),
-                                    F.col("kind"), F.col("value")).alias("l")).first().l
-    assert line == "delta_streaming.my_stream.processed.update_postimage:3|c"
+    df = MX.batch_outcome(spark, "river flow", 0.25, failed=True, rejected=7)
+    name = MX.metric_name(F.col("stream"), F.col("metric"), F.col("label"), "jobs")
+    lines = [r.l for r in df.select(MX.statsd_line(name, F.col("kind"), F.col("value")).alias("l")).collect()]
+    assert lines == ["jobs.river_flow.batch_duration:250.000|ms", "jobs.river_flow.batches.failed:1|c",
+                     "jobs.river_flow.merge.rejected:7|c"]
+    line = lines[2]
     back = spark.createDataFrame([(line,)], "l string").select(MX.parse_statsd(F.col("l")).alias("p")).first().p
-    assert (back.value, back.type) == (3.0, "c")
+    assert (back.value, back.type) == (7.0, "c")
+
+
+def test_mapping_depth_follows_the_rules(spark):
+    rules = [("a.*.c.d.e.f.g.h", None, "deep", ("x",)), ("a.*", "counter", "flat", ("x",))]
+    names = spark.createDataFrame([("a.b.c.d.e.f.g.h", "gauge"), ("a.q", "gauge"), ("a.q", "counter")], "name string, kind string")
+    got = {(r.name, r.kind): (r.metric, r.labels) for r in MX.map_metric_names(names, rules, kind_col="kind").collect()}
+    assert got == {("a.b.c.d.e.f.g.h", "gauge"): ("deep", "x=b"), ("a.q", "gauge"): ("a_q", ""), ("a.q", "counter"): ("flat", "x=q")}
 
 
 def test_schema_rules(spark):
@@ -44,7 +52,7 @@ def test_schema_rules(spark):
     assert fixed.schema["a"].dataType.simpleString() == "string"
     assert fixed.schema["b"].dataType.simpleString() == "array<string>"
     ddl = ddl_from_schema("db.chapters", CHAPTER_SCHEMA)
-    assert "`chapter_id` STRING NOT NULL" in ddl and "`title` STRING," in ddl
+    assert "`chapter_id` string NOT NULL," in ddl and "`title` string," in ddl
     assert table_name("crawler.responses.raw") == "crawler_responses_raw"
     with pytest.raises(ValueError):
         table_name("bad name")
