@@ -9,8 +9,12 @@ pandas.DataFrame`` through :func:`run_decorator`, which isolates failing rows.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +33,7 @@ EMBEDDING_COLUMNS = ("text_embedding_dense", "text_embedding_sparse", "summary_e
 SUMMARY_CHARS = 200
 DENSE_DIM = 64
 TOKEN_RE = "[^a-z0-9]+"
+_TOKEN = re.compile("[a-z0-9]+")
 
 
 def _nonempty(c: Column) -> Column:
@@ -55,10 +60,16 @@ def pending(df: DataFrame, decorator: str, key: str, text: str = "text", limit:
 # ---------------------------------------------------------------- backends
 
 def extractive_summary(text: Column, max_chars: int = SUMMARY_CHARS) -> Column:
-    """The longest run of leading sentences that fits ``max_chars``; else the first ``max_chars``."""
-    head = F.substring(text, 1, max_chars + 1)
-    sentences = F.regexp_extract(head, rf"(?s)^(.{{0,{max_chars - 1}}}[.!?])(?:\s|$)", 1)
-    return F.trim(F.when(sentences != "", sentences).otherwise(F.substring(text, 1, max_chars)))
+    """The sentence of the whole text with the most words, of those that fit ``max_chars``
+    (the earliest of equals); if none fits, the beginning of the first."""
+    def scored(s, i):
+        plain = F.regexp_replace(s, "^[ \t\n\r]+|[ \t\n\r]+$", "")
+        words = F.when(F.length(plain) <= max_chars, F.regexp_count(plain, F.lit("[^ \t\n\r]+"))).otherwise(0)
+        return F.struct(words.alias("words"), (-i).alias("place"), plain.alias("sentence"))
+
+    sentences = F.regexp_extract_all(text, F.lit("[^.!?]+[.!?]*"), 0)
+    best = F.array_max(F.transform(sentences, scored))["sentence"]
+    return F.substring(F.coalesce(best, text), 1, max_chars)
 
 
 def entity_json(text: Column) -> Column:
@@ -78,39 +89,67 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_RE), lambda t: t != "")
 
 
-def dense_vectors(df: DataFrame, key: str, text: str, out: str, dim: int = DENSE_DIM) -> DataFrame:
-    """Hashed bag-of-words vector of ``dim`` floats, L2-normalised, per row of ``df``.
+def _bucket(token: str, memo: dict[str, int]) -> int:
+    if token not in memo:
+        memo[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
+    return memo[token]
 
-    Tokens are counted per (row, bucket) with map-side partial aggregation, so
-    the shuffle carries at most ``dim`` counts per row and partition, never the
-    token stream.  Rows without tokens get no vector.
-    """
-    toks = df.select(F.col(key).alias("__k"), F.explode(tokens(F.col(text))).alias("t"))
-    b = toks.groupBy("__k", F.pmod(F.xxhash64("t"), F.lit(dim)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    v = b.groupBy("__k").agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m"))
-    norm = F.sqrt(F.aggregate(F.map_values("m"), F.lit(0.0), lambda acc, x: acc + x * x))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: (F.coalesce(F.col("m")[i], F.lit(0)) / norm).cast("float"))
-    return v.select(F.col("__k").alias(key), vec.alias(out))
 
+def dense_vector(text: Column, dim: int = DENSE_DIM) -> Column:
+    """Hashed bag-of-words vector of ``dim`` floats, L2-normalised, within the row (an Arrow batch at a
+    time).  A token's bucket is its md5's first 8 hex digits modulo ``dim``; NULL without tokens."""
+    def vectors(texts: pd.Series) -> pd.Series:
+        memo: dict[str, int] = {}
+        out = []
+        for t in texts:
+            counts = np.zeros(dim)
+            for token, n in Counter(_words(t)).items():
+                counts[_bucket(token, memo) % dim] += n
+            norm = np.sqrt((counts * counts).sum())
+            out.append((counts / norm).astype(np.float32) if norm else None)
+        return pd.Series(out)
 
-def token_weights(df: DataFrame, key: str, text: str) -> DataFrame:
-    """E07 as rows ``(key, token, weight)``: tf weight = count / tokens in the row (float).
+    return F.pandas_udf(vectors, "array<float>")(text)
+
+
+def _words(text: str | None) -> list[str]:
+    return _TOKEN.findall(text.lower()) if text else []
 
-    Counts are a (row, token) partial aggregate; the per-row total comes from a
-    second, much smaller aggregate joined back on the row key.
-    """
-    toks = df.select(F.col(key).alias("__k"), F.explode(tokens(F.col(text))).alias("t"))
-    c = toks.groupBy("__k", "t").agg(F.count(F.lit(1)).alias("n"))
-    tot = c.groupBy("__k").agg(F.sum("n").alias("total"))
-    return c.join(tot, "__k").select(F.col("__k").alias(key), F.col("t").alias("token"),
-                                     (F.col("n") / F.col("total")).cast("float").alias("weight"))
 
+def sparse_vector(text: Column) -> Column:
+    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``, within the row."""
+    def vectors(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            words = _words(t)
+            out.append({w: np.float32(n / len(words)) for w, n in Counter(words).items()} or None)
+        return pd.Series(out)
 
-def sparse_weights(df: DataFrame, key: str, text: str, out: str = "weights") -> DataFrame:
-    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``."""
-    w = token_weights(df, key, text)
-    return w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "weight"))).alias(out))
+    return F.pandas_udf(vectors, "map<string,float>")(text)
+
+
+def token_weights(df: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
+    """E07 as rows ``(key, *carry, token, weight)``: tf weight = count / tokens in the row (float).
+
+    The row's own columns and its token total travel with the tokens, so one
+    (row, token) partial aggregate is all there is: no join back.
+    """
+    rows = df.select(key, *carry, tokens(F.col(text)).alias("__t"))
+    toks = rows.select(key, *carry, F.size("__t").alias("__total"), F.explode("__t").alias("token"))
+    counts = toks.groupBy(key, "token", *carry, "__total").agg(F.count(F.lit(1)).alias("__n"))
+    return counts.select(key, *carry, "token", (F.col("__n") / F.col("__total")).cast("float").alias("weight"))
+
+
+def with_embeddings(df: DataFrame, text: str = "text") -> DataFrame:
+    """The three embedding columns filled where they are missing and have something to embed."""
+    def fill(column, source, vector):
+        missing = F.col(column).isNull() & _nonempty(F.col(source))
+        return F.coalesce(F.col(column), vector(F.when(missing, F.col(source))))
+
+    return df.withColumns({
+        "text_embedding_dense": fill("text_embedding_dense", text, dense_vector),
+        "text_embedding_sparse": fill("text_embedding_sparse", text, sparse_vector),
+        "summary_embedding_dense": fill("summary_embedding_dense", "summary", dense_vector)})
 
 
 # -------------------------------------------------------- generic runner

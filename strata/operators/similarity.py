@@ -55,13 +55,28 @@ def dense_topk(vectors: DataFrame, key: str, group: str, vec: str, k: int = 5) -
     return top_k(scored, [group], [F.col("score").desc(), F.col(key)], k, F.xxhash64(key))
 
 
-MAX_QUERIES = 64
-MAX_QUERY_TOKENS = 1_000_000
+def dense_query_topk(queries: DataFrame, q_key: str, vectors: DataFrame, d_key: str, vec: str, k: int = 5,
+                     measure=cosine, block: int = 64, shards: int = 64) -> DataFrame:
+    """Top-k stored vectors for each of any number of query vectors, by cosine (or ``dot``).
+
+    Queries are packed into blocks; vectors are dealt over ``shards``, and every
+    block goes to every shard, where a vector meets a block at a time.
+    """
+    packed = queries.select(F.floor(F.pmod(F.xxhash64(q_key), F.lit(1 << 40)) / F.lit((1 << 40) // block)).alias("b"),
+                            F.struct(F.col(q_key).alias("q"), F.col(vec).alias("v")).alias("e"))
+    packed = packed.groupBy("b", F.pmod(F.xxhash64(F.col("e.q")), F.lit(shards)).alias("c")).agg(F.collect_list("e").alias("block"))
+    packed = packed.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
+    rows = vectors.select(F.col(d_key).alias("d"), F.col(vec).alias("dv"),
+                          F.pmod(F.xxhash64(d_key, F.lit(1)), F.lit(shards)).alias("shard"))
+    met = rows.join(packed, "shard").select("d", F.explode(F.transform("block", lambda e: F.struct(
+        e["q"].alias("q"), F.round(measure(F.col("dv"), e["v"]), 6).alias("score")))).alias("m"))
+    out = top_k(met.select("d", "m.*"), ["q"], [F.col("score").desc(), F.col("d")], k, F.xxhash64("d"))
+    return out.select(F.col("q").alias(q_key), F.col("d").alias(d_key), "score", "rank")
 
 
 def sparse_dot_topk(queries: DataFrame, q_key: str, corpus: DataFrame, d_key: str, weights: str = "weights",
-                    k: int = 10, max_queries: int = MAX_QUERIES) -> DataFrame:
-    """Top-k corpus rows per query by sparse dot product Σ_t w_q(t)·w_d(t).
+                    k: int = 10) -> DataFrame:
+    """Top-k corpus rows per query by sparse dot product Σ_t w_q(t)·w_d(t), for any number of queries.
 
     Inputs are stored sparse vectors (``map<string,float>`` column ``weights``) or,
     without that column, rows ``(id, token, weight)``.  Both sides are equi-joined on
@@ -75,13 +90,6 @@ def sparse_dot_topk(queries: DataFrame, q_key: str, corpus: DataFrame, d_key: st
 
     q = rows(queries, q_key, "wq", "q")
     d = rows(corpus, d_key, "wd", "d")
-    # A token group joins every query holding it with every document holding it, so the
-    # query side must be a small batch: checked here, then broadcast.
-    n_q = q.select("q").distinct().count()
-    n_t = q.count()
-    if n_q > max_queries or n_t > MAX_QUERY_TOKENS:
-        raise ValueError(f"{n_q} queries / {n_t} query tokens: too many for one batch; split the batch")
-    q = F.broadcast(q)
     s = q.join(d, "t").groupBy("q", "d").agg(F.sum(F.col("wq").cast("double") * F.col("wd").cast("double"))
                                              .alias("score"))
     s = s.withColumn("score", F.round("score", 6))

@@ -13,12 +13,26 @@ from strata.plans.registry import query
 from strata.sources import changelog as CL
 from strata.sources.tables import read_table
 
-SUMMARY_RE_SQL = "'^((?s:.){0,199}[.!?])(?:\\s|$)'"
-
 
 def summary_sql(t: str) -> str:
-    head = f"regexp_extract(substring({t}, 1, 201), {SUMMARY_RE_SQL}, 1)"
-    return f"trim(CASE WHEN {head} <> '' THEN {head} ELSE substring({t}, 1, 200) END)"
+    """The sentence with the most words of those within 200 characters; the earliest of equals."""
+    plain = "regexp_replace(s, '^[ \t\n\r]+|[ \t\n\r]+$', '', 'g')"
+    scored = (f"list_transform(regexp_extract_all({t}, '[^.!?]+[.!?]*'), lambda s, i: {{'words': CASE WHEN length({plain}) <= 200 "
+              f"THEN len(regexp_extract_all({plain}, '[^ \t\n\r]+')) ELSE 0 END, 'place': -i, 'sentence': {plain}}})")
+    return f"substring(coalesce(list_aggregate({scored}, 'max').sentence, {t}), 1, 200)"
+
+
+def dense_sql(t: str) -> str:
+    """Hashed vector as text: md5 bucket of 64, L2-normalised, rounded to 5 digits."""
+    tokens = f"list_filter(regexp_split_to_array(lower({t}), '[^a-z0-9]+'), lambda x: x <> '')"
+    buckets = f"list_transform({tokens}, lambda x: CAST(('0x' || substring(md5(x), 1, 8)) AS BIGINT) % 64)"
+    counts = f"list_transform(range(64), lambda b: len(list_filter(k.buckets, lambda x: x = b)))"
+    return (f"(SELECT list_transform(c.n, lambda v: round(CAST(v / sqrt(list_sum(list_transform(c.n, lambda w: w * w))) AS FLOAT), 5)) "
+            f"FROM (SELECT {counts} AS n FROM (SELECT {buckets} AS buckets) k) c WHERE len(list_filter(c.n, lambda v: v > 0)) > 0)")
+
+
+def _rounded(vector):
+    return F.transform(vector, lambda v: F.round(v.cast("double"), 5))
 
 
 @query("pending_summary", f"WITH {F8_SQL} SELECT doc_id FROM f8 WHERE summary IS NULL AND text <> ''")
@@ -45,52 +59,40 @@ def decorate_entities(spark, sf_dir):
     return d.select("doc_id", D.entity_json(F.col("text")).alias("ner_nel"))
 
 
-@query("decorate_dense")
+@query("decorate_dense", f"SELECT doc_id, {dense_sql('text')} AS vector FROM documents")
 def decorate_dense(spark, sf_dir):
-    return D.dense_vectors(read_table(spark, sf_dir, "documents"), "doc_id", "text", "text_embedding_dense")
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", _rounded(D.dense_vector(F.col("text"))).alias("vector"))
 
 
 @query("sparse_weights", """WITH t AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token FROM documents),
 c AS (SELECT doc_id, token, count(*) AS n FROM t WHERE token <> '' GROUP BY ALL)
 SELECT doc_id, token, round(CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY doc_id) AS FLOAT), 6) AS weight FROM c""")
 def sparse_weights(spark, sf_dir):
-    w = D.sparse_weights(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    w = read_table(spark, sf_dir, "documents").select("doc_id", D.sparse_vector(F.col("text")).alias("weights"))
     return w.select("doc_id", F.explode("weights").alias("token", "weight")).withColumn(
         "weight", F.round(F.col("weight").cast("double"), 6))
 
 
-def _fill_dense(silver):
-    todo = silver.where(D._nonempty(F.col("text")) & F.col("text_embedding_dense").isNull())
-    computed = D.dense_vectors(todo, "doc_id", "text", "computed")
-    j = silver.join(computed, "doc_id", "left")
-    return j.withColumn("text_embedding_dense", F.coalesce("text_embedding_dense", "computed")).drop("computed")
-
-
-@query("fill_missing", f"""WITH {F8_SQL} SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN 1 WHEN text = '' THEN NULL ELSE 64 END AS dim
+@query("fill_missing", f"""WITH {F8_SQL} SELECT doc_id, CASE WHEN doc_id % 8 = 0 THEN [-1.0] ELSE {dense_sql('text')} END AS vector
 FROM f8""")
 def fill_missing(spark, sf_dir):
     # Only missing vectors are computed; existing ones are kept.
-    out = _fill_dense(f8_silver(spark, sf_dir))
-    return out.select("doc_id", F.size("text_embedding_dense").alias("dim"))
-
-
-MAX_MODEL_CHARS = 50_000
+    out = D.with_embeddings(f8_silver(spark, sf_dir))
+    return out.select("doc_id", _rounded(F.col("text_embedding_dense")).alias("vector"))
 
 
 def _summarise_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in model with a context limit: over-long inputs fail and stay pending."""
-    out = []
-    for t in pdf["text"]:
-        if len(t) > MAX_MODEL_CHARS:
-            raise ValueError("input longer than the model context")
-        out.append(t[:80])
-    return pd.DataFrame({"summary": out})
+    """A stand-in model that refuses texts with an e-mail address: they fail and stay pending."""
+    if pdf["text"].str.contains("@", regex=False).any():
+        raise ValueError("input holds an address")
+    return pd.DataFrame({"summary": pdf["text"].str.upper()})
 
 
 @query("decorate_counts", f"""WITH {F8_SQL}, p AS (SELECT * FROM f8 WHERE summary IS NULL AND text <> '')
-SELECT count(*) AS pending, CAST(sum(CASE WHEN length(text) <= {MAX_MODEL_CHARS} THEN 1 ELSE 0 END) AS BIGINT) AS succeeded,
-       CAST(sum(CASE WHEN length(text) > {MAX_MODEL_CHARS} THEN 1 ELSE 0 END) AS BIGINT) AS failed,
-       count(*) > 0 AND sum(CASE WHEN length(text) <= {MAX_MODEL_CHARS} THEN 1 ELSE 0 END) = 0 AS run_failed FROM p""")
+SELECT count(*) AS pending, CAST(count(*) FILTER (WHERE text NOT LIKE '%@%') AS BIGINT) AS succeeded,
+       CAST(count(*) FILTER (WHERE text LIKE '%@%') AS BIGINT) AS failed,
+       count(*) > 0 AND count(*) FILTER (WHERE text NOT LIKE '%@%') = 0 AS run_failed FROM p""")
 def decorate_counts(spark, sf_dir):
     todo = D.pending(f8_silver(spark, sf_dir), "summary", "doc_id")
     res = D.run_decorator(todo, _summarise_batch, "doc_id", ["text"], "summary string", batch_rows=16)
@@ -98,23 +100,11 @@ def decorate_counts(spark, sf_dir):
 
 
 def decorate_silver_df(spark, sf_dir):
-    """Summary decorator, then embeddings (text dense + sparse, summary dense), each merged back."""
+    """Summary decorator, then embeddings (text dense + sparse, summary dense): all within the row."""
     silver = f8_silver(spark, sf_dir)
-    todo = D.pending(silver, "summary", "doc_id")
-    summ = todo.select("doc_id", D.extractive_summary(F.col("text")).alias("summary"))
-    silver = M.merge_update(silver, summ, "doc_id", ["summary"]).table
-    emb = D.pending(silver, "embeddings", "doc_id")
-    need_text = emb.where(D._nonempty(F.col("text")))
-    need_sum = emb.where(D._nonempty(F.col("summary")) & F.col("summary_embedding_dense").isNull())
-    dense = D.dense_vectors(need_text.where(F.col("text_embedding_dense").isNull()), "doc_id", "text", "d")
-    sparse = D.sparse_weights(need_text.where(F.col("text_embedding_sparse").isNull()), "doc_id", "text", "s")
-    sdense = D.dense_vectors(need_sum, "doc_id", "summary", "sd")
-    upd = (emb.select("doc_id", "text_embedding_dense", "text_embedding_sparse", "summary_embedding_dense")
-           .join(dense, "doc_id", "left").join(sparse, "doc_id", "left").join(sdense, "doc_id", "left")
-           .select("doc_id", F.coalesce("text_embedding_dense", "d").alias("text_embedding_dense"),
-                   F.coalesce("text_embedding_sparse", "s").alias("text_embedding_sparse"),
-                   F.coalesce("summary_embedding_dense", "sd").alias("summary_embedding_dense")))
-    return M.merge_update(silver, upd, "doc_id", list(D.EMBEDDING_COLUMNS)).table
+    todo = D.pending_condition("summary")
+    silver = silver.withColumn("summary", F.when(todo, D.extractive_summary(F.col("text"))).otherwise(F.col("summary")))
+    return D.with_embeddings(silver)
 
 
 SILVER_SQL = f"""{F8_SQL}, s AS (
@@ -122,15 +112,14 @@ SILVER_SQL = f"""{F8_SQL}, s AS (
 
 
 @query("decorate_silver", f"""WITH {SILVER_SQL}
-SELECT doc_id, summary,
-  CASE WHEN doc_id % 8 = 0 THEN 1 WHEN text <> '' THEN 64 END AS text_dense_dim,
-  CASE WHEN text <> '' THEN true END AS has_sparse,
-  CASE WHEN regexp_matches(lower(summary), '[a-z0-9]') THEN 64 END AS summary_dense_dim FROM s""")
+SELECT doc_id, summary, CASE WHEN doc_id % 8 = 0 THEN [-1.0] ELSE {dense_sql('text')} END AS text_dense,
+  CASE WHEN text <> '' THEN len(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))) END
+    AS sparse_tokens, {dense_sql('summary')} AS summary_dense FROM s""")
 def decorate_silver(spark, sf_dir):
     out = decorate_silver_df(spark, sf_dir)
-    return out.select("doc_id", "summary", F.size("text_embedding_dense").alias("text_dense_dim"),
-                      F.when(F.size("text_embedding_sparse") > 0, F.lit(True)).alias("has_sparse"),
-                      F.size("summary_embedding_dense").alias("summary_dense_dim"))
+    return out.select("doc_id", "summary", _rounded(F.col("text_embedding_dense")).alias("text_dense"),
+                      F.when(F.col("text_embedding_sparse").isNotNull(), F.size("text_embedding_sparse")).cast("long").alias("sparse_tokens"),
+                      _rounded(F.col("summary_embedding_dense")).alias("summary_dense"))
 
 
 @query("decorator_preserved", f"""WITH {SILVER_SQL}
@@ -174,15 +163,15 @@ SELECT lang, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FRO
 def sparse_dot(spark, sf_dir):
     # Sparse dot product with the language's mean sparse vector; top 10 per language.
     d = read_table(spark, sf_dir, "documents")
-    w = D.token_weights(d, "doc_id", "text").join(d.select("doc_id", "lang"), "doc_id")
+    w = D.token_weights(d, "doc_id", "text", carry=["lang"])
     out = SIM.sparse_centroid_topk(w, "doc_id", "lang", k=10)
     return out.withColumn("score", F.round("score", 6))
 
 
 @query("sparse_dot_batch", """WITH
-q AS (SELECT CAST(1 AS BIGINT) AS item_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER () AS FLOAT) AS w FROM (
-        SELECT token, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(string_agg(text, ' ' ORDER BY item_id)),
-        '[^a-z0-9]+')) AS token FROM benchmark) WHERE token <> '' GROUP BY token)),
+q AS (SELECT item_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY item_id) AS FLOAT) AS w FROM (
+        SELECT item_id, token, count(*) AS n FROM (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token
+        FROM benchmark) WHERE token <> '' GROUP BY ALL)),
 wd AS (SELECT doc_id, token, CAST(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY doc_id) AS FLOAT) AS w FROM (
   SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token
   FROM documents) WHERE token <> '' GROUP BY ALL)),
@@ -191,11 +180,22 @@ s AS (SELECT item_id, doc_id, round(sum(CAST(q.w AS DOUBLE) * CAST(wd.w AS DOUBL
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
 def sparse_dot_batch(spark, sf_dir):
-    # E11 with an explicit query: the whole benchmark set as one sparse query vector
-    # (a checked, bounded query batch), top 10 documents.
-    # The query vector is a (token) count aggregate over every benchmark row -- one row per
-    # distinct token, never the texts gathered in one place.
-    b = read_table(spark, sf_dir, "benchmark").select(F.lit(1).cast("bigint").alias("item_id"), "text")
-    q = D.token_weights(b, "item_id", "text")
+    # E11 with given queries: every benchmark item is a query against all documents, top 10 each.
+    q = D.token_weights(read_table(spark, sf_dir, "benchmark"), "item_id", "text")
     d = D.token_weights(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return SIM.sparse_dot_topk(q, "item_id", d, "doc_id", k=10)
+
+
+@query("dense_query_topk", """WITH q AS (SELECT * FROM embeddings WHERE vec_id % 20 = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, round(
+        list_sum(list_transform(list_zip(e.embedding, q.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))
+        / (sqrt(list_sum(list_transform(e.embedding, lambda v: CAST(v AS DOUBLE) * CAST(v AS DOUBLE))))
+           * sqrt(list_sum(list_transform(q.embedding, lambda v: CAST(v AS DOUBLE) * CAST(v AS DOUBLE))))), 6) AS score
+      FROM q CROSS JOIN embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+def dense_query_topk(spark, sf_dir):
+    # The given query vectors (every 20th stored one) against all vectors.
+    e = read_table(spark, sf_dir, "embeddings")
+    q = e.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    return SIM.dense_query_topk(q, "query_id", e, "vec_id", "embedding", k=5)
