@@ -8,6 +8,7 @@ from strata.operators import merge as M
 from strata.operators.relational import change_type_filter, required_columns
 from strata.plans.fixtures import F1_FINAL_SQL, F1_SQL, F1N_EXTRA_SQL, ORDER_COLS, f1_change_log, f1n_change_log
 from strata.plans.registry import query
+from strata.session import scratch_path
 from strata.sources import changelog as CL
 from strata.sources.tables import read_table, scan_table
 
@@ -229,3 +230,19 @@ SELECT * FROM feed WHERE _change_type = 'delete'
    OR (o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL AND trim(o_orderpriority) <> '')""")
 def required_columns_q(spark, sf_dir):
     return required_columns(_req_feed(spark, sf_dir), ["o_totalprice", "o_orderpriority"])
+
+
+@query("log_schema_evolution", """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority
+FROM orders UNION ALL SELECT o_orderkey + 10000000, o_totalprice, NULL FROM orders WHERE o_orderkey % 10 = 1""")
+def log_schema_evolution(spark, sf_dir):
+    # K05 on a stored log: a column that comes with the second commit, and a third commit without it.
+    root = scratch_path(spark, "evolving")
+    o = read_table(spark, sf_dir, "orders")
+    narrow = o.select("o_orderkey", "o_totalprice")
+    CL.commit(spark, narrow.withColumn(CL.CHANGE_TYPE, F.lit("insert")), root)
+    CL.write_snapshot(spark, root, "o_orderkey", 0)
+    wide = o.where(F.col("o_orderkey") % 2 == 0).select("o_orderkey", "o_totalprice", "o_orderpriority")
+    CL.commit(spark, wide.withColumn(CL.CHANGE_TYPE, F.lit("update_postimage")), root)
+    late = narrow.where(F.col("o_orderkey") % 10 == 1).withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+    CL.commit(spark, late.withColumn(CL.CHANGE_TYPE, F.lit("insert")), root)
+    return CL.snapshot_at(spark, root, "o_orderkey")

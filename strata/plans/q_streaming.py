@@ -10,6 +10,7 @@ from strata.plans.fixtures import F1_FINAL_SQL, F1_SQL, ORDER_COLS, f1_change_lo
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sources import changelog as CL
+from strata.sources.tables import read_table
 from strata.streaming import cdf
 
 META = ["_change_type", "_commit_version", "_commit_timestamp"]
@@ -97,3 +98,22 @@ def bronze_to_silver_run(spark, sf_dir, root):
 @query("bronze_to_silver", f"WITH {F1_FINAL_SQL} SELECT *, {DECOR_SQL} FROM f1_final")
 def bronze_to_silver(spark, sf_dir):
     return bronze_to_silver_run(spark, sf_dir, scratch_path(spark, "b2s"))
+
+
+@query("stream_null_keys", """SELECT CASE WHEN c_custkey % 7 = 0 THEN 'quarantined' ELSE 'merged' END AS fate, c_name,
+  c_mktsegment || CASE WHEN c_custkey % 7 > 0 AND c_custkey % 3 = 0 THEN '-NEW' ELSE '' END AS c_mktsegment FROM customer""")
+def stream_null_keys(spark, sf_dir):
+    # Rows without a key are set aside; the others are inserted and, a commit later, updated.
+    root = scratch_path(spark, "null-keys")
+    c = read_table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 7 > 0, F.col("c_custkey")).alias("c_custkey"), "c_name", "c_mktsegment")
+    CL.commit(spark, c.withColumn(CL.CHANGE_TYPE, F.lit("insert")), f"{root}/bronze")
+    config = cdf.StreamConfig(f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", "null-keys")
+    CL.commit(spark, c.limit(0).withColumn(CL.CHANGE_TYPE, F.lit("insert")), f"{root}/silver", operation="CREATE")
+    cdf.run_stream(spark, config, "c_custkey")
+    new = c.where(F.col("c_custkey") % 3 == 0).withColumn("c_mktsegment", F.concat("c_mktsegment", F.lit("-NEW")))
+    CL.commit(spark, new.withColumn(CL.CHANGE_TYPE, F.lit("update_postimage")), f"{root}/bronze")
+    cdf.run_stream(spark, config, "c_custkey")
+    merged = CL.snapshot_at(spark, f"{root}/silver", "c_custkey").select(F.lit("merged").alias("fate"), "c_name", "c_mktsegment")
+    aside = spark.read.parquet(cdf.quarantine_root(f"{root}/silver"))
+    return merged.unionByName(aside.select(F.lit("quarantined").alias("fate"), "c_name", "c_mktsegment"))

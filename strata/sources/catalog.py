@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from strata.functions.schema import ddl_from_schema
+from strata.functions.schema import assert_not_null, ddl_from_schema
 
 CDF_PROPERTY = "delta.enableChangeDataFeed"
 
@@ -30,6 +30,8 @@ def create_or_append(df: DataFrame, name: str, partition_by=()) -> str:
     """Append when the table exists, else create it; returns which one happened."""
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
+    if exists:
+        df = assert_not_null(df, [f.name for f in spark.table(name).schema.fields if not f.nullable])
     w = df.write.mode("append" if exists else "errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # The change types of a change feed and their order inside one version.
 CHANGE_TYPES = ("insert", "update_preimage", "update_postimage", "delete")
@@ -168,33 +169,53 @@ def next_version(spark: SparkSession, root: str) -> int:
     return (v[-1] + 1) if v else 0
 
 
+def version_path(root: str, version: int) -> str:
+    return f"{root}/{VERSION}={version}"
+
+
+def log_schema(spark: SparkSession, root: str) -> StructType | None:
+    """Schema of the log: that of its newest commit, which holds every earlier column (see ``commit``)."""
+    versions = committed_versions(spark, root)
+    if not versions:
+        return None
+    newest = spark.read.parquet(version_path(root, versions[-1])).schema
+    return StructType([*newest.fields, StructField(VERSION, LongType(), True)])
+
+
 def read_log(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """Read every committed version (staging folders start with ``_`` and stay hidden)."""
+    """Read every committed version (staging folders start with ``_`` and stay hidden).
+
+    Columns that came with a later commit read as NULL in the earlier ones.
+    """
     reader = spark.read.option("basePath", root)
+    schema = schema or log_schema(spark, root)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(root)
 
 
 def batch_seen(spark: SparkSession, root: str, batch_ref: str) -> bool:
-    """True when the newest commit carries ``batch_ref`` (a batch replayed after a crash).
+    """True when a commit carries ``batch_ref`` (a batch replayed after a crash).
 
-    A replay can only follow the last commit (the crash fell between the commit
-    and the stream's checkpoint), so only that version's folder is read: the
-    check does not grow with the table's history.
+    A replay follows its query's last commit, but other writers may have
+    committed since: versions are looked at from the newest down to the first one
+    of the same query, so the check does not grow with the table's history.
     """
-    versions = committed_versions(spark, root)
-    if not versions:
-        return False
-    last = spark.read.parquet(f"{root}/{VERSION}={versions[-1]}")
-    if BATCH_REF not in last.columns:
-        return False
-    return not last.where(F.col(BATCH_REF) == batch_ref).limit(1).isEmpty()
+    query = batch_ref.rsplit(":", 1)[0]
+    for version in reversed(committed_versions(spark, root)):
+        folder = spark.read.parquet(version_path(root, version))
+        if BATCH_REF not in folder.columns:
+            continue
+        row = folder.select(BATCH_REF).first()  # one value per commit
+        if row is not None and row[0] is not None and row[0].rsplit(":", 1)[0] == query:
+            return row[0] == batch_ref
+    return False
 
 
 def commit(spark: SparkSession, changes: DataFrame, root: str, version: int | None = None,
-           operation: str = "WRITE", commit_ts=None, batch_ref: str | None = None) -> int:
-    """Write one version, once.
+           operation: str = "WRITE", commit_ts=None, batch_ref: str | None = None,
+           partition_by: Sequence[str] = ()) -> int:
+    """Write one version, once (its files below folders of ``partition_by``).
 
     Rows are written to ``<root>/_staging/<uuid>`` and the folder is renamed to
     ``_commit_version=N`` without overwrite, so readers and the change stream
@@ -211,11 +232,15 @@ def commit(spark: SparkSession, changes: DataFrame, root: str, version: int | No
         ts = F.col(COMMIT_TS).cast("timestamp_ntz")
     else:
         ts = F.localtimestamp()
+    known = log_schema(spark, root)
+    for field in known.fields if known is not None else ():  # a commit holds all columns of those before it
+        if field.name not in (VERSION, COMMIT_TS, OPERATION, BATCH_REF) and field.name not in out.columns:
+            out = out.withColumn(field.name, F.lit(None).cast(field.dataType))
     out = (out.withColumn(COMMIT_TS, ts)
            .withColumn(OPERATION, F.lit(operation))
            .withColumn(BATCH_REF, F.lit(batch_ref).cast("string")))
     staging = f"{root}/_staging/{uuid.uuid4().hex}"
-    out.write.mode("errorifexists").parquet(staging)
+    out.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
     jvm, conf, src, fs = _jvm_fs(spark, staging)
     dst = jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION}={version}")
     fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(src.toUri(), conf)
@@ -239,7 +264,7 @@ def snapshots_root(root: str) -> str:
 
 def write_snapshot(spark: SparkSession, root: str, key, version: int) -> str:
     """Materialise the state at ``version`` so later reads replay only newer commits."""
-    state = snapshot(read_log(spark, root), key, as_of=version)
+    state = snapshot_at(spark, root, key, as_of=version)  # from the stored snapshot before it
     path = f"{snapshots_root(root)}/version={version}"
     state.write.mode("errorifexists").parquet(path)
     return path
@@ -249,14 +274,18 @@ def snapshot_at(spark: SparkSession, root: str, key, as_of: int | None = None,
                 only_keys: DataFrame | None = None) -> DataFrame:
     """S03 on storage: newest stored snapshot <= ``as_of`` + the commits after it.
 
-    ``only_keys`` restricts the result to those keys with a semi join *before* the
-    latest-per-key aggregate (a merge needs only the rows its batch touches).
+    ``only_keys`` restricts the result to those keys with a null-safe semi join *before*
+    the latest-per-key aggregate (a merge needs only the rows its batch touches).
     """
     log = read_log(spark, root)
     keys = _keys(key)
 
     def restrict(df):
-        return df if only_keys is None else df.join(only_keys.select(*keys).distinct(), keys, "left_semi")
+        if only_keys is None:
+            return df
+        wanted = only_keys.select(*[F.col(k).alias(f"__want_{k}") for k in keys]).distinct()
+        same = [df[k].eqNullSafe(wanted[f"__want_{k}"]) for k in keys]
+        return df.join(wanted, same, "left_semi")
 
     base_version = None
     jvm, _, jpath, fs = _jvm_fs(spark, snapshots_root(root))
@@ -267,7 +296,8 @@ def snapshot_at(spark: SparkSession, root: str, key, as_of: int | None = None,
         base_version = stored[-1] if stored else None
     if base_version is None:
         return snapshot(restrict(log), key, as_of=as_of)
-    base = restrict(spark.read.parquet(f"{snapshots_root(root)}/version={base_version}"))
+    base = restrict(spark.read.schema(StructType([f for f in log.schema.fields if f.name in data_columns(log)]))
+                    .parquet(f"{snapshots_root(root)}/version={base_version}"))
     newer = restrict(log.where(F.col(VERSION) > base_version))
     base_log = base.select(*[F.col(f"`{c}`") for c in data_columns(newer)]).withColumn(
         CHANGE_TYPE, F.lit("insert")).withColumn(VERSION, F.lit(base_version).cast("int"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -32,10 +31,3 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES, prefix: str
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """Read a table by catalog name."""
     return spark.table(name)
-
-
-def with_utc_timestamps(df: DataFrame, *cols: str) -> DataFrame:
-    """Event-time operators need TIMESTAMP (LTZ); the provided data is NTZ."""
-    for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp"))
-    return df

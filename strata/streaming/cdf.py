@@ -9,15 +9,17 @@ new target version.  A batch replayed after a crash is recognised by its
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.merge import UPSERT_TYPES, apply_changes
-from strata.operators.metrics import batch_metrics
+from strata.operators.metrics import batch_metrics, batch_outcome
 from strata.operators.relational import change_type_filter
 from strata.sources import changelog as CL
 
@@ -49,6 +51,8 @@ def read_change_stream(spark: SparkSession, config: StreamConfig, schema=None) -
     if schema is None:
         schema = CL.read_log(spark, config.source).schema
     df = spark.readStream.schema(schema).option("basePath", config.source).parquet(config.source)
+    if has_progress(spark, config.checkpoint):
+        return df
     if config.starting_version is not None:
         df = df.where(F.col(CL.VERSION) >= F.lit(config.starting_version))
     elif config.starting_timestamp is not None:
@@ -56,13 +60,25 @@ def read_change_stream(spark: SparkSession, config: StreamConfig, schema=None) -
     return df
 
 
+def has_progress(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream has run with this checkpoint: then it, not a start option, says where to go on."""
+    _, _, path, fs = CL._jvm_fs(spark, f"{checkpoint}/offsets")
+    return bool(fs.exists(path)) and len(fs.listStatus(path)) > 0
+
+
+def quarantine_root(target: str) -> str:
+    """Rows that cannot be merged (a NULL in their key) are kept beside the target log."""
+    return target.rstrip("/") + "__quarantine"
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: StreamConfig, key,
                 columns: Sequence[str] | None = None, upsert_types: Sequence[str] = UPSERT_TYPES,
                 metrics_path: str | None = None, stream_name: str | None = None,
                 snapshot_every: int = 10) -> int | None:
     """One micro-batch: nothing for an empty batch; otherwise collapse, merge into the
     target's current state and commit the resulting change rows as one target version.
-    Errors propagate so the batch is retried.
+    Errors propagate so the batch is retried.  Rows with a NULL in the key are not
+    merged: they go to the quarantine folder, one sub-folder per batch.
 
     Only the target rows of the batch's keys are rebuilt (semi join before the snapshot
     aggregate), and every ``snapshot_every`` versions the target state is stored beside
@@ -74,18 +90,35 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: St
     if CL.batch_seen(spark, config.target, ref):
         return None
     key_cols = [key] if isinstance(key, str) else list(key)
-    current = CL.snapshot_at(spark, config.target, key_cols, only_keys=batch)
-    result = apply_changes(current, batch, key_cols, columns=columns, upsert_types=upsert_types)
-    version = CL.commit(spark, result.changes, config.target, operation="MERGE", batch_ref=ref)
-    if snapshot_every and version % snapshot_every == 0:
-        CL.write_snapshot(spark, config.target, key_cols, version)
-    if metrics_path:
-        # Merge counts come from the commit just written (one version folder), not a second merge.
-        written = spark.read.parquet(f"{config.target}/{CL.VERSION}={version}")
-        m = batch_metrics(batch, written, stream_name or config.query_name or "stream")
-        m.withColumn("batch_id", F.lit(batch_id)).withColumn("ts", F.localtimestamp()).write.mode(
-            "append").parquet(metrics_path)
-    return version
+    began, name = time.monotonic(), stream_name or config.query_name or "stream"
+    batch = batch.persist()  # its keys, its changes and its counts are read below
+    try:
+        no_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in key_cols])
+        bad, good = batch.where(no_key), batch.where(~no_key)
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{quarantine_root(config.target)}/batch={batch_id}")
+        current = CL.snapshot_at(spark, config.target, key_cols, only_keys=good)
+        result = apply_changes(current, good, key_cols, columns=columns, upsert_types=upsert_types)
+        version = CL.commit(spark, result.changes, config.target, operation="MERGE", batch_ref=ref)
+        if snapshot_every and version % snapshot_every == 0:
+            CL.write_snapshot(spark, config.target, key_cols, version)
+        if metrics_path:
+            # Merge counts come from the commit just written (one version folder), not a second merge.
+            written = spark.read.parquet(CL.version_path(config.target, version))
+            rows = batch_metrics(batch, written, name).unionByName(batch_outcome(
+                spark, name, time.monotonic() - began, failed=False, rejected=bad.count()))
+            write_metrics(rows, batch_id, metrics_path)
+        return version
+    except Exception:
+        if metrics_path:
+            write_metrics(batch_outcome(spark, name, time.monotonic() - began, failed=True), batch_id, metrics_path)
+        raise
+    finally:
+        batch.unpersist()
+
+
+def write_metrics(rows: DataFrame, batch_id: int, path: str) -> None:
+    rows.withColumn("batch_id", F.lit(batch_id)).withColumn("ts", F.localtimestamp()).write.mode("append").parquet(path)
 
 
 def run_stream(spark: SparkSession, config: StreamConfig, key, transform: Transform | None = None,
