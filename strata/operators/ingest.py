@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from strata.functions.schema import assert_not_null
 from strata.functions.text import chapter_id
 from strata.operators import metadata as MD
+from strata.session import materialize
+from strata.sources import changelog as CL
 
 # The two table layouts (column order and NOT NULL columns).
 CHAPTER_SCHEMA = StructType([
@@ -35,6 +38,7 @@ DOCUMENT_SCHEMA = StructType([
 
 # Inputs whose conversion needs tools that are not part of this engine.
 MEDIA_EXTENSIONS = ("jpg", "jpeg", "png", "wav", "mp3", "m4a", "mp4")
+TEXT_EXTENSIONS = ("txt", "text", "md", "markdown", "html", "htm", "csv", "xml", "rss", "atom", "json", "jsonl")
 PROCESSED, FAILED = "processed", "failed"
 
 
@@ -43,11 +47,30 @@ def extension(name: Column) -> Column:
 
 
 def parse_error(name: Column) -> Column:
-    """The converter's verdict; NULL when the file converts."""
+    """The converter's verdict by file type; NULL where the type converts."""
     ext = extension(name)
     return F.when(ext.isin(*MEDIA_EXTENSIONS), F.concat(F.lit("ValueError('no converter for "), ext, F.lit("')")))
 
 
+def decode_files(files: DataFrame) -> DataFrame:
+    """``scan_inbox`` rows -> file_hash (of the bytes), text, error: each file is really decoded.
+
+    Text, Markdown, HTML, CSV and XML need valid UTF-8, JSON (one value, or one a
+    line) must parse as well; what fails keeps its reason and a NULL text.
+    """
+    raw, ext = F.col("content").cast("string"), extension(F.col("filename"))
+    lines = F.filter(F.split(raw, "\n"), lambda x: F.trim(x) != "")
+    broken = F.when(ext == "json", F.try_parse_json(raw).isNull()).when(
+        ext == "jsonl", F.exists(lines, lambda x: F.try_parse_json(x).isNull()))
+    error = (F.when(parse_error(F.col("filename")).isNotNull(), parse_error(F.col("filename")))
+             .when(~ext.isin(*TEXT_EXTENSIONS), F.concat(F.lit("ValueError('no converter for "), ext, F.lit("')")))
+             .when(~F.is_valid_utf8(raw), F.lit("UnicodeDecodeError('not valid utf-8')"))
+             .when(broken, F.lit("JSONDecodeError('not valid json')")))
+    return files.select("path", "filename", F.col("modificationTime").alias("modified_at"),
+                        F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("file_hash"), error.alias("error"),
+                        F.when(error.isNull(), F.replace(raw, F.lit("\r\n"), F.lit("\n"))).alias("text"))
+
+
 def classify_files(parsed: DataFrame, known_hashes: DataFrame) -> DataFrame:
     """Outcome per file: failed (parse error), duplicate (hash already stored, or an
     earlier path of this run has it), else ingested.  The duplicate test follows parsing,
@@ -100,13 +123,19 @@ def file_metadata(text: Column, filename: Column) -> Column:
 
 
 def document_rows(files: DataFrame, ingested_at: Column) -> DataFrame:
-    """One row per ingested file in the fixed document layout."""
+    """One row per ingested file in the fixed document layout.
+
+    Metadata come from the header block, the stored text begins after it; the
+    size is that of the file's bytes where the scan gave it.
+    """
     meta = file_metadata(F.col("text"), F.col("filename"))
+    size = F.col("size_bytes") if "size_bytes" in files.columns else F.octet_length("text")
+    body = MD.strip_header(F.col("text"))
     return files.select(
         F.col("file_hash").alias("document_id"), "file_hash", "filename", extension(F.col("filename")).alias("extension"),
         meta["title"].alias("title"), meta["author"].alias("author"), meta["publication_date"].alias("publication_date"),
-        F.octet_length("text").cast("long").alias("size_bytes"), F.col("modified_at").cast("timestamp").alias("modified_at"),
-        F.length("text").alias("char_count"), "text", ingested_at.cast("timestamp").alias("ingested_at"))
+        size.cast("long").alias("size_bytes"), F.col("modified_at").cast("timestamp").alias("modified_at"),
+        F.length(body).alias("char_count"), body.alias("text"), ingested_at.cast("timestamp").alias("ingested_at"))
 
 
 def book_rows(books: DataFrame, chapters: DataFrame, ingested_at: Column) -> DataFrame:
@@ -122,19 +151,59 @@ def book_rows(books: DataFrame, chapters: DataFrame, ingested_at: Column) -> Dat
                     "chapter_name", "text", "split_strategy", ingested_at.cast("timestamp").alias("ingested_at"))
 
 
+def book_chapters(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files with their strategy, chapters): books are split after their header block."""
+    from strata.operators.splitting import split_cascade
+
+    chapters = materialize(split_cascade(files.select("doc_id", MD.strip_header(F.col("text")).alias("text"))), "chapters")
+    strategy = chapters.groupBy("doc_id").agg(F.first("strategy").alias("strategy"))
+    return files.join(strategy, "doc_id"), chapters
+
+
+LAYOUTS = {"documents": (DOCUMENT_SCHEMA, "document_id"), "books": (CHAPTER_SCHEMA, "chapter_id")}
+
+
 def run_ingest(spark, inbox: DataFrame, known_hashes: DataFrame, kind: str = "documents"):
-    """One ingest run.  An empty inbox stops before the table is touched (returns None);
-    otherwise returns (outcomes, rows) for the chosen scan type (``documents`` or ``books``)."""
+    """(outcomes, rows) of one run over decoded files (``decode_files``), or None for an empty
+    inbox.  Rows are checked against the layout's NOT NULL columns when they are written."""
     if inbox.isEmpty():
         return None
-    parsed = inbox.withColumn("file_hash", F.sha2("text", 256)).withColumn("error", parse_error(F.col("filename")))
+    parsed = inbox
+    if "file_hash" not in parsed.columns:
+        parsed = parsed.withColumn("file_hash", F.sha2("text", 256))
+    if "error" not in parsed.columns:
+        parsed = parsed.withColumn("error", parse_error(F.col("filename")))
     outcomes = classify_files(parsed, known_hashes)
     new = outcomes.where(F.col("outcome") == "ingested")
     now = F.current_timestamp()
     if kind == "documents":
-        return outcomes, document_rows(new, now)
-    from strata.operators.splitting import split_cascade
+        rows = document_rows(new, now)
+    else:
+        if "doc_id" not in new.columns:
+            new = new.withColumn("doc_id", F.col("path"))
+        rows = book_rows(*book_chapters(new), now)
+    return outcomes, assert_not_null(rows, [f.name for f in LAYOUTS[kind][0].fields if not f.nullable])
 
-    chapters = split_cascade(new.select("doc_id", "text"))
-    strategy = chapters.groupBy("doc_id").agg(F.first("strategy").alias("strategy"))
-    return outcomes, book_rows(new.join(strategy, "doc_id"), chapters, now)
+
+def ingest_folder(spark, folder: str, target: str, kind: str = "documents"):
+    """Inbox to table: scan, decode, classify against the table, and one commit of the new rows.
+
+    Returns (outcomes, version); None for an empty inbox; the version is None when no file was new.
+    """
+    files = MD.scan_inbox(spark, folder)
+    if files.isEmpty():
+        return None
+    return ingest_files(spark, files, target, kind)
+
+
+def ingest_files(spark, files: DataFrame, target: str, kind: str = "documents"):
+    """``ingest_folder`` for the rows of a scan."""
+    decoded = materialize(decode_files(files), "decoded")  # bytes are read and decoded once
+    known = CL.read_log(spark, target).select("file_hash") if CL.committed_versions(spark, target) else \
+        decoded.select("file_hash").limit(0)
+    outcomes, rows = run_ingest(spark, decoded, known, kind)
+    outcomes = materialize(outcomes.select("path", "filename", "file_hash", "outcome", "error"), "outcomes")
+    if outcomes.where(F.col("outcome") == "ingested").isEmpty():
+        return outcomes, None
+    changes = rows.withColumn(CL.CHANGE_TYPE, F.lit("insert"))
+    return outcomes, CL.commit(spark, changes, target, operation="INGEST")

@@ -14,10 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.text import parse_date
+from strata.functions.text import let, parse_date, pystrip
 
 # Header fields of the converted-EPUB metadata block.
-HEADER_FIELDS = ("Title", "Authors", "Author", "Language", "Publisher", "Date", "Description", "Identifier")
 HEADER_LINE = r"\*\*(Title|Authors?|Language|Publisher|Date|Description|Identifier):\*\*"
 # Every file extension the converter accepts (compared in lower case).
 SUPPORTED_EXTENSIONS = ("pdf epub docx pptx xlsx xls html htm csv json jsonl xml rss atom txt text md "
@@ -26,42 +25,40 @@ SUPPORTED_EXTENSIONS = ("pdf epub docx pptx xlsx xls html htm csv json jsonl xml
 _NL = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
 
 
-def _pystrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+def _header(text: Column) -> Column:
+    """struct(head, body): the leading run of blank and ``**Field:** value`` lines, and the lines after it."""
+    def cut(lines):
+        other = F.transform(lines, lambda x: (F.length(pystrip(x)) > 0) & ~x.rlike("^" + HEADER_LINE))
+        n = F.when(F.array_position(other, True) > 0, F.array_position(other, True) - 1).otherwise(F.size(lines))
+        return let(n.cast("int"), lambda k: F.struct(
+            F.filter(F.slice(lines, 1, k), lambda x: x.rlike("^" + HEADER_LINE)).alias("head"),
+            F.slice(lines, k + 1, F.size(lines)).alias("body")))
 
-
-def header_block(text: Column) -> Column:
-    """The leading run of blank and ``**Field:** value`` lines."""
-    blank = r"[^\S\r\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029]*" + _NL
-    field = HEADER_LINE + r"[^\r\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029]*(?:" + _NL + "|$)"
-    return F.regexp_extract(text, f"^(?:{blank}|{field})*", 0)
+    return let(F.split(text, _NL), cut)
 
 
 def header_metadata(text: Column) -> Column:
     """Fields of the header block; a later line overrides an earlier one;
     ``Author`` and ``Authors`` are one field."""
-    block = header_block(text)
-    keys = F.regexp_extract_all(block, F.lit(r"(?m)^" + HEADER_LINE), 1)
-    vals = F.regexp_extract_all(block, F.lit(r"(?m)^" + HEADER_LINE + r"([^\r\n]*)"), 2)
-    pairs = F.arrays_zip(F.transform(keys, lambda k: F.regexp_replace(F.lower(k), "s$", "")).alias("k"),
-                         F.transform(vals, lambda v: _pystrip(v)).alias("v"))
+    def fields(head):
+        pairs = F.transform(head, lambda x: F.struct(
+            F.regexp_replace(F.lower(F.regexp_extract(x, HEADER_LINE, 1)), "s$", "").alias("k"),
+            pystrip(F.regexp_extract(x, "^" + HEADER_LINE + "(.*)$", 2)).alias("v")))
+
+        def last(name):
+            return F.nullif(F.try_element_at(F.filter(pairs, lambda p: p["k"] == name), F.lit(-1))["v"], F.lit(""))
 
-    def last(name):
-        return F.try_element_at(F.filter(pairs, lambda p: p["k"] == name), F.lit(-1))["v"]
+        return F.struct(last("title").alias("title"), last("author").alias("author"),
+                        parse_date(last("date")).alias("publication_date"), (F.size(head) > 0).alias("has_header"))
 
-    return F.struct(F.nullif(last("title"), F.lit("")).alias("title"),
-                    F.nullif(last("author"), F.lit("")).alias("author"),
-                    parse_date(last("date")).alias("publication_date"),
-                    (F.size(keys) > 0).alias("has_header"))
+    return let(_header(text)["head"], fields)
 
 
 def strip_header(text: Column) -> Column:
     """The body after the header block (lines re-joined with LF); unchanged without a header."""
-    block = header_block(text)
-    has = F.size(F.regexp_extract_all(block, F.lit(r"(?m)^" + HEADER_LINE), 1)) > 0
-    rest = F.substr(text, F.length(block) + 1)
-    body = F.regexp_replace(F.regexp_replace(rest, _NL, "\n"), r"\n$", "")
-    return F.when(has, body).otherwise(text)
+    body = let(_header(text), lambda h: F.when(F.size(h["head"]) > 0, F.regexp_replace(
+        F.array_join(h["body"], "\n"), r"\n$", "")))
+    return F.coalesce(body, text)
 
 
 # Year and author patterns of file names.
@@ -94,7 +91,7 @@ def xml_metadata(xml: Column) -> Column:
     """Title, creator and created date of an office core-properties XML document."""
     def text(tag):
         v = F.xpath_string(xml, F.lit(f"//*[local-name()='{tag}']"))
-        return F.nullif(_pystrip(v), F.lit(""))
+        return F.nullif(pystrip(v), F.lit(""))
 
     return F.struct(text("title").alias("title"), text("creator").alias("author"),
                     parse_date(text("created")).alias("publication_date"))
@@ -116,7 +113,7 @@ def inbox_accepts(name: Column, extensions: Sequence[str] = SUPPORTED_EXTENSIONS
 
 
 def scan_inbox(spark, folder: str) -> DataFrame:
-    """Direct children of the inbox (not recursive), accepted names only, sorted by path.
+    """Direct children of the inbox (not recursive), accepted names only.
 
     ``binaryFile`` reads bytes on the executors; a missing folder is an empty scan.
     """
@@ -131,7 +128,7 @@ def scan_inbox(spark, folder: str) -> DataFrame:
         return spark.createDataFrame([], schema).withColumn("filename", F.lit(None).cast("string"))
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
     df = df.withColumn("filename", F.regexp_extract("path", r"([^/]+)$", 1))
-    return df.where(inbox_accepts(F.col("filename"))).orderBy("path")
+    return df.where(inbox_accepts(F.col("filename")))
 
 
 # ------------------------------------------------------------------ HTML

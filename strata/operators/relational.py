@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -13,27 +13,23 @@ from strata.sources.changelog import CHANGE_TYPE, CHANGE_TYPES
 
 
 def change_type_filter(df: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Keep the listed change types; empty or unknown types are rejected up front."""
-    if not types:
-        raise ValueError("At least one change type must be provided.")
-    bad = sorted(set(types) - set(CHANGE_TYPES))
-    if bad:
-        raise ValueError(f"Invalid change types: {bad}")
-    return df.where(F.col(CHANGE_TYPE).isin(*types))
+    """Keep the listed change types; a list that is empty or names others is refused up front."""
+    wanted = set(types)
+    if not wanted or not wanted.issubset(CHANGE_TYPES):
+        raise ValueError(f"change types must be some of {', '.join(CHANGE_TYPES)}; got {sorted(wanted)}")
+    return df.where(F.col(CHANGE_TYPE).isin(sorted(wanted)))
 
 
 def required_predicate(df: DataFrame, columns: Sequence[str]) -> Column:
     """Every column non-null; string columns must also hold more than spaces."""
     if not columns:
-        raise ValueError("At least one required column must be provided.")
-    parts = []
-    for name in columns:
-        field = df.schema[name]  # unknown column -> KeyError, as intended
-        cond = F.col(f"`{name}`").isNotNull()
-        if isinstance(field.dataType, StringType):
-            cond = cond & (F.trim(F.col(f"`{name}`")) != "")
-        parts.append(cond)
-    return reduce(lambda a, b: a & b, parts)
+        raise ValueError("required columns: none given")
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise KeyError(f"required columns not in the table: {missing}")
+    filled = [F.length(F.trim(F.col(f"`{c}`"))) > 0 if c in text else F.col(f"`{c}`").isNotNull() for c in columns]
+    return F.coalesce(reduce(Column.__and__, filled), F.lit(False))
 
 
 def required_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,44 +59,55 @@ def most_common(df: DataFrame, group: Sequence[str], value: str, position: str)
         F.max("n").alias("count"))
 
 
-LARGE_LIMIT = 100_000
+def _numbered(df: DataFrame, *order) -> DataFrame:
+    """``df`` with __slice and __place: rows range-partitioned and sorted by ``order``, numbered within each slice.
+
+    Written once, so the numbers are fixed.  No key and no group meets in one
+    task: a slice is a range of the whole order.
+    """
+    from strata.session import materialize
+
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "__id", F.monotonically_increasing_id())  # the number of the partition, and of the row in it
+    ranged = ranged.withColumn("__slice", F.shiftright("__id", 33)).withColumn(
+        "__place", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+    return materialize(ranged.drop("__id"), "numbered")
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], n: int | None, key: str | None = None) -> DataFrame:
-    """``LIMIT n`` made deterministic by a total order; 0/None means no limit.
+    """The first ``n`` rows in a total order; 0/None means no limit.
 
-    Small n: ``orderBy().limit(n)`` (TakeOrderedAndProject: each task keeps its
-    top n, one task merges them).  Large n over a unique integer ``key``: the
-    rows are ranked with :func:`position_within` and filtered, so no single task
-    ever holds the n rows (a per-run cap of millions stays distributed).
+    One plan for any n and any type of key: rows are range-partitioned by the
+    order and numbered, and the counts of the slices before give each row's rank.
     """
     if not n:
         return df
-    if key is not None and n > LARGE_LIMIT and df.schema[key].dataType.typeName() in ("long", "integer", "short"):
-        ranked = position_within(df, [], key, span=1 << 20, name="__pos")
-        return ranked.where(F.col("__pos") < n).drop("__pos", "__pos_count")
-    return df.orderBy(*order).limit(n)
-
-
-def position_within(df: DataFrame, group: Sequence[str], order: str, span: int = 1 << 16,
-                    name: str = "pos", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """0-based position of each row inside its group, ordered by the integer column ``order``.
-
-    Skew-safe ``row_number``: rows are numbered inside (group, order // span)
-    buckets, whose size is bounded by ``span`` ids whatever the group size, and
-    each bucket is offset by the row counts of the buckets before it (a small
-    aggregate).  A group holding a third of the table never lands in one task.
+    ranked = _numbered(df, *order)
+    sizes = ranked.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))  # one row per slice
+    before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (ranked.join(starts, "__slice").where(F.col("__before") + F.col("__place") < n)
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def position_within(df: DataFrame, group: Sequence[str], order: str, name: str = "pos",
+                    tiebreak: Sequence[str] = ()) -> DataFrame:
+    """0-based position of each row inside its group, ordered by ``order``, and the group's row count.
+
+    Skew-safe ``row_number``: rows are numbered inside slices of the whole
+    (group, order) range, and a small aggregate per (group, slice) gives what
+    precedes; a group holding a third of the table spreads over many slices,
+    whatever its values of ``order`` are.
     """
-    from pyspark.sql import Window
-
-    b = F.floor(F.col(order) / F.lit(span)).alias("__bucket")
-    x = df.withColumn("__bucket", b)
-    counts = x.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    wo = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))) \
+    ranked = _numbered(df, *group, order, *tiebreak)
+    parts = ranked.groupBy(*group, "__slice").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))) \
         .withColumn("__total", F.sum("__n").over(Window.partitionBy(*group)))
-    wl = Window.partitionBy(*group, "__bucket").orderBy(order, *tiebreak)
-    local = x.withColumn("__local", F.row_number().over(wl) - 1)
-    out = local.join(offsets.select(*group, "__bucket", "__off", "__total"), [*group, "__bucket"])
-    return out.withColumn(name, F.col("__off") + F.col("__local")).withColumn(
-        f"{name}_count", F.col("__total")).drop("__bucket", "__local", "__off", "__total")
+    mine = parts.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], F.col("__slice").alias("__s"),
+                        "__first", "__before", "__total")
+    same = reduce(Column.__and__, [ranked[g].eqNullSafe(mine[f"__g{i}"]) for i, g in enumerate(group)],
+                  ranked["__slice"] == mine["__s"])
+    return ranked.join(mine, same).select(
+        *[ranked[c] for c in df.columns], (F.col("__before") + F.col("__place") - F.col("__first")).alias(name),
+        F.col("__total").alias(f"{name}_count"))

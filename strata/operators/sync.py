@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.schema import void_to_string
 from strata.operators.merge import MergeResult, upsert_by_hash
 from strata.operators.relational import top_rows
+from strata.sources.changelog import version_path
 
 _ILLEGAL = re.compile(r"[^0-9A-Za-z_]")
 
@@ -88,6 +89,16 @@ def sync_upsert(target: DataFrame | None, source: DataFrame, key: str, exclude:
     return result, residual
 
 
+def residual_after_commit(spark, source: DataFrame, root: str, version: int, id_column: str = "_id") -> DataFrame:
+    """The source minus the ids that version ``version`` of the log holds.
+
+    The ids come from the commit, not from the source again: what arrived in
+    between is not in the commit and stays.
+    """
+    written = spark.read.parquet(version_path(root, version)).select(id_column)
+    return residual_after_move(source, written, id_column)
+
+
 def write_bronze(spark, rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Create-or-append (the path existing decides), partitioned by year/month when asked."""
     writer = rows.write.mode("append")

@@ -198,7 +198,7 @@ def f7_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id", "value")
     ev = ev.withColumn("ts_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    p = position_within(ev, ["event_type"], "ts_us", span=3_600_000_000, tiebreak=["event_id"])
+    p = position_within(ev, ["event_type"], "ts_us", tiebreak=["event_id"])
     reset = F.to_timestamp_ntz(F.lit(RESET_AT))
     before = ev.where(F.col("ts") < reset).groupBy("event_type").agg(F.count(F.lit(1)).alias("before"))
     x = p.join(before, "event_type", "left")

@@ -5,48 +5,73 @@ from __future__ import annotations
 
 import copy
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import decorate as D
+from strata.operators import ingest as IG
 from strata.operators import merge as M
+from strata.operators import metrics as MX
 from strata.operators import sync as SY
+from strata.session import materialize
 from strata.sources import changelog as CL
 from strata.sources.collection import read_collection
 from strata.streaming import cdf
 
 # Defaults per section.
 DEFAULTS = {
+    "ingest": {"kind": "documents"},
     "sync": {"format": "json", "options": {}, "mode": "append", "key": None, "exclude": [],
-             "partition_ts": None, "json_columns": [], "limit": None, "move": True},
+             "partition_ts": None, "json_columns": [], "limit": None, "move": None, "id": "_id", "dry_run": False},
     "streams": {"key": "_id", "change_types": ["insert", "update_postimage", "delete"], "query_name": None},
-    "decorate": {"decorator": "summary", "key": "_id", "text": "text", "limit": 500},
+    "decorate": {"decorator": "summary", "key": "_id", "text": "text", "limit": None, "metrics": None},
 }
+SECTIONS = ("ingest", "sync", "streams", "decorate")
 
 
 def with_defaults(section: str, entry: dict) -> dict:
-    out = copy.deepcopy(DEFAULTS[section])
-    out.update(entry)
-    return out
+    return {**copy.deepcopy(DEFAULTS[section]), **entry}
+
+
+def run_ingest(spark: SparkSession, job: dict) -> dict:
+    """Inbox folder -> document or chapter rows, one commit; counts of the outcomes."""
+    done = IG.ingest_folder(spark, job["inbox"], job["target"], job["kind"])
+    if done is None:
+        return {"job": "ingest", "version": None, "outcomes": {}}
+    outcomes, version = done
+    counts = {r.outcome: r["count"] for r in outcomes.groupBy("outcome").count().collect()}  # three kinds
+    return {"job": "ingest", "version": version, "outcomes": counts}
 
 
 def run_sync(spark: SparkSession, job: dict) -> dict:
-    """Collection -> bronze change log (append or hash upsert); returns counts."""
+    """Collection -> bronze change log (append or hash upsert).
+
+    ``move`` (the default of append only) gives the documents that stay: the source
+    without the ids of this run's commit.  ``dry_run`` counts and writes nothing.
+    """
     src = read_collection(spark, job["source"], job["format"], job["options"])
+    upsert = job["mode"] == "upsert"
     if src.isEmpty():
         return {"job": "sync", "rows": 0}
-    if job["mode"] == "upsert":
+    if job["dry_run"]:
+        rows = SY.prepare_batch(src, None, (), job["limit"], job["id"])
+        return {"job": "sync", "rows": rows.count(), "version": None, "dry_run": True}
+    partition_by: tuple = ()
+    if upsert:
         versions = CL.committed_versions(spark, job["target"])
+        rows = SY.prepare_batch(src, None, job["json_columns"], job["limit"], job["id"])
         # Only the rows this run can touch are rebuilt from the bronze log.
-        current = CL.snapshot_at(spark, job["target"], job["key"], only_keys=src) if versions else None
-        result, residual = SY.sync_upsert(current, src, job["key"], job["exclude"], job["json_columns"],
-                                          job["limit"], job["move"])
-        changes = result.changes
+        current = CL.snapshot_at(spark, job["target"], job["key"], only_keys=rows) if versions else None
+        changes = M.upsert_by_hash(current, rows, job["key"], job["exclude"]).changes
     else:
-        res = SY.sync_append(src, job["partition_ts"], job["json_columns"], job["limit"], job["move"])
-        changes, residual = res.rows.withColumn(CL.CHANGE_TYPE, F.lit("insert")), res.residual
-    version = CL.commit(spark, changes, job["target"], operation="SYNC")
-    return {"job": "sync", "version": version, "residual": residual}
+        rows = SY.prepare_batch(src, job["partition_ts"], job["json_columns"], job["limit"], job["id"])
+        changes = rows.withColumn(CL.CHANGE_TYPE, F.lit("insert"))
+        partition_by = ("year", "month") if job["partition_ts"] else ()
+    version = CL.commit(spark, changes, job["target"], operation="SYNC", partition_by=partition_by)
+    out = {"job": "sync", "version": version}
+    if job["move"] if job["move"] is not None else not upsert:
+        out["residual"] = SY.residual_after_commit(spark, src, job["target"], version, job["id"])
+    return out
 
 
 def run_stream_job(spark: SparkSession, job: dict) -> dict:
@@ -60,28 +85,37 @@ def run_stream_job(spark: SparkSession, job: dict) -> dict:
     return {"job": "stream", "progress": cdf.progress(q)}
 
 
+def _decorated(todo: DataFrame, decorator: str, text: str) -> tuple[DataFrame, list[str]]:
+    """The pending rows with the decorator's columns filled by its default backend."""
+    if decorator == "summary":
+        return todo.withColumn("summary", D.extractive_summary(F.col(text))), ["summary"]
+    if decorator == "ner_nel":
+        return todo.withColumn("ner_nel", D.entity_json(F.col(text))), ["ner_nel"]
+    return D.with_embeddings(todo, text), list(D.EMBEDDING_COLUMNS)
+
+
 def run_decorate(spark: SparkSession, job: dict) -> dict:
-    """Silver decoration with the native summary backend; one commit per run."""
-    silver = CL.snapshot(CL.read_log(spark, job["table"]), job["key"])
-    todo = D.pending(silver, job["decorator"], job["key"], job["text"], job["limit"])
-    if job["decorator"] != "summary":
-        raise ValueError("only the summary decorator has a default backend")
-    if todo.isEmpty():
-        return {"job": "decorate", "version": None}
-    upd = todo.select(job["key"], D.extractive_summary(F.col(job["text"])).alias("summary"))
-    touched = silver.join(todo.select(job["key"]), job["key"], "left_semi")
-    res = M.merge_update(touched, upd, job["key"], ["summary"])
+    """Silver decoration with the default backend of the decorator; one commit per run."""
+    silver = CL.snapshot_at(spark, job["table"], job["key"])
+    todo = materialize(D.pending(silver, job["decorator"], job["key"], job["text"], job["limit"]), "pending")
+    waiting = todo.count()
+    if not waiting:
+        return {"job": "decorate", "version": None, "pending": 0, "succeeded": 0}
+    done, columns = _decorated(todo, job["decorator"], job["text"])
+    res = M.merge_update(todo, done.select(job["key"], *columns), job["key"], columns)
     version = CL.commit(spark, res.changes, job["table"], operation="DECORATE")
-    return {"job": "decorate", "version": version}
+    written = spark.read.parquet(CL.version_path(job["table"], version))
+    ok = written.where(F.col(CL.CHANGE_TYPE) == "update_postimage").count()
+    if job["metrics"]:
+        rows = MX.decorator_metrics(spark, job["decorator"], waiting, ok, waiting - ok)
+        cdf.write_metrics(rows, version, job["metrics"])
+    return {"job": "decorate", "version": version, "pending": waiting, "succeeded": ok}
 
 
-RUNNERS = {"sync": run_sync, "streams": run_stream_job, "decorate": run_decorate}
+RUNNERS = {"ingest": run_ingest, "sync": run_sync, "streams": run_stream_job, "decorate": run_decorate}
 
 
 def run_jobs(spark: SparkSession, config: dict) -> list[dict]:
-    """Run every configured entry, section by section in a fixed order (sync, streams, decorate)."""
-    out = []
-    for section in ("sync", "streams", "decorate"):
-        for entry in config.get(section) or []:
-            out.append(RUNNERS[section](spark, with_defaults(section, entry)))
-    return out
+    """Run every configured entry, section by section in a fixed order (ingest, sync, streams, decorate)."""
+    return [RUNNERS[section](spark, with_defaults(section, entry))
+            for section in SECTIONS for entry in config.get(section) or []]

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from strata.operators import ingest as IG
 from strata.operators import metadata as MD
-from strata.operators import splitting as S
 from strata.plans.fixtures import F5_SQL, F6_SQL, f5_books, f6_inbox
 from strata.plans.q_documents import BOOK_TEXT_SQL, CASCADE_BODY
 from strata.plans.registry import query
+from strata.session import scratch_path
+from strata.sources import changelog as CL
 from strata.sources.tables import read_table
 
 RUN_TS = "2024-02-01 12:00:00"
@@ -88,6 +89,43 @@ def ingest_summary(spark, sf_dir):
     return IG.ingest_summary(_outcomes(spark, sf_dir), _document_rows(spark, sf_dir))
 
 
+HEADED_TEXT = "'**Title:** Paper ' || doc_id || chr(10) || '**Authors:** Writer ' || (doc_id % 7) || chr(10) || chr(10) || 'Body: '"
+
+
+@query("ingest_files", f"""WITH f AS (
+  SELECT doc_id, source || '-' || doc_id || CASE WHEN doc_id % 11 = 5 THEN '.json' WHEN doc_id % 13 = 6 THEN '.pdf' ELSE '.md' END AS filename,
+    doc_id % 3 = 0 AS headed, doc_id % 17 = 4 AS bad, 'Body: ' || replace(regexp_replace(text, '[\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g'), chr(10), ' ') || '.' AS body
+  FROM documents),
+c AS (SELECT *, CASE WHEN headed THEN {HEADED_TEXT.replace("'Body: '", "body")} ELSE body END AS content FROM f),
+u AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY filename) AS copy FROM c
+      WHERE NOT bad AND filename LIKE '%.md')
+SELECT filename, 'ingested' AS outcome, sha256(content) AS file_hash, CASE WHEN headed THEN 'Paper ' || doc_id END AS title,
+  CASE WHEN headed THEN 'Writer ' || (doc_id % 7) END AS author, octet_length(encode(content)) AS size_bytes,
+  CAST(length(body) AS INTEGER) AS char_count, md5(body) AS body_md5 FROM u WHERE copy = 1
+UNION ALL SELECT filename, 'duplicate', NULL, NULL, NULL, NULL, NULL, NULL FROM u WHERE copy > 1
+UNION ALL SELECT filename, 'failed', NULL, NULL, NULL, NULL, NULL, NULL FROM c WHERE bad OR filename NOT LIKE '%.md'""")
+def ingest_files(spark, sf_dir):
+    # Every document as a file (some with a header block, some with bytes that are no UTF-8, some of
+    # types that do not convert or JSON that does not parse) through decode, classify and one commit.
+    d, k = read_table(spark, sf_dir, "documents"), F.col("doc_id")
+    ext = F.when(k % 11 == 5, ".json").when(k % 13 == 6, ".pdf").otherwise(".md")
+    name = F.concat("source", F.lit("-"), k.cast("string"), ext)
+    plain = F.replace(F.regexp_replace("text", r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", " "), F.lit("\n"), F.lit(" "))
+    body = F.concat(F.lit("Body: "), plain, F.lit("."))
+    header = F.concat(F.lit("**Title:** Paper "), k.cast("string"), F.lit("\n**Authors:** Writer "), (k % 7).cast("string"), F.lit("\n\n"))
+    content = F.encode(F.concat(F.when(k % 3 == 0, header).otherwise(""), body), "UTF-8")
+    content = F.when(k % 17 == 4, F.concat(content, F.unhex(F.lit("FF")))).otherwise(content)
+    files = d.select(F.concat(F.lit("inbox/"), name).alias("path"), F.lit(RUN_TS).cast("timestamp").alias("modificationTime"),
+                     F.octet_length(content).cast("long").alias("length"), content.alias("content"), name.alias("filename"))
+    target = scratch_path(spark, "ingested")
+    outcomes, _ = IG.ingest_files(spark, files, target)
+    stored = CL.snapshot(CL.read_log(spark, target), "document_id").select(
+        F.col("filename").alias("stored"), "file_hash", F.when(F.col("author").isNotNull(), F.col("title")).alias("title"), "author",
+        "size_bytes", "char_count", F.md5(F.col("text").cast("binary")).alias("body_md5"))
+    rows = outcomes.select("filename", "outcome").join(stored, F.col("filename") == F.col("stored"), "left")
+    return rows.drop("stored")
+
+
 def book_files(spark, sf_dir):
     """F5 books as inbox files named "<Book> (<year>) - <Author>.epub"."""
     b = f5_books(spark, sf_dir)
@@ -115,10 +153,7 @@ def book_rows(spark, sf_dir):
 
 
 def _book_rows(spark, sf_dir):
-    files = book_files(spark, sf_dir)
-    chapters = S.split_cascade(files.select("doc_id", "text"))
-    strategy = chapters.groupBy("doc_id").agg(F.first("strategy").alias("strategy"))
-    return IG.book_rows(files.join(strategy, "doc_id"), chapters, F.to_timestamp(F.lit(RUN_TS)))
+    return IG.book_rows(*IG.book_chapters(book_files(spark, sf_dir)), F.to_timestamp(F.lit(RUN_TS)))
 
 
 @query("ingest_books", BOOK_ROWS_SQL + " SELECT chapter_id, filename, chapter_number, chapter_name, split_strategy FROM r")

@@ -8,6 +8,7 @@ from strata.operators import merge as M
 from strata.operators import sync as SY
 from strata.plans.registry import query
 from strata.session import scratch_path
+from strata.sources import changelog as CL
 from strata.sources.collection import read_collection, write_events_collection
 from strata.sources.tables import read_table
 
@@ -121,3 +122,14 @@ def sync_upsert(spark, sf_dir):
     result, _ = SY.sync_upsert(spark.read.parquet(bronze), second, "_id", exclude=["ts"], json_cols=["props"], as_of=T2)
     return result.table.select("_id", "value", F.col("_last_updated_at").cast("timestamp_ntz").alias("_last_updated_at"),
                                F.col("_last_processed_at").cast("timestamp_ntz").alias("_last_processed_at"))
+
+
+@query("move_late_arrival", "SELECT CAST(event_id AS VARCHAR) AS _id FROM events WHERE event_id % 10 = 0")
+def move_late_arrival(spark, sf_dir):
+    # What arrives between the write and the clean-up is not in the commit, so it stays in the source.
+    everything = _collection(spark, sf_dir, "late")
+    early = everything.where(F.col("event_id") % 10 != 0)
+    root = scratch_path(spark, "late-bronze")
+    rows = SY.prepare_batch(early, None, ["props"])
+    version = CL.commit(spark, rows.withColumn(CL.CHANGE_TYPE, F.lit("insert")), root, operation="SYNC")
+    return SY.residual_after_commit(spark, everything, root, version).select("_id")

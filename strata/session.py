@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,8 +41,8 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Jobs write intermediate tables, stream checkpoints and cut lineage there.
-    Only when the setting is absent (local runs, tests) is a private folder
-    created and registered.
+    Only when the setting is absent on a local master (tests) is a private folder
+    created and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -53,6 +52,8 @@ def shared_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         current = sc.getCheckpointDir()
     if not current and not configured:
+        if not sc.master.startswith("local"):  # "local[*]", but also "local-cluster[...]", whose executors share a disk
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", local)
         sc.setCheckpointDir(local)
@@ -72,13 +73,6 @@ def as_local(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared folder and read it back.
 

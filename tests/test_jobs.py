@@ -10,7 +10,7 @@ from conftest import SMALL
 
 
 def test_defaults_and_absent_sections(spark):
-    assert with_defaults("decorate", {"table": "t"})["limit"] == 500
+    assert with_defaults("decorate", {"table": "t"})["limit"] is None  # a cap is configured, never assumed
     assert run_jobs(spark, {}) == []
 
 
@@ -28,3 +28,35 @@ def test_job_set_end_to_end(spark, scratch):
     n = spark.read.json(coll).count()
     assert silver.count() == n
     assert silver.where(F.col("summary").isNotNull()).count() == 50  # one run decorates at most `limit` rows
+    bronze = spark.read.parquet(CL.version_path(f"{root}/bronze", 0))
+    assert {"year", "month"} <= set(bronze.columns) and out[0]["residual"].count() == 0
+    more = run_jobs(spark, {"decorate": [
+        {"table": f"{root}/silver", "decorator": d, "text": "event_type", "metrics": f"{root}/metrics"}
+        for d in ("summary", "ner_nel", "embeddings")]})
+    assert [(o["pending"], o["succeeded"]) for o in more] == [(n - 50, n - 50), (n, n), (n, n)]
+    silver = CL.snapshot_at(spark, f"{root}/silver", "_id")
+    for c in ("summary", "ner_nel", "text_embedding_dense", "text_embedding_sparse", "summary_embedding_dense"):
+        assert silver.where(F.col(c).isNull()).count() == 0, c
+    counts = {(r.stream, r.metric, r.label): r.value for r in spark.read.parquet(f"{root}/metrics").collect()}
+    assert counts["ner_nel", "pending", None] == n == counts["ner_nel", "decorated", "succeeded"]
+
+
+def test_dry_run_and_upsert_leave_the_source_alone(spark, scratch):
+    root = scratch("jobs")
+    coll = write_events_collection(spark, SMALL, f"{root}/collection")
+    n = spark.read.json(coll).count()
+    out = run_jobs(spark, {"sync": [
+        {"source": coll, "target": f"{root}/bronze", "dry_run": True},
+        {"source": coll, "target": f"{root}/bronze", "mode": "upsert", "key": "_id", "json_columns": ["props"]}]})
+    assert out[0] == {"job": "sync", "rows": n, "version": None, "dry_run": True}
+    assert out[1] == {"job": "sync", "version": 0}
+    assert CL.snapshot_at(spark, f"{root}/bronze", "_id").count() == n
+
+
+def test_replay_is_seen_behind_another_writers_commit(spark, scratch):
+    root = scratch("log")
+    df = CL.as_changes(spark.range(3).withColumnRenamed("id", "k"), 0).drop(CL.VERSION, CL.COMMIT_TS)
+    CL.commit(spark, df, root, batch_ref="s:0")
+    CL.commit(spark, df, root, batch_ref="s:1")
+    CL.commit(spark, df, root, operation="DECORATE")
+    assert CL.batch_seen(spark, root, "s:1") and not CL.batch_seen(spark, root, "s:2") and not CL.batch_seen(spark, root, "t:1")
