@@ -13,6 +13,7 @@ from strata.llm import (
     chat_windows,
     cotraining,
     length_histogram,
+    oracles,
     pfair_mix,
     pii_bootstrap,
     prefix_trie_join,
@@ -24,7 +25,11 @@ from strata.session import materialize, scratch_path
 from strata.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": oracles.QUALITY_RULES,
+    "op3_prefix_tree_join": oracles.NEAR_DUPLICATES,
+    "op7_suffix_dedup": oracles.REPEATS,
+}
 
 
 def query(fn):
