@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import ngram_hashes, word_hashes
+from strata.llm.words import ngram_hashes, slices, word_hashes
 from strata.session import materialize
 
 WINDOW = 35
@@ -118,7 +118,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _run_rows(docs: DataFrame, window: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "raw"):
             parts, counts = [], []
             for raw in batch.column(2).to_pylist():
                 parts.append(runs_of(word_hashes(raw.split()) if raw else np.empty(0, np.uint64), window)[:4])

@@ -70,7 +70,7 @@ def covered(starts: np.ndarray, width: int, total: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes at most (one row at least)."""
     for batch in batches:
         if batch.num_rows == 0:
