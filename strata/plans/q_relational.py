@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StringType, StructField, StructType, TimestampType
 
@@ -9,7 +12,7 @@ from strata.functions.schema import add_missing_columns, not_null_violations, vo
 from strata.operators import merge as M
 from strata.operators.relational import anti_join_known, most_common, semi_join, top_rows
 from strata.plans.registry import query
-from strata.sources.tables import read_table, register_tables
+from strata.sources.tables import TABLES, read_table, register_tables
 
 
 def T(spark, sf_dir, name):
@@ -227,8 +230,11 @@ def add_missing_columns_q(spark, sf_dir):
     return add_missing_columns(T(spark, sf_dir, "documents"), DECORATOR_TYPES)
 
 
-@query("list_tables")
+@query("list_tables", " UNION ALL ".join(f"SELECT 'lt_{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES))
 def list_tables(spark, sf_dir):
+    # The catalog's tables, each with what it holds now.
     register_tables(spark, sf_dir, prefix="lt_")
-    return spark.sql("SHOW TABLES").where(F.col("tableName").startswith("lt_"))
-
+    listed = spark.sql("SHOW TABLES").where(F.col("tableName").startswith("lt_")).select("tableName")
+    counts = [spark.table(f"lt_{t}").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(f"lt_{t}")) for t in TABLES]
+    counted = reduce(DataFrame.unionByName, counts)
+    return listed.join(counted, F.col("tableName") == F.col("table_name")).select("table_name", "n_rows")
