@@ -1,16 +1,15 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's rows are numbered and cut into blocks.  A source of integer weight
-a, of a total D, gives its i-th block (from 0) the release time floor(i D / a)
-and the deadline ceil((i + 1) D / a); in every slot the released block with the
-earliest deadline goes out.  So after t slots each source has had t a / D blocks
-to within less than one.  The schedule repeats every D slots, therefore only one
-period is scheduled and the slot of any block follows by arithmetic.  When a
-source runs out, a new phase begins with the weights of those left.  No row is
-dropped or repeated.
-
-The driver sees one count per source and schedules at most ``MAX_SOURCES``
-sources with periods of at most ``PERIOD`` + ``MAX_SOURCES`` slots; rows are
+Each source's rows are numbered and cut into blocks.  The target is a fluid in
+which every source that still has rows gets its exact weight's share of each slot
+and, when one has run out, the others share its part.  A block's release time is
+the slot in which the fluid begins it, its deadline the one in which the fluid
+ends it; in every slot the released block with the earliest deadline goes out.  So
+after any number of slots, run-outs included, each source has had its target to
+within less than one block.  No row is dropped or repeated.
+
+The driver sees one count per source, at most ``MAX_SOURCES``, and schedules the
+blocks (8 bytes a block, and the jobs of ``CHUNK`` slots at a time); rows are
 numbered and placed by the executors.
 
 Within a source the order is by a hash bucket of the row, then doc_id.  Rows
@@ -33,12 +32,54 @@ from pyspark.sql.window import Window
 from strata.session import materialize
 
 BLOCK_ROWS = 32
-PERIOD = 1000          # target weights are rounded to parts of so many slots (one part at least)
+PERIOD = 1000
+CHUNK = 200_000        # slots whose blocks are scheduled together
 MAX_SOURCES = 1024
 TEMPERATURE = 0.5      # default target weight of a source: its row count to this power
 ROWS_PER_BUCKET = 20_000
 
 
+def exact_slots(blocks: np.ndarray, weights: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """Slots of all blocks, source after source: sources of ``blocks`` (1 at least) by unrounded ``weights``."""
+    n, total = len(blocks), int(blocks.sum())
+    weights = np.maximum(weights, 1e-9 * weights.max() if weights.max() > 0 else 1.0)  # of weight 0: after the others
+    first = np.cumsum(blocks) - blocks
+    ends = blocks / weights  # on the fluid's clock, a source gets its weight a unit until its end
+    order = np.argsort(ends, kind="stable")
+    clock = np.concatenate([[0.0], ends[order]])
+    gone = np.concatenate([[0], np.cumsum(blocks[order])])
+    rate = np.concatenate([np.cumsum(weights[order][::-1])[::-1], [0.0]])
+
+    def fluid(time: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(clock[1:], time, side="right")
+        return gone[k] + time * rate[k]
+
+    slots = np.empty(total, dtype=np.int64)
+    at, made, ready, t = fluid(clock), np.zeros(n, dtype=np.int64), [], 0
+    while t < total:
+        end = min(total, t + chunk)
+        until = np.ceil(np.interp(end, at, clock) * weights).astype(np.int64)
+        upto = blocks if end == total else np.clip(until, made, blocks)  # blocks that the fluid begins before the end
+        count = upto - made
+        s = np.repeat(np.arange(n), count)
+        i = np.arange(len(s)) - np.repeat(np.cumsum(count) - count - made, count)
+        begun, ended = fluid(i / weights[s]), fluid((i + 1) / weights[s])
+        release = np.floor(begun + 1e-9 + 1e-13 * begun).astype(np.int64)  # whole numbers despite their last bits
+        due = np.ceil(ended - 1e-9 - 1e-13 * ended).astype(np.int64)
+        by = np.lexsort((first[s] + i, release))
+        jobs = list(zip(release[by].tolist(), due[by].tolist(), (first[s] + i)[by].tolist(), strict=True))
+        made, k = upto, 0
+        while t < end:
+            while k < len(jobs) and (jobs[k][0] <= t or not ready):
+                heapq.heappush(ready, jobs[k][1:])
+                k += 1
+            slots[heapq.heappop(ready)[1]] = t
+            t += 1
+        for job in jobs[k:]:
+            heapq.heappush(ready, job[1:])
+    return slots
+
+
 def integer_weights(weights: Mapping, period: int = PERIOD) -> dict:
     """Positive weights as integers that add up to about ``period``, by largest remainders, 1 at least."""
     total = sum(weights.values())
@@ -68,7 +109,10 @@ def pfair_period(weights: Mapping) -> dict:
 
 
 def schedule(blocks: Mapping, weights: Mapping) -> dict:
-    """Per source its phases: (first block, first slot of the phase, weight, period, slots in the period)."""
+    """Integer weights, begun anew when a source runs out (``mixed`` follows ``exact_slots``).
+
+    Per source its phases: (first block, first slot of the phase, weight, period, slots in the period).
+    """
     done = dict.fromkeys(blocks, 0)
     alive = {s for s, n in blocks.items() if n > 0}
     phases: dict = {s: [] for s in blocks}
@@ -98,22 +142,24 @@ def slot_of(phases: list, block: np.ndarray) -> np.ndarray:
     return out
 
 
-def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = None, block_rows: int = BLOCK_ROWS,
-          period: int = PERIOD) -> DataFrame:
+def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = None,
+          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with mix_block (number in its source), mix_slot and mix_position (0, 1, ... over all rows)."""
     key = F.col(source).cast("string")
     counts = {r[0]: r[1] for r in docs.groupBy(key).count().limit(MAX_SOURCES + 1).collect()}
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
     given = weights or {}
-    target = {s: float(given.get(s, n ** TEMPERATURE)) for s, n in counts.items()}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    phases = schedule(blocks, integer_weights(target, period)) if counts else {}
-    last = {s: int(slot_of(phases[s], np.array([n - 1]))[0]) for s, n in blocks.items()}
-    short = sorted((last[s], n * block_rows - counts[s]) for s, n in blocks.items())
-    short_slots = np.array([a for a, _ in short], dtype=np.int64)
-    missing = np.concatenate([[0], np.cumsum([b for _, b in short])]).astype(np.int64)
-    plan = docs.sparkSession.sparkContext.broadcast((phases, short_slots, missing))  # bounded by MAX_SOURCES, period
+    names = sorted(counts, key=lambda s: (s is not None, s or ""))
+    number = {s: k for k, s in enumerate(names)}
+    rows_of = np.array([counts[s] for s in names], dtype=np.int64)
+    blocks = -(-rows_of // block_rows)
+    target = np.array([float(given.get(s, counts[s] ** TEMPERATURE)) for s in names])
+    slots = exact_slots(blocks, target) if names else np.empty(0, dtype=np.int64)
+    last = slots[np.cumsum(blocks) - 1]
+    by = np.argsort(last)
+    missing = np.concatenate([[0], np.cumsum((blocks * block_rows - rows_of)[by])]).astype(np.int64)
+    plan = docs.sparkSession.sparkContext.broadcast((number, np.cumsum(blocks) - blocks, slots, last[by], missing))
 
     buckets = max(1, sum(counts.values()) // ROWS_PER_BUCKET)
     rows = docs.withColumn("mix_source_", key).withColumn(
@@ -128,13 +174,11 @@ def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = Non
     ranked = ranked.join(starts, same).withColumn("mix_rank_", F.col("mix_start_") + F.col("mix_row_"))
 
     def place(ranks: pd.Series, names: pd.Series) -> pd.DataFrame:
-        known, short_at, gaps = plan.value
-        slot = np.zeros(len(ranks), dtype=np.int64)
+        known, first, slots, short_at, gaps = plan.value
         value = ranks.to_numpy(dtype=np.int64)
         codes, uniques = pd.factorize(names, use_na_sentinel=False)
-        for c, name in enumerate(uniques):
-            at = codes == c
-            slot[at] = slot_of(known[None if pd.isna(name) else name], value[at] // block_rows)
+        own = np.array([known[None if pd.isna(name) else name] for name in uniques], dtype=np.int64)
+        slot = slots[first[own[codes]] + value // block_rows]
         position = slot * block_rows + value % block_rows - gaps[np.searchsorted(short_at, slot)]
         return pd.DataFrame({"block": value // block_rows, "slot": slot, "position": position})
 

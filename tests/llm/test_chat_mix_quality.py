@@ -132,6 +132,41 @@ def test_places_are_repeatable_and_weights_hold(spark):
     assert {r.doc_id: r.mix_position for r in again} == {r.doc_id: r.mix_position for r in rows}
 
 
+def fluid_deviation(order, blocks, weights):
+    """The widest gap, in blocks, between what each source has had and its unrounded share of the slots."""
+    done, fluid, worst = np.zeros(len(blocks)), np.zeros(len(blocks)), 0.0
+    for s in order:
+        done[s] += 1
+        left = 1.0
+        while left > 1e-12 and (alive := fluid < blocks - 1e-9).any():
+            rate = np.where(alive, weights, 0) / weights[alive].sum()
+            step = min(left, ((blocks - fluid)[alive] / rate[alive]).min())
+            fluid, left = fluid + rate * step, left - step
+        worst = max(worst, np.abs(done - fluid).max())
+    return worst
+
+
+@pytest.mark.parametrize("chunk", [97, pfair_mix.CHUNK])
+def test_exact_weights_deviate_by_less_than_a_block(chunk):
+    r = np.random.default_rng(3)
+    for blocks in (r.integers(1, 60, 50), np.array([30_000, *r.integers(900, 5000, 19)]), np.array([900, *[7] * 599])):
+        weights = blocks ** 0.5 * r.uniform(0.9, 1.1, len(blocks))
+        slots, order = pfair_mix.exact_slots(blocks, weights, chunk), np.empty(blocks.sum(), dtype=int)
+        order[slots] = np.repeat(np.arange(len(blocks)), blocks)
+        assert sorted(slots) == list(range(blocks.sum()))
+        assert fluid_deviation(order[:30_000], blocks, weights) < 1 + 1e-6
+
+
+def test_mixed_rows_follow_uneven_weights(spark):
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.when(
+        F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), (F.col("id") % 599).cast("string"))).alias("source"))
+    rows = sorted(pfair_mix.mixed(docs, block_rows=1).collect(), key=lambda r: r.mix_slot)
+    names = sorted({r.source for r in rows})
+    blocks = np.array([sum(r.source == s for r in rows) for s in names])
+    order = [names.index(r.source) for r in rows]
+    assert fluid_deviation(order, blocks, blocks ** 0.5) < 1 + 1e-6
+
+
 # --- co-training
 
 def test_held_out_accuracy(spark):
