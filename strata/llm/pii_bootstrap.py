@@ -2,7 +2,9 @@
 
 1. One scan finds the base entities of every whole text (fixed patterns for
    e-mail, ip, card and phone), and the *candidates*: other words that look like
-   identifiers (with digits, ``@`` or a written-out at sign).
+   identifiers (with digits, ``@`` or a written-out at sign), and identifiers of
+   several words: digit groups joined by single blanks, dots, dashes or brackets,
+   and addresses with blanks around the at sign or the dots, written out or not.
 2. The words before an identifier and around it are its lexical patterns.  Base
    entities are the seeds.  Pattern-instance edges are counted over the corpus.
 3. Spark scores the graph in rounds, per kind: a pattern is as good as the share
@@ -20,6 +22,7 @@ rows; other columns are not read.  Very long texts and runs take linear time.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,6 +49,20 @@ _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"(?<![^\x20\x09-\x0d])[^\x20\x09-\x0d]*(?:[0-9@]|\[at\]|\(at\))[^\x20\x09-\x0d]*")
 _EDGE = ".,;:!?\"'()[]{}<>"
 
+# Identifiers of several words.  No match is given back or begun again inside a run, so scans are linear.
+_B = r"[\x20\t\xa0]"
+_GROUPS = re.compile(rf"(?<![0-9A-Za-z_@.+/*-])\+?\(?[0-9*xX]++(?:\)?(?:{_B}?[-/]{_B}?|{_B}\.{_B}|\.|{_B})?\(?[0-9*xX]++)*+\)?")
+_GROUP = re.compile(r"[0-9*xX]+")
+_SHAPE = re.compile(  # cards of 4-4-4-4(-3) and 4-6-5, phones of 3-3-4 with or without a country's number
+    rf"(?<![0-9*xX])(?:(?:[0-9*xX]{{4}}(?:{_B}|-)){{3}}[0-9*xX]{{4}}(?:(?:{_B}|-)[0-9]{{3}})?|[0-9*xX]{{4}}(?:{_B}|-)[0-9*xX]{{6}}(?:{_B}|-)[0-9*xX]{{5}}"
+    rf"|(?:\+?[0-9]{{1,3}}(?:{_B}|[.-]))?(?:\([0-9]{{3}}\)|[0-9]{{3}}(?=[^0-9]))(?:{_B}|[.-])?[0-9]{{3}}(?:{_B}|[.-])[0-9]{{4}})(?![0-9*xX])")
+_WRITTEN_DOT = rf"{_B}?[\[({{<]{_B}?(?:dot|\.){_B}?[\])}}>]{_B}?|{_B}dot{_B}|{_B}\.{_B}"
+_AT = re.compile(rf"{_B}?(?:@|[\[({{<]{_B}?(?:at|@){_B}?[\])}}>]){_B}?|{_B}at{_B}", re.IGNORECASE)
+_HOST = re.compile(rf"(?!www\.)[A-Za-z0-9-]{{1,63}}(?:(?:{_WRITTEN_DOT}|\.)[A-Za-z0-9-]{{1,63}}){{1,8}}+", re.IGNORECASE)
+_OWNER = re.compile(rf"(?<![^\s\"'(\[{{<:;,=])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*(?:(?:{_WRITTEN_DOT})[A-Za-z0-9._%+-]+)*\Z", re.IGNORECASE)
+_OWNER_CHARS = 80
+_NO_OWNER = frozenset("us me you him her it them we i he she they this that these those and or is are was were be".split())
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -92,10 +109,14 @@ def makeup(word: str) -> set[int]:
         kinds.add(0)
     if digits >= 4 and re.fullmatch(r"[0-9a-fA-F]{1,4}(?:[.:][0-9a-fA-F]{0,4}){3,7}", word):
         kinds.add(1)
+    groups = _GROUP.findall(word)
     if re.fullmatch(r"[0-9*xX][0-9*xX -]{11,22}[0-9]", word) and digits >= 4 and len(word) >= 13:
-        kinds.add(2)
+        if " " not in word or 13 <= sum(map(len, groups)) <= 19:
+            kinds.add(2)
     if re.fullmatch(r"[(]?[0-9][0-9().\-/]{5,18}[0-9]", word) and 7 <= digits <= 15:
         kinds.add(3)
+    elif re.fullmatch(r"\+?[(]?[0-9][0-9(). \-/]{5,28}[0-9]", word) and 2 * len(groups) <= digits and 7 <= digits <= 15:
+        kinds.add(3)
     return kinds
 
 
@@ -108,22 +129,78 @@ def _neighbours(text: str, start: int, end: int) -> list[str]:
     return ["< " + left, "<> " + (near[-1] if near else "^") + " _ " + (after[0].strip(_EDGE) if after else "$")]
 
 
+def _bare(text: str, start: int, end: int) -> tuple[int, int]:
+    """The place without brackets that have no partner inside it or enclose all of it."""
+    if text[end - 1] == ")" and (text[start] == "(" and text.find(")", start, end) == end - 1 or "(" not in text[start:end]):
+        end -= 1
+    return start + (text[start] == "(" and ")" not in text[start:end]), end
+
+
+def number_places(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, bits of the possible kinds) of identifiers that are digit groups with blanks or brackets."""
+    for m in _GROUPS.finditer(text):
+        start, end = m.span()
+        if end - start < 8:
+            continue
+        if end < len(text) and (text[end].isalnum() or text[end] in "_@"):  # its last group belongs to a word
+            end = start + len(m.group().rstrip("0123456789*xX").rstrip("\x20\t\xa0./-("))
+        pieces = [p.span() for p in _SHAPE.finditer(text, start, end)] or ([(start, end)] if end - start <= 34 else [])
+        for s, e in pieces:
+            s, e = _bare(text, s, e) if s < e else (s, e)
+            said = text[s:e].replace("\t", " ").replace("\xa0", " ")
+            if " " not in said and "(" not in said:
+                continue
+            if kinds := makeup(said) | makeup(said.replace(" . ", ".")):
+                yield s, e, sum(1 << x for x in kinds)
+
+
+def address_places(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, bits) of addresses with blanks or written-out dots."""
+    for m in _AT.finditer(text):
+        host = _HOST.match(text, m.end())
+        if not host or not re.search("[A-Za-z]{2}\\Z", host.group()):
+            continue
+        owner = _OWNER.search(text, max(0, m.start() - _OWNER_CHARS), m.start())
+        if not owner or (m.group().strip().lower() == "at" and owner.group().lower() in _NO_OWNER):
+            continue
+        if re.search(_B, m.group() + host.group() + owner.group()) or "." not in host.group():
+            yield owner.start(), host.end(), 1
+
+
+class _Taken:
+    """Places that are given away, in order and apart."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(e, self.ends[-1])
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def touch(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.ends) and self.starts[k] < end
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, bits of the possible kinds) of identifier-like words that no base span touches."""
-    out, spans, k = [], sorted((s, e) for s, _, e in base), 0
+    """(start, end, bits of the possible kinds) of identifier-like places that no base span touches."""
+    taken, out, last = _Taken([(s, e) for s, _, e in base]), [], 0
+    for s, e, bits in sorted([*address_places(text), *number_places(text)]):
+        if s >= last and not taken.touch(s, e):
+            out.append((s, e, bits))
+            last = e
+    taken = _Taken([(s, e) for s, _, e in base] + [(s, e) for s, e, _ in out])
     for m in _WORD.finditer(text):
         word = m.group()
         start = m.start() + len(word) - len(word.lstrip(_EDGE))
         end = m.end() - (len(word) - len(word.rstrip(_EDGE)))
-        if end - start < 6:
-            continue
-        while k < len(spans) and spans[k][1] <= start:
-            k += 1
-        if any(s < end and e > start for s, e in spans[max(0, k - 4):k + 4]):
+        if end - start < 6 or taken.touch(start, end):
             continue
         if kinds := makeup(text[start:end]):
             out.append((start, end, sum(1 << x for x in kinds)))
-    return out
+    return sorted(out)
 
 
 _SPAN = "array<struct<start: int, kind: int, end: int>>"

@@ -107,6 +107,40 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert found[101].n_added == 0 and found[102].spans == "" and all(found[i].n_added == 0 for i in range(30))
 
 
+SPACED = [("email", "bob (at) hidden.org"), ("email", "bob at hidden dot org"), ("email", "ann.lee [at] mail [dot] hidden [dot] org"),
+          ("email", "bob @ hidden.org"), ("email", "bob(at)hidden(dot)org"), ("phone", "415 555 0132"), ("phone", "(415) 555-0132"),
+          ("phone", "(415)555-0132"), ("phone", "1 (415) 555 0132"), ("phone", "030 1234 5678"), ("phone", "415 - 555 - 0132"),
+          ("card", "4111 1111 1111 1112"), ("card", "4111-1111 1111-1112"), ("card", "xxxx xxxx xxxx 1112"), ("card", "3782 822463 10006")]
+
+
+def test_patterns_discover_identifiers_with_spaces(spark):
+    said = {"email": "please reach me under", "phone": "ring my desk on", "card": "charge this card number"}
+    seeds = {"email": lambda i: f"user{i}@mail{i}.org", "phone": lambda i: f"+49 (30) 1234-{5000 + i}",
+             "card": lambda i: next(d for d in (f"4111 1111 1111 {i:03}{c}" for c in range(10)) if luhn(d.replace(" ", "")))}
+    rows = [(i, f"{prose(i, 20)} {said[k]} {seeds[k](i)} {prose(1000 + i, 20)}") for k in said for i in range(100, 130)]
+    rows += [(1000 + i, f"{prose(i, 20)} {said[k]} {x} {prose(50 + i, 20)}") for i, (k, x) in enumerate(SPACED)]
+    rows += [(2000 + i, f"{prose(i, 20)} none of {x}, {prose(50 + i, 20)}") for i, (_, x) in enumerate(SPACED)]
+    found = {}
+    for r in pii_bootstrap.digests(pii_bootstrap.personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect():
+        found.setdefault(r.doc_id, r)
+    for i, (kind, x) in enumerate(SPACED):
+        start = rows[90 + i][1].index(x)
+        assert found[1000 + i].spans == f"{kind}:{start}:{start + len(x)}", x
+        assert found[2000 + i].n_added == 0
+
+
+def test_candidates_with_spaces():
+    def said(text):
+        return [text[s:e] for s, e, _ in pii_bootstrap.candidates(text, pii_bootstrap.base_spans(text))]
+
+    assert said("in 2019 415 555 0132 (or 415 555 0199), 12 4111 1111 1111 1112.") == ["415 555 0132", "415 555 0199", "4111 1111 1111 1112"]
+    assert said("1 2 3 4 5 6 7 8 9, see us at thing.org, at www.thing.org or at home. 12 people") == []
+    assert said("bob (at) hidden.org. 415 555 0132 xylophones") == ["bob (at) hidden.org", "415 555 0132"]
+    for text in ("1 " * 200_000 + "a", "(1) " * 100_000, "a at b dot " * 40_000, "x" * 300_000, "4111 1111 " * 40_000,
+                 "a (at) " * 60_000, "(at)" * 100_000, "a dot " * 60_000 + " at b.org", " . " * 100_000, "1 . " * 100_000):
+        pii_bootstrap.candidates(text, [])  # linear
+
+
 # --- substring dedup
 
 def repeats_cut(texts, window=35):
