@@ -173,7 +173,7 @@ def _first_verdicts(docs: DataFrame, repeats: DataFrame, window: int, keep_text:
                 yield _rows(rows, _DONE)
 
     found = repeats.groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("prefix", "run", "first", "windows", "mixed")).alias("runs"))  # runs of one text
+        F.collect_set(F.struct("prefix", "run", "first", "windows", "mixed")).alias("runs"))  # of one text, however often the row repeats
     found = found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"), "runs")
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_text"))
     rows = _texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -276,7 +276,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, group_runs: int = GROU
     hits = waiting.select("doc_id", "text_hash", F.explode("open_runs").alias("o"))
     hits = hits.select("doc_id", "text_hash", "o.*").join(
         verdicts, (F.col("prefix") == F.col("p")) & (F.col("run") == F.col("r")))
-    hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "at")).alias("hits")).select(
+    hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "at")).alias("hits")).select(
         F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"), "hits")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

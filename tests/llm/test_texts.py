@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import pii_bootstrap, prefix_trie_join, quality_rules, string_tiling, suffix_dedup
 from tests.llm.cases import LOWER, empty, hostile, prose, rows_of, words
@@ -159,6 +160,18 @@ def test_repeats(docs, group_runs):
     assert rows_of(got) == sorted([(r.doc_id, *x) for r, x in zip(rows, repeats_cut([r.text for r in rows]), strict=True)], key=repr)
 
 
+def test_thousands_of_repeated_rows(spark):
+    text = prose(7, 300)
+    part = " ".join(text.split()[:150]) + " " + prose(8, 100)
+    docs = spark.createDataFrame([(None, text)] * 3000 + [(None, part), (1, part + " end")], "doc_id long, text string")
+    rows = docs.collect()
+    expected = Counter((r.doc_id, *x) for r, x in zip(rows, repeats_cut([r.text for r in rows]), strict=True))
+    assert Counter(map(tuple, suffix_dedup.remove_repeats(docs).collect())) == expected
+    runs = suffix_dedup._run_rows(docs, 35).withColumn("mixed", F.lit(True))  # every run left open
+    first = suffix_dedup._first_verdicts(docs, runs, 35, False)
+    assert first.agg(F.max(F.size("open_runs"))).first()[0] < 100  # the runs of one text, not of its copies
+
+
 def test_repeats_of_overlapping_passages(spark):
     r = random.Random(3)
     source = [f"t{r.randrange(30)}" for _ in range(400)]
