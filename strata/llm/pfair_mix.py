@@ -8,9 +8,9 @@ ends it; in every slot the released block with the earliest deadline goes out.
 after any number of slots, run-outs included, each source has had its target to
 within less than one block.  No row is dropped or repeated.
 
-The driver sees one count per source, at most ``MAX_SOURCES``, and schedules the
-blocks (8 bytes a block, and the jobs of ``CHUNK`` slots at a time); rows are
-numbered and placed by the executors.
+The driver sees one count per source, however many there are, and schedules the
+blocks (8 bytes a block, and the jobs of ``CHUNK`` slots and one of each source at
+a time); rows are numbered and placed by the executors.
 
 Within a source the order is by a hash bucket of the row, then doc_id.  Rows
 without a source are a source of their own; sources without a given weight get
@@ -34,7 +34,6 @@ from strata.session import materialize
 BLOCK_ROWS = 32
 PERIOD = 1000
 CHUNK = 200_000        # slots whose blocks are scheduled together
-MAX_SOURCES = 1024
 TEMPERATURE = 0.5      # default target weight of a source: its row count to this power
 ROWS_PER_BUCKET = 20_000
 
@@ -146,9 +145,7 @@ def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = Non
           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with mix_block (number in its source), mix_slot and mix_position (0, 1, ... over all rows)."""
     key = F.col(source).cast("string")
-    counts = {r[0]: r[1] for r in docs.groupBy(key).count().limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them before mixing")
+    counts = {r[0]: r[1] for r in docs.groupBy(key).count().collect()}
     given = weights or {}
     names = sorted(counts, key=lambda s: (s is not None, s or ""))
     number = {s: k for k, s in enumerate(names)}

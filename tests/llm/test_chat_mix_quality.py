@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -167,6 +168,18 @@ def test_mixed_rows_follow_uneven_weights(spark):
     assert fluid_deviation(order, blocks, blocks ** 0.5) < 1 + 1e-6
 
 
+def test_thousands_of_sources(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.when(
+        F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("h"), (F.col("id") % 2999).cast("string"))).alias("source"))
+    rows = sorted(pfair_mix.mixed(docs, block_rows=1).collect(), key=lambda r: r.mix_slot)
+    assert [r.mix_position for r in rows] == list(range(9000))
+    count = Counter(r.source for r in rows)
+    number = {s: k for k, s in enumerate(count)}
+    blocks = np.array(list(count.values()))
+    assert len(number) > 2500
+    assert fluid_deviation([number[r.source] for r in rows], blocks, blocks ** 0.5) < 1 + 1e-6
+
+
 # --- co-training
 
 def test_held_out_accuracy(spark):
