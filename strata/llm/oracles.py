@@ -48,3 +48,14 @@ kept AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.p) AS txt, count(*) AS
          WHERE cov.p IS NULL GROUP BY t.doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(txt, '')) AS kept_sha256 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+_LINE_KEY = "translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINES = f"""WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM s),
+k AS (SELECT doc_id, i, line, {_LINE_KEY} AS k FROM l),
+rep AS (SELECT k FROM k WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS txt FROM k LEFT JOIN rep USING (k)
+         WHERE rep.k IS NULL GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(txt, '')) AS kept_sha256 FROM s LEFT JOIN kept ON kept.doc_id = s.doc_id"""

@@ -13,6 +13,7 @@ from strata.llm import (
     chat_windows,
     cotraining,
     length_histogram,
+    line_store,
     oracles,
     pfair_mix,
     pii_bootstrap,
@@ -29,6 +30,7 @@ ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY_RULES,
     "op3_prefix_tree_join": oracles.NEAR_DUPLICATES,
     "op7_suffix_dedup": oracles.REPEATS,
+    "op12_line_store": oracles.LINES,
 }
 
 
@@ -102,3 +104,10 @@ def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    state = line_store.insert(line_store.empty_state(), docs)
+    return line_store.line_report(state, docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
