@@ -12,6 +12,7 @@ from strata.llm import (
     bitpack,
     chat_windows,
     cotraining,
+    cross_tokenizer,
     length_histogram,
     line_store,
     oracles,
@@ -106,6 +107,14 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return cross_tokenizer.cross_tokenizer_alignment(read_table(spark, sf_dir, "documents"), tokenizer_path(),
+                                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op12_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
