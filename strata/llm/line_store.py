@@ -29,7 +29,9 @@ columns may have any names; ``clean`` keeps them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.words import ASCII_LOWER, slices
 from strata.session import scratch_path
 
 MIN_DOCS = 10
@@ -50,6 +53,7 @@ BROADCAST_KEYS = 200_000  # repeated keys (16 bytes each) that a join may broadc
 SALTS = 32
 
 BLANK = " \t\n\x0b\x0c\r"
+_BLANK = BLANK.encode()
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FILTER_SCHEMA = "shard int, n_keys long, buckets int, payload binary"
 
@@ -66,9 +70,27 @@ def line_key(line: Column) -> Column:
     return F.when(F.length(key) >= 1, F.unhex(F.md5(key)))
 
 
-def document_keys(text: Column) -> Column:
-    """The distinct keys of a text's lines."""
-    return F.array_distinct(F.filter(F.transform(lines_of(text), line_key), lambda k: k.isNotNull()))
+def document_keys(text: bytes | None) -> set[bytes]:
+    """The distinct lines of a text that are not blank, stripped and lower-cased (``line_key`` before its digest)."""
+    return {k for line in (text or b"").split(b"\n") if (k := line.strip(_BLANK).translate(ASCII_LOWER))}
+
+
+def _digests(keys: Iterable[bytes]) -> list[bytes]:
+    return [hashlib.md5(k, usedforsecurity=False).digest() for k in keys]
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """(key, n): documents per key, added up within a batch first."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            n = Counter()
+            for text in batch.column(0).to_pylist():
+                n.update(document_keys(text))
+            yield pa.RecordBatch.from_arrays([pa.array(_digests(n), pa.binary()), pa.array(n.values(), pa.int64())],
+                                             names=["key", "n"])
+
+    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "key binary, n long")
+    return counts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def _head(key: Column) -> Column:
@@ -264,8 +286,7 @@ def delete(state: LineState, docs: DataFrame, path: str | None = None) -> LineSt
 def _update(state: LineState, docs: DataFrame, sign: int, path: str | None) -> LineState:
     spark = docs.sparkSession
     path = path or scratch_path(spark, "line-state")
-    keys = docs.select(F.explode(document_keys(F.col("text"))).alias("key"))
-    delta = keys.groupBy("key").agg((F.count(F.lit(1)) * F.lit(sign)).alias("n"))
+    delta = _counted(docs).select("key", (F.col("n") * F.lit(sign)).alias("n"))
     if state.path is None:
         counts = delta.select("key", F.col("n").alias("n_docs"), F.lit(0).cast("long").alias("n_before"))
     else:
@@ -299,32 +320,34 @@ def _update(state: LineState, docs: DataFrame, sign: int, path: str | None) -> L
 
 # ---------------------------------------------------------------- cleaning
 
-def _asked(state: LineState, keyed: DataFrame) -> DataFrame:
-    """(bucket, keys) -> (bucket, key): the keys that may be repeated, by the filters."""
-    spark = keyed.sparkSession
-    if state.filter_bytes > FILTER_BYTES:
-        return keyed.select("bucket", F.explode("keys").alias("key"))
-    rows = [(r.shard, bytes(r.payload)) for r in state.filters(spark).select("shard", "payload").collect()]  # <= FILTER_BYTES
-    bank = spark.sparkContext.broadcast(FilterBank(state.shards, rows))
+def _asked(state: LineState, docs: DataFrame) -> DataFrame:
+    """(bucket, key): the keys of each document that may be repeated, by the filters."""
+    spark = docs.sparkSession
+    bank = None
+    if state.filter_bytes <= FILTER_BYTES:
+        rows = [(r.shard, bytes(r.payload)) for r in state.filters(spark).select("shard", "payload").collect()]  # <= FILTER_BYTES
+        bank = spark.sparkContext.broadcast(FilterBank(state.shards, rows))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(1)
-            flat = keys.flatten()
-            if not len(flat):
-                continue
-            hit = bank.value.contains(_as_bytes(flat.to_pylist()))
-            bucket = np.repeat(batch.column(0).to_numpy(), keys.value_lengths().to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[hit]), flat.filter(pa.array(hit))], names=["bucket", "key"])
+        for batch in slices(batches, "text"):
+            keys, sizes = [], []
+            for text in batch.column(1).to_pylist():
+                own = _digests(document_keys(text))
+                keys += own
+                sizes.append(len(own))
+            hit = bank.value.contains(_as_bytes(keys)) if bank else np.ones(len(keys), dtype=bool)
+            bucket = np.repeat(batch.column(0).to_numpy(), sizes)[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(keys, pa.binary()).filter(pa.array(hit))],
+                                             names=["bucket", "key"])
 
-    return keyed.mapInArrow(test, "bucket long, key binary")
+    rows = docs.select(_bucket().alias("bucket"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(test, "bucket long, key binary")
 
 
 def _repeated_keys(state: LineState, docs: DataFrame) -> DataFrame:
     """(bucket, hits): the repeated keys of the documents of a bucket (a hash of id and text)."""
     spark = docs.sparkSession
-    keyed = docs.select(_bucket().alias("bucket"), document_keys(F.col("text")).alias("keys"))
-    asked = _asked(state, keyed)
+    asked = _asked(state, docs)
     known = state.counts(spark).where(F.col("n_docs") >= state.min_docs).select("key")
     if state.repeated <= BROADCAST_KEYS:
         met = asked.join(F.broadcast(known), "key")

@@ -59,3 +59,16 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t
          WHERE rep.k IS NULL GROUP BY doc_id)
 SELECT s.doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped,
   sha256(coalesce(txt, '')) AS kept_sha256 FROM s LEFT JOIN kept ON kept.doc_id = s.doc_id"""
+
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+RANKED = f"""WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id), c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, p.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM q JOIN p ON p.term = q.term JOIN w ON w.term = p.term JOIN d ON d.doc_id = p.doc_id CROSS JOIN c GROUP BY item_id, p.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     bitpack,
+    block_search,
     chat_windows,
     cotraining,
     cross_tokenizer,
@@ -32,6 +33,7 @@ ORACLES: dict[str, str] = {
     "op3_prefix_tree_join": oracles.NEAR_DUPLICATES,
     "op7_suffix_dedup": oracles.REPEATS,
     "op12_line_store": oracles.LINES,
+    "op13_block_search": oracles.RANKED,
 }
 
 
@@ -120,3 +122,8 @@ def op12_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     state = line_store.insert(line_store.empty_state(), docs)
     return line_store.line_report(state, docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
