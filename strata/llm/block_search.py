@@ -46,8 +46,8 @@ from strata.session import materialize, scratch_path
 
 TOP = 10
 QUERIES = 1024           # queries of a block, about; each block reads the documents once
-SHARD_DOCS = 8192
-SHARD_CELLS = 1 << 24    # documents times terms of a shard
+SHARD_DOCS = 4096
+SHARD_CELLS = 1 << 23    # documents times terms of a shard
 BLOCK = 256
 SKETCH = 16              # random projections that place a document
 PROBE = 64               # one shard in so many gives the first thresholds
