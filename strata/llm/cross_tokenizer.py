@@ -62,7 +62,7 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "pairs binary, pair_links binary")
 FRAGMENT = ("row_ long, doc_id long, at long, ok boolean, cut boolean, prefix_a binary, prefix_b binary, n_a long, n_b long, "
-            "n_groups long, groups binary, links binary, suffix_a binary, suffix_b binary")
+            "n_groups long, groups string, links binary, suffix_a binary, suffix_b binary")
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -105,6 +105,7 @@ class TokenizerPair:
         self.by_unit = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.width))
         self._links = "I" if self.code.itemsize == 4 else "Q"
         self._a_len, self._b_len = self.a_size.tolist(), self.b_size.tolist()
+        self._a_name, self._b_name = ([str(i) for i in range(len(x))] for x in (self.a_bytes, self.b_bytes))
 
     def units(self, text: str) -> list[str]:
         """Pieces of a text that the tokenizers encode apart, each behind a space that is left out here."""
@@ -116,20 +117,26 @@ class TokenizerPair:
             return parts
         return text.split(" ")
 
-    def aligned(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[tuple[int, int, int, int]], array]:
-        """Groups (from, to in a; from, to in b) and link codes of two runs that spell the same bytes."""
-        a_len, b_len, width = self._a_len, self._b_len, self.width
+    def closed(self, a: Sequence[int], b: Sequence[int]) -> tuple[str, bytes, int]:
+        """Group text, link codes and number of groups of two runs that spell the same bytes."""
+        if not len(a):
+            return "", b"", 0
+        a_name, b_name, width = self._a_name, self._b_name, self.width
+        if len(a) == 1 or len(b) == 1:  # one group, all linked
+            links = array(self._links, [x * width + y for x in a for y in b])
+            return f"{','.join([a_name[x] for x in a])}|{','.join([b_name[y] for y in b])}", links.tobytes(), 1
+        a_len, b_len = self._a_len, self._b_len
         i = j = i0 = j0 = 0
         ends_a, ends_b = a_len[a[0]], b_len[b[0]]
         groups, links = [], array(self._links)
         while True:
             links.append(a[i] * width + b[j])
             if ends_a == ends_b:
-                groups.append((i0, i + 1, j0, j + 1))
-                i0 = i = i + 1
-                j0 = j = j + 1
+                i, j = i + 1, j + 1
+                groups.append(f"{','.join([a_name[x] for x in a[i0:i]])}|{','.join([b_name[y] for y in b[j0:j]])}")
                 if i == len(a):
-                    return groups, links
+                    return ";".join(groups), links.tobytes(), len(groups)
+                i0, j0 = i, j
                 ends_a += a_len[a[i]]
                 ends_b += b_len[b[j]]
             elif ends_a < ends_b:
@@ -139,27 +146,31 @@ class TokenizerPair:
                 j += 1
                 ends_b += b_len[b[j]]
 
-    def closed(self, a: Sequence[int], b: Sequence[int]) -> tuple[bytes, bytes, int]:
-        """Group text, link codes and number of groups of two runs that spell the same bytes."""
-        if not len(a):
-            return b"", b"", 0
-        groups, links = self.aligned(a, b)
-        text = ";".join([",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])) for i, k, j, m in groups])
-        return text.encode(), links.tobytes(), len(groups)
-
 
 class UnitMemo(dict):
-    """Unit -> (ids of a, ids of b, group text, links, groups), None where the tokens do not spell it."""
+    """Unit -> (ids of a, ids of b, group text, link codes, groups), None where the tokens do not spell it.
+
+    The ids are counted only, or kept as bytes (``keep_ids``).  Beyond ``UNITS``
+    units, those that only one slice of texts needed are forgotten.
+    """
 
-    def __init__(self, pair: TokenizerPair):
+    def __init__(self, pair: TokenizerPair, keep_ids: bool = False):
         super().__init__()
-        self.pair = pair
+        self.pair, self.keep_ids = pair, keep_ids
+        self.again: set[str] = set()
+
+    def _forget(self) -> None:
+        kept = {u: self[u] for u in self.again} if len(self.again) <= UNITS // 2 else {}
+        self.clear()
+        self.update(kept)
+        self.again = set()
 
     def learn(self, needed: set[str]) -> None:
         """Encode the units not known yet, all in one call per tokenizer."""
+        self.again |= self.keys() & needed
         if len(self) + len(needed) > UNITS:
-            self.clear()
-        new = [u for u in needed if u not in self]
+            self._forget()
+        new = list(needed.difference(self))
         if not new:
             return
         pair = self.pair
@@ -168,7 +179,7 @@ class UnitMemo(dict):
             a = enc.ids
             spelt = (" " + unit).encode()
             if _spelling(pair.a_bytes, a) == spelt == _spelling(pair.b_bytes, b):
-                self[unit] = (array("I", a).tobytes(), array("I", b).tobytes(), *pair.closed(a, b))
+                self[unit] = (_raw(a) if self.keep_ids else len(a), _raw(b) if self.keep_ids else len(b), *pair.closed(a, b))
             else:
                 self[unit] = None
 
@@ -196,7 +207,7 @@ class Fragment:
     n_a: int = 0
     n_b: int = 0
     n_groups: int = 0
-    groups: bytes = b""
+    groups: str = ""
     links: bytes = b""        # link codes, one per link
     suffix: tuple[list[int], list[int]] = ((), ())
 
@@ -221,7 +232,7 @@ class Fragment:
         if not other.cut:
             return Fragment(True, self.prefix, self.n_a, self.n_b, self.n_groups, self.groups, self.links, (a, b))
         groups, links, n = pair.closed(a, b)
-        text = b";".join([x for x in (self.groups, groups, other.groups) if x])
+        text = ";".join([x for x in (self.groups, groups, other.groups) if x])
         return Fragment(True, self.prefix, self.n_a + len(a) + other.n_a, self.n_b + len(b) + other.n_b,
                         self.n_groups + n + other.n_groups, text, self.links + links + other.links, other.suffix)
 
@@ -253,9 +264,9 @@ class _Rows:
     def __init__(self, code: np.dtype):
         self.code, self.rows = code, []
 
-    def add(self, doc_id, n_a: int, n_b: int, n_groups: int, groups: bytes, links: bytes) -> None:
+    def add(self, doc_id, n_a: int, n_b: int, n_groups: int, groups: str, links: bytes) -> None:
         pairs, n = _tally(np.frombuffer(links, dtype=self.code))
-        sha = hashlib.sha256(groups).hexdigest() if n_groups else ""
+        sha = hashlib.sha256(groups.encode()).hexdigest() if n_groups else ""
         kind = "u1" if n.max(initial=0) < 1 << 8 else "<u2" if n.max() < 1 << 16 else "<u4"
         self.rows.append((doc_id, n_a, n_b, n_groups, len(links) // self.code.itemsize, sha,
                           pairs.tobytes(), n.astype(kind).tobytes()))
@@ -274,17 +285,17 @@ def _align_short(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = TokenizerPair(a_path, b_path)
         memo, out = UnitMemo(pair), _Rows(pair.code)
-        for batch in W.slices(batches, "text", limit=2 << 20):
+        for batch in W.slices(batches, "text", limit=1 << 20):
             texts = [_decoded(t) for t in batch.column(1).to_pylist()]
             parts = [pair.units(t) if t else [] for t in texts]
             memo.learn(set().union(*parts))
             for doc_id, units in zip(batch.column(0).to_pylist(), parts, strict=True):
                 found = list(map(memo.__getitem__, units))
                 if not found or None in found:
-                    out.add(doc_id, 0, 0, 0, b"", b"")
+                    out.add(doc_id, 0, 0, 0, "", b"")
                     continue
                 a, b, groups, links, n = zip(*found, strict=True)
-                out.add(doc_id, sum(map(len, a)) // 4, sum(map(len, b)) // 4, sum(n), b";".join(groups), b"".join(links))
+                out.add(doc_id, sum(a), sum(b), sum(n), ";".join(groups), b"".join(links))
             yield out.take()
 
     return docs.mapInArrow(run, ALIGNED)
@@ -325,7 +336,7 @@ def _fragment_frame(rows: list[tuple]) -> pd.DataFrame:
 
 def _fragment(r) -> Fragment:
     return Fragment(bool(r.cut), (_ids(r.prefix_a), _ids(r.prefix_b)), int(r.n_a), int(r.n_b), int(r.n_groups),
-                    bytes(r.groups), bytes(r.links), (_ids(r.suffix_a), _ids(r.suffix_b)))
+                    r.groups, bytes(r.links), (_ids(r.suffix_a), _ids(r.suffix_b)))
 
 
 def chunk_fragments(pair: TokenizerPair, memo: UnitMemo, chunk: str, at: int, width: int) -> list[tuple[int, bool, Fragment]]:
@@ -354,7 +365,7 @@ def _align_long(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = TokenizerPair(a_path, b_path)
-        memo = UnitMemo(pair)
+        memo = UnitMemo(pair, keep_ids=True)
         for batch in W.slices(batches, "chunk", limit=1 << 20):
             rows = []
             for row, doc_id, at, chunk in zip(*[c.to_pylist() for c in batch.columns], strict=True):

@@ -112,7 +112,7 @@ def test_bytes_that_are_not_utf8(spark):
 def closed_text(f):
     whole = X.BEGIN.then(pair(), f)
     assert not whole.suffix[0] and not whole.suffix[1]
-    return whole.n_a, whole.n_b, whole.n_groups, whole.groups.decode(), sorted(np.frombuffer(whole.links, pair().code).tolist())
+    return whole.n_a, whole.n_b, whole.n_groups, whole.groups, sorted(np.frombuffer(whole.links, pair().code).tolist())
 
 
 @pytest.mark.parametrize("seed", range(6))
