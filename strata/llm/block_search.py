@@ -12,7 +12,7 @@ The index has one row per shard of some thousand documents:
   blocks by similarity: random projections of the vectors place the documents,
   evenly chosen documents of the list are pivots, and each document joins its
   nearest one.  A block carries its *summary*, the largest impact per term over
-  its documents.  Shorter lists are one block and are read whole, as a summary
+  its documents (rounded up to a byte's steps).  Shorter lists are one block and are read whole, as a summary
   would be as long as they are.
 
 For a query, a shard walks the lists by falling largest contribution.  A block
@@ -56,7 +56,7 @@ PROBE = 64               # one shard in so many gives the first thresholds
 _FOLD = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
 _INDEX_FIELDS = ["shard", "doc_ids", "doc_ptr", "doc_terms", "doc_impacts", "block_term", "block_ptr", "block_docs",
-                 "sum_ptr", "sum_terms", "sum_impacts"]
+                 "summaries"]
 INDEX = "shard long, doc_ids array<long>, " + ", ".join(f"{c} binary" for c in _INDEX_FIELDS[2:])
 
 
@@ -170,22 +170,23 @@ def shard_row(doc_ids: list, n: np.ndarray, rows: list[np.ndarray], counts: list
     order = np.argsort(term, kind="stable")
     members, ends = of[order], np.cumsum(np.bincount(term, minlength=width))
     block_term, block_docs, sums = [], [], []
+    unit = _summary_unit(dense.max(axis=0))
     for t in np.unique(term).tolist():
         blocks = _blocks(members[ends[t - 1] if t else 0:ends[t]], place, block_docs_about)
         for block in blocks:
             block_term.append(t)
             block_docs.append(block)
-            most = dense[block].max(axis=0) if len(blocks) > 1 else np.empty(0, np.int32)
-            held = np.flatnonzero(most)
-            sums.append((held, most[held]))
-    lengths = [np.concatenate([[0], np.cumsum([len(x) for x in xs])]).astype("<i8").tobytes()
-               for xs in (block_docs, [s[0] for s in sums])]
-    empty = np.empty(0, dtype=np.int64)
+            if len(blocks) > 1:
+                sums.append((-(-dense[block].max(axis=0) // unit)).astype(np.uint8).tobytes())
+    block_ptr = np.concatenate([[0], np.cumsum([len(x) for x in block_docs])])
     return (doc_ids, doc_ptr.astype("<i8").tobytes(), term.astype(kind).tobytes(), value.astype("<i4").tobytes(),
-            np.array(block_term, dtype="<u4").tobytes(), lengths[0],
-            np.concatenate([*block_docs, empty]).astype("<u2").tobytes(), lengths[1],
-            np.concatenate([*[s[0] for s in sums], empty]).astype(kind).tobytes(),
-            np.concatenate([*[s[1] for s in sums], empty]).astype("<i4").tobytes())
+            np.array(block_term, dtype="<u4").tobytes(), block_ptr.astype("<i8").tobytes(),
+            np.concatenate([*block_docs, np.empty(0, dtype=np.int64)]).astype("<u2").tobytes(), b"".join(sums))
+
+
+def _summary_unit(most: np.ndarray) -> np.ndarray:
+    """Summaries are kept in a 255th of a term's largest impact in the shard, rounded up: still upper bounds."""
+    return np.maximum(1, -(-most // 255)).astype(np.int32)
 
 
 def build_index(vectors: DataFrame, corpus: Corpus, shard_docs: int = SHARD_DOCS, block: int = BLOCK) -> DataFrame:
@@ -202,7 +203,7 @@ def build_index(vectors: DataFrame, corpus: Corpus, shard_docs: int = SHARD_DOCS
             doc_ids, n, terms, tf = zip(*held, strict=True)
             made = shard_row(list(doc_ids), np.array(n), [np.frombuffer(x, dtype=kind) for x in terms],
                              [np.frombuffer(x, dtype="<u4") for x in tf], corpus, weights, block)
-            kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 9]
+            kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7]
             return pa.RecordBatch.from_arrays([pa.array([v], type=k) for v, k in zip((number, *made), kinds, strict=True)],
                                               names=_INDEX_FIELDS)
 
@@ -218,7 +219,7 @@ def build_index(vectors: DataFrame, corpus: Corpus, shard_docs: int = SHARD_DOCS
 
     rows = vectors.where(F.octet_length("terms") > 0).select("doc_id", "n", "terms", "tf")  # others score 0
     path = scratch_path(vectors.sparkSession, "block-index")
-    rows.mapInArrow(run, INDEX).write.option("parquet.block.size", 32 << 20).parquet(path)
+    rows.mapInArrow(run, INDEX).write.option("parquet.block.size", 8 << 20).parquet(path)
     return vectors.sparkSession.read.schema(INDEX).parquet(path)
 
 
@@ -242,13 +243,11 @@ class Shard:
         self.list_first = np.searchsorted(term, np.arange(width + 1))
         self.block_ptr = np.frombuffer(row["block_ptr"], dtype="<i8")
         self.block_docs = np.frombuffer(row["block_docs"], dtype="<u2").astype(np.int64)
-        ptr = np.frombuffer(row["sum_ptr"], dtype="<i8")
-        self.has_sum = np.diff(ptr) > 0
+        self.has_sum = np.repeat(np.diff(self.list_first) > 1, np.diff(self.list_first))
         self.sum_row = np.cumsum(self.has_sum) - 1
-        self.summaries = np.zeros((int(self.has_sum.sum()), width), dtype=np.int32)
-        self.summaries[np.repeat(self.sum_row, np.diff(ptr)), np.frombuffer(row["sum_terms"], dtype=kind)] = \
-            np.frombuffer(row["sum_impacts"], dtype="<i4")
+        self.summaries = np.frombuffer(row["summaries"], dtype=np.uint8).reshape(-1, width)
         self.most = self.vectors.max(axis=0).astype(np.int64)
+        self.unit = _summary_unit(self.most).astype(np.int64)
         self.scored = self.skipped = self.blocks = 0  # documents scored, blocks skipped and met
 
     def best(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: int) -> list[tuple[int, int]]:
@@ -266,7 +265,7 @@ class Shard:
             self.blocks += len(blocks)
             bound = np.full(len(blocks), left[step])
             if len(blocks) and self.has_sum[blocks[0]]:
-                bound = self.summaries[self.sum_row[blocks]][:, terms].astype(np.int64) @ weights
+                bound = self.summaries[self.sum_row[blocks]][:, terms].astype(np.int64) @ (self.unit[terms] * weights)
                 falling = np.argsort(-bound, kind="stable")
                 blocks, bound = blocks[falling], bound[falling]
             at, stride = 0, 1
