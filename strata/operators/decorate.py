@@ -54,7 +54,7 @@ def pending_condition(decorator: str, text: str = "text") -> Column:
 def pending(df: DataFrame, decorator: str, key: str, text: str = "text", limit: int | None = None) -> DataFrame:
     """Pending rows, optionally the first ``limit`` by key (a per-run cap; None = all)."""
     rows = df.where(pending_condition(decorator, text))
-    return top_rows(rows, [F.col(key)], limit, key=key) if limit else rows
+    return top_rows(rows, [key], limit) if limit else rows
 
 
 # ---------------------------------------------------------------- backends
@@ -72,12 +72,20 @@ def extractive_summary(text: Column, max_chars: int = SUMMARY_CHARS) -> Column:
     return F.substring(F.coalesce(best, text), 1, max_chars)
 
 
+def sentences(text: Column) -> Column:
+    return F.split(text, r"(?<=[.!?])\s+")
+
+
+def entity_spans(sentence: Column) -> Column:
+    """Runs of capitalised words."""
+    return F.regexp_extract_all(sentence, F.lit(r"(\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+)*)"), 1)
+
+
 def entity_json(text: Column) -> Column:
-    """Capitalised-word spans per sentence as entities; each entity relates to the next
-    one of its sentence (linear in the text, no all-pairs).  JSON {topic, entities, relationships}."""
-    sentences = F.split(text, r"(?<=[.!?])\s+")
-    per = F.transform(sentences, lambda s: F.regexp_extract_all(
-        s, F.lit(r"(\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+)*)"), 1))
+    """Capitalised-word spans per sentence as entities; each entity relates to the next one of its
+    sentence (linear in the text; all pairs of a sentence over the corpus: ``relations.entity_pairs``).
+    JSON {topic, entities, relationships}."""
+    per = F.transform(sentences(text), entity_spans)
     rel = F.flatten(F.transform(per, lambda es: F.filter(F.transform(es, lambda e, i: F.when(
         i + 1 < F.size(es), F.struct(e.alias("source"), F.lit("co_occurs").alias("relation"),
                                      F.get(es, i + 1).alias("target")))), lambda x: x.isNotNull())))

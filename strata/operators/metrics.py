@@ -1,11 +1,8 @@
 """Metric rows and the dashboard expressions over them.
 
-Samples are rows ``(ts, series..., value)``.  Counter increases are computed
-per series and time window without a per-series window function: samples
-are first paired inside small time buckets (bounded by the bucket length),
-then the pairs that straddle two buckets are added from a per-bucket
-first/last table, so a series holding a third of all samples never lands in
-one task.
+Samples are rows ``(ts, series..., value)``.  Counter increases are merged from
+segments over slices of rows (``counters``), so a series that holds a third of
+all samples never lands in one task; exact quantiles are in ``quantiles``.
 """
 
 from __future__ import annotations
@@ -16,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import sanitize_name
+from strata.operators.counters import segments
 from strata.sources.changelog import CHANGE_TYPE
 
 # Statsd type letters per kind, and the exporter's name for each kind.
@@ -88,6 +86,17 @@ def batch_metrics(changes: DataFrame, merged: DataFrame | None, stream: Column |
     return out.select(*by, st.alias("stream"), "m.*")
 
 
+def counted_metrics(spark, stream: str, batch: dict, merged: dict) -> DataFrame:
+    """The rows of ``batch_metrics`` from counts observed as the batch and its commit passed."""
+    rows = [("batch_rows", None, "gauge", batch["rows"])]
+    rows += [("processed", t, "counter", batch[t]) for t in ("insert", "update_preimage", "update_postimage", "delete") if batch[t]]
+    rows += [("merge", label, "counter", merged[t]) for label, t in (
+        ("inserted", "insert"), ("updated", "update_postimage"), ("deleted", "delete"))]
+    rows.append(("batches", "succeeded", "counter", 1))
+    return spark.createDataFrame([(stream, m, x, k, float(v)) for m, x, k, v in rows],
+                                 "stream string, metric string, label string, kind string, value double")
+
+
 def batch_outcome(spark, stream: str, seconds: float, failed: bool, rejected: int = 0) -> DataFrame:
     """How long a batch took, whether it failed, and how many rows it could not merge, as metric rows."""
     rows = [("batch_duration", None, "timer", float(seconds))]
@@ -178,45 +187,21 @@ def map_metric_names(names: DataFrame, rules: Sequence[tuple], name_col: str = "
 
 # ------------------------------------------------------- time-series math
 
-def _segment_pairs(samples: DataFrame, series: Sequence[str], order: Sequence[str], window: str,
-                   bucket_seconds: int) -> DataFrame:
-    """Deltas of consecutive samples of a series inside one time window (reset-aware).
-
-    delta = v - prev when v >= prev, else v (the counter restarted from 0).
-    """
-    ts = F.col("ts")
-    w_start = F.window(ts, window).start
-    b = F.floor(F.unix_timestamp(ts) / bucket_seconds)
-    x = samples.withColumn("win", w_start).withColumn("bucket", b)
-    key = [*series, "win"]
-    wb = Window.partitionBy(*key, "bucket").orderBy(*order)
-    inner = x.withColumn("prev", F.lag("value").over(wb)).where(F.col("prev").isNotNull())
-    inner = inner.groupBy(*key).agg(F.sum(F.when(F.col("value") >= F.col("prev"), F.col("value") - F.col("prev"))
-                                          .otherwise(F.col("value"))).alias("inc"))
-    ends = x.groupBy(*key, "bucket").agg(F.min_by("value", F.struct(*order)).alias("first_v"),
-                                         F.max_by("value", F.struct(*order)).alias("last_v"))
-    we = Window.partitionBy(*key).orderBy("bucket")
-    cross = ends.withColumn("prev", F.lag("last_v").over(we)).where(F.col("prev").isNotNull())
-    cross = cross.groupBy(*key).agg(F.sum(F.when(F.col("first_v") >= F.col("prev"), F.col("first_v") - F.col("prev"))
-                                          .otherwise(F.col("first_v"))).alias("inc"))
-    return inner.unionByName(cross).groupBy(*key).agg(F.sum("inc").alias("increase"))
-
-
 def counter_increase(samples: DataFrame, by: Sequence[str], series: Sequence[str], window: str = "1 day",
-                     order: Sequence[str] = ("ts",), bucket_seconds: int = 3600) -> DataFrame:
+                     order: Sequence[str] = ("ts",)) -> DataFrame:
     """``sum by (by) (increase(counter[window]))`` over tumbling windows.
 
     Only pairs of samples inside a window count (no extrapolation to the window
-    edges, unlike Prometheus).  ``bucket_seconds`` must divide the window.
+    edges, unlike Prometheus); sliding ranges are in ``counters``.
     """
-    inc = _segment_pairs(samples, series, list(order), window, bucket_seconds)
-    return inc.groupBy(*by, F.col("win").alias("window_start")).agg(F.sum("increase").alias("increase"))
+    seg = segments(samples, series, F.window("ts", window).start, order).where("seg.n >= 2")
+    return seg.groupBy(*by, F.col("step").alias("window_start")).agg(F.sum("seg.increase").alias("increase"))
 
 
 def counter_rate(samples: DataFrame, by: Sequence[str], series: Sequence[str], window: str = "1 day",
-                 window_seconds: int = 86400, order: Sequence[str] = ("ts",), bucket_seconds: int = 3600) -> DataFrame:
+                 window_seconds: int = 86400, order: Sequence[str] = ("ts",)) -> DataFrame:
     """``rate(counter[window])`` = increase / window seconds, summed by ``by``."""
-    inc = counter_increase(samples, by, series, window, order, bucket_seconds)
+    inc = counter_increase(samples, by, series, window, order)
     return inc.withColumn("rate", F.col("increase") / F.lit(float(window_seconds))).drop("increase")
 
 

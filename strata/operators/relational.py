@@ -59,7 +59,7 @@ def most_common(df: DataFrame, group: Sequence[str], value: str, position: str)
         F.max("n").alias("count"))
 
 
-def _numbered(df: DataFrame, *order) -> DataFrame:
+def numbered(df: DataFrame, *order) -> DataFrame:
     """``df`` with __slice and __place: rows range-partitioned and sorted by ``order``, numbered within each slice.
 
     Written once, so the numbers are fixed.  No key and no group meets in one
@@ -74,20 +74,38 @@ def _numbered(df: DataFrame, *order) -> DataFrame:
     return materialize(ranged.drop("__id"), "numbered")
 
 
-def top_rows(df: DataFrame, order: Sequence[Column], n: int | None, key: str | None = None) -> DataFrame:
-    """The first ``n`` rows in a total order; 0/None means no limit.
+def top_rows(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
+    """The first ``n`` rows by the columns ``order`` (ascending, nulls first); 0/None means no limit.
 
-    One plan for any n and any type of key: rows are range-partitioned by the
-    order and numbered, and the counts of the slices before give each row's rank.
+    Only the order columns are numbered and written: the counts of the slices give
+    the n-th row's place, and its key is the bound that ``df`` is filtered by, so
+    the wide rows are neither sorted nor written.  Rows that equal the bound are
+    taken up to ``n``.
     """
     if not n:
         return df
-    ranked = _numbered(df, *order)
+    keys = [f"__o{i}" for i in range(len(order))]
+    ranked = numbered(df.select(*[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)]), *keys)
     sizes = ranked.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))  # one row per slice
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return (ranked.join(starts, "__slice").where(F.col("__before") + F.col("__place") < n)
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    starts = sizes.select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), "__n")
+    holder = starts.where((F.col("__before") < n) & (F.col("__before") + F.col("__n") >= n)).first()
+    if holder is None:  # no more than n rows
+        return df
+    first = (ranked.where(F.col("__slice") == holder["__slice"])
+             .where(F.col("__place") == n - 1 - holder["__before"]).select(*keys).first())  # the n-th key
+
+    def compared(columns: Sequence[str]) -> tuple[Column, Column]:
+        less, same = F.lit(False), F.lit(True)
+        for c, k in zip(columns, keys, strict=True):
+            value = F.lit(first[k]).cast(ranked.schema[k].dataType)
+            below = F.lit(False) if first[k] is None else F.col(f"`{c}`").isNull() | (F.col(f"`{c}`") < value)
+            less, same = less | (same & F.coalesce(below, F.lit(False))), same & F.col(f"`{c}`").eqNullSafe(value)
+        return less, same
+
+    rest = n - ranked.where(compared(keys)[0]).count()
+    less, same = compared(order)
+    return df.where(less).unionByName(df.where(same).limit(rest))
 
 
 def position_within(df: DataFrame, group: Sequence[str], order: str, name: str = "pos",
@@ -99,7 +117,7 @@ def position_within(df: DataFrame, group: Sequence[str], order: str, name: str =
     precedes; a group holding a third of the table spreads over many slices,
     whatever its values of ``order`` are.
     """
-    ranked = _numbered(df, *group, order, *tiebreak)
+    ranked = numbered(df, *group, order, *tiebreak)
     parts = ranked.groupBy(*group, "__slice").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))) \

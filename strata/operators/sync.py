@@ -62,7 +62,7 @@ def prepare_batch(source: DataFrame, partition_ts: str | None = None, json_cols:
                   limit: int | None = None, id_column: str = "_id", synced_at=None) -> DataFrame:
     """Steps shared by both sync modes: optional batch limit (by id, reproducible), year/month,
     JSON columns, ``_synced_at``, void -> string."""
-    df = top_rows(source, [F.col(id_column)], limit, key=id_column) if limit else source
+    df = top_rows(source, [id_column], limit) if limit else source
     if partition_ts:
         df = with_partition_columns(df, partition_ts)
     df = json_columns(df, json_cols)

@@ -10,6 +10,7 @@ from strata.plans.fixtures import F1_FINAL_SQL, F1_SQL, F1N_EXTRA_SQL, ORDER_COL
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sources import changelog as CL
+from strata.sources import sketches as SK
 from strata.sources.tables import read_table, scan_table
 
 OC = ", ".join(ORDER_COLS)
@@ -246,3 +247,21 @@ def log_schema_evolution(spark, sf_dir):
     late = narrow.where(F.col("o_orderkey") % 10 == 1).withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
     CL.commit(spark, late.withColumn(CL.CHANGE_TYPE, F.lit("insert")), root)
     return CL.snapshot_at(spark, root, "o_orderkey")
+
+
+@query("count_distinct_sketch", """SELECT 'o_custkey' AS "column", count(DISTINCT o_custkey) AS exact, true AS close FROM orders
+UNION ALL SELECT 'o_orderkey', count(DISTINCT o_orderkey), true FROM orders
+UNION ALL SELECT 'o_orderdate', count(DISTINCT o_orderdate), true FROM orders
+UNION ALL SELECT 'text', count(DISTINCT text), true FROM documents""")
+def count_distinct_sketch(spark, sf_dir):
+    # A02, opt-in: three commits of orders and of documents; their sketches are united, their rows not read again.
+    out = []
+    for table, key, columns in (("orders", "o_orderkey", ["o_custkey", "o_orderkey", "o_orderdate"]), ("documents", "doc_id", ["text"])):
+        root, rows = scratch_path(spark, f"sketch-{table}"), read_table(spark, sf_dir, table).select("*")
+        for part in range(3):
+            CL.commit(spark, rows.where(F.col(key) % 3 == part).withColumn(CL.CHANGE_TYPE, F.lit("insert")), root)
+        SK.sketch_missing(spark, root, columns)
+        exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+        out.append(SK.distinct_estimates(spark, root).join(exact, "column"))
+    close = F.abs(F.col("estimate") - F.col("exact")) <= 3 * SK.STANDARD_ERROR * F.col("exact") + 1
+    return out[0].union(out[1]).select("column", "exact", close.alias("close"))

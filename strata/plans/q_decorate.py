@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from strata.operators import decorate as D
 from strata.operators import merge as M
+from strata.operators import relations as RL
 from strata.operators import similarity as SIM
+from strata.operators import vector_search as VS
 from strata.plans.fixtures import F8_SQL, f8_silver
 from strata.plans.registry import query
 from strata.sources import changelog as CL
@@ -59,6 +61,17 @@ def decorate_entities(spark, sf_dir):
     return d.select("doc_id", D.entity_json(F.col("text")).alias("ner_nel"))
 
 
+@query("entity_pairs", r"""WITH s AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1))) AS s
+  FROM documents),
+e AS (SELECT row_number() OVER () AS i, list_distinct(regexp_extract_all(s, '(\p{Lu}\p{Ll}+(?:[ \t\n\x0B\f\r]+\p{Lu}\p{Ll}+)*)')) AS es FROM s),
+x AS (SELECT i, unnest(es) AS e FROM e)
+SELECT a.e AS source, b.e AS target, count(*) AS sentences FROM x a JOIN x b ON a.i = b.i AND a.e < b.e
+GROUP BY a.e, b.e HAVING count(*) >= 2""")
+def entity_pairs(spark, sf_dir):
+    # Entities that share two sentences or more, over the whole corpus.
+    return RL.entity_pairs(read_table(spark, sf_dir, "documents"), min_support=2)
+
+
 @query("decorate_dense", f"SELECT doc_id, {dense_sql('text')} AS vector FROM documents")
 def decorate_dense(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
@@ -198,4 +211,4 @@ def dense_query_topk(spark, sf_dir):
     # The given query vectors (every 20th stored one) against all vectors.
     e = read_table(spark, sf_dir, "embeddings")
     q = e.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
-    return SIM.dense_query_topk(q, "query_id", e, "vec_id", "embedding", k=5)
+    return VS.dense_query_topk(q, "query_id", e, "vec_id", "embedding", k=5)

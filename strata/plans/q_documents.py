@@ -38,15 +38,15 @@ s AS (SELECT *, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS text FROM t)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start) AS INTEGER) AS number, name, part, text
 FROM s WHERE text <> ''""")
 def build_chapters(spark, sf_dir):
-    lines = S.split_lines(read_table(spark, sf_dir, "documents"))
-    stats = S.doc_stats(lines)
+    docs = read_table(spark, sf_dir, "documents")
+    lines = S.split_lines(docs)
     k = F.col("line_no")
     bounds = lines.where((k % 4 == 0) | (k % 10 == 5)).select(
         "doc_id", F.lit("fixed").alias("strategy"), F.col("line_no").cast("long").alias("start"),
         (F.col("line_no") + 1).cast("long").alias("body_start"),
         F.concat(F.when(k % 10 == 5, F.lit("Part at ")).otherwise(F.lit("Chapter at ")), k.cast("string")).alias("name"),
         F.when(k % 10 == 5, F.lit("part")).otherwise(F.lit("chapter")).alias("kind"))
-    return S.build_chapters(lines, bounds, stats).select("doc_id", F.col("number").cast("int").alias("number"),
+    return S.build_chapters(docs.select("doc_id", "text"), bounds).select("doc_id", F.col("number").cast("int").alias("number"),
                                                          "name", "part", "text")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators import counters as CT
 from strata.operators import merge as M
 from strata.operators import metrics as MX
+from strata.operators import quantiles as QT
 from strata.operators.relational import change_type_filter
 from strata.plans.fixtures import F1_SQL, F7_SQL, f1_change_log, f7_counters
 from strata.plans.registry import query
@@ -120,6 +122,24 @@ def counter_rate(spark, sf_dir):
                            order=("ts", "event_id"))
 
 
+# Ranges of six hours, evaluated every hour: each sample is seen by the six ranges that reach it.
+SLIDING_SQL = f"""WITH {F7_SQL}, s AS (SELECT *, CAST(ceil(epoch_us(ts) / 3600000000.0) AS BIGINT) AS step FROM f7),
+e AS (SELECT stream, ts, event_id, value, unnest(range(step, step + 6)) AS n FROM s),
+p AS (SELECT *, lag(value) OVER (PARTITION BY stream, n ORDER BY ts, event_id) AS prev FROM e)
+SELECT stream, TIMESTAMP '1970-01-01' + to_hours(n) AS step_end,
+  sum(CASE WHEN value >= prev THEN value - prev ELSE value END){{per}} AS {{name}} FROM p WHERE prev IS NOT NULL GROUP BY stream, n"""
+
+
+@query("counter_increase_sliding", SLIDING_SQL.format(per="", name="increase"))
+def counter_increase_sliding(spark, sf_dir):
+    return CT.sliding_increase(f7_counters(spark, sf_dir), ["stream"], ["stream"], 6 * 3600, 3600, order=("ts", "event_id"))
+
+
+@query("counter_rate_sliding", SLIDING_SQL.format(per=" / 21600.0", name="rate"))
+def counter_rate_sliding(spark, sf_dir):
+    return CT.sliding_rate(f7_counters(spark, sf_dir), ["stream"], ["stream"], 6 * 3600, 3600, order=("ts", "event_id"))
+
+
 BOUNDS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 100.0)
 _LE_SQL = "CASE " + " ".join(f"WHEN value <= {b} THEN {i}" for i, b in enumerate(BOUNDS)) + f" ELSE {len(BOUNDS)} END"
 _B_SQL = "[" + ", ".join(str(b) for b in BOUNDS) + "]"
@@ -141,6 +161,14 @@ def duration_p95(spark, sf_dir):
     return q.withColumn("quantile", F.round("quantile", 6))
 
 
+@query("duration_p95_exact", """SELECT event_type, date_trunc('day', ts) AS window_start, count(value) AS n,
+  round(quantile_cont(value, 0.95), 6) AS quantile FROM events GROUP BY ALL""")
+def duration_p95_exact(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_type", F.window("ts", "1 day").start.alias("window_start"), "value")
+    out = QT.exact_quantile(ev, 0.95, ["event_type", "window_start"])
+    return out.withColumn("quantile", F.round("quantile", 6))
+
+
 @query("gauge_latest", """SELECT event_type AS stream, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def gauge_latest(spark, sf_dir):

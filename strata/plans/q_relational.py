@@ -152,7 +152,7 @@ def order_rows(spark, sf_dir):
 @query("batch_limit", "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 100")
 def batch_limit(spark, sf_dir):
     # The limit is the feature (one run handles at most n rows); order makes it reproducible.
-    return top_rows(T(spark, sf_dir, "documents").select("doc_id", "source"), [F.col("doc_id")], 100)
+    return top_rows(T(spark, sf_dir, "documents").select("doc_id", "source"), ["doc_id"], 100)
 
 
 @query("partition_columns", """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,

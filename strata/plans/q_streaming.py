@@ -3,6 +3,7 @@ bronze change log under the shared folder, streamed, and the result returned as
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.decorate import DECORATOR_COLUMNS
@@ -91,7 +92,7 @@ def bronze_to_silver_run(spark, sf_dir, root):
     for step in ([1], [2, 3], []):
         commit_versions(spark, log, bronze, step)
         cdf.run_stream(spark, cfg, "o_orderkey", change_filter=flt, columns=source_cols,
-                       metrics_path=f"{root}/metrics")
+                       metrics_path=f"{root}/metrics", runs_path=f"{root}/runs")
     return CL.snapshot(CL.read_log(spark, silver), "o_orderkey")
 
 
@@ -100,6 +101,32 @@ def bronze_to_silver(spark, sf_dir):
     return bronze_to_silver_run(spark, sf_dir, scratch_path(spark, "b2s"))
 
 
+@query("stream_runs", f"""WITH {F1_SQL}, c AS (SELECT CASE WHEN _commit_version = 1 THEN 1 ELSE 2 END AS run, _commit_version AS v FROM f1
+  WHERE _commit_version >= 1 AND _change_type <> 'update_preimage')
+SELECT CAST(run AS INTEGER) AS run, CAST(min(v) AS BIGINT) AS start_version, CAST(max(v) AS BIGINT) AS end_version, count(*) AS rows
+FROM c GROUP BY run UNION ALL SELECT 3, NULL, NULL, 0""")
+def stream_runs(spark, sf_dir):
+    # What each run of the bronze-to-silver stream merged; the third found nothing new.
+    root = scratch_path(spark, "runs")
+    bronze_to_silver_run(spark, sf_dir, root)
+    runs = spark.read.parquet(f"{root}/runs")
+    order = Window.partitionBy("query_name").orderBy("ts")  # a row per run
+    return runs.select(F.row_number().over(order).alias("run"), "start_version", "end_version", "rows")
+
+
+@query("stream_metrics", f"""WITH {F1_SQL}, b AS (SELECT _commit_version >= 2 AS late, _change_type AS t FROM f1
+  WHERE _commit_version >= 1 AND _change_type <> 'update_preimage')
+SELECT 'batch_rows' AS metric, CAST(NULL AS VARCHAR) AS label, CAST(count(*) AS DOUBLE) AS value FROM b GROUP BY late
+UNION ALL SELECT 'processed', t, CAST(count(*) AS DOUBLE) FROM b GROUP BY late, t
+UNION ALL SELECT 'batches', 'succeeded', 1.0 FROM b GROUP BY late""")
+def stream_metrics(spark, sf_dir):
+    # The counts that the two batches of the stream left, observed as they passed.
+    root = scratch_path(spark, "stream-metrics")
+    bronze_to_silver_run(spark, sf_dir, root)
+    rows = spark.read.parquet(f"{root}/metrics")
+    return rows.where("metric IN ('batch_rows', 'processed', 'batches')").select("metric", "label", "value")
+
+
 @query("stream_null_keys", """SELECT CASE WHEN c_custkey % 7 = 0 THEN 'quarantined' ELSE 'merged' END AS fate, c_name,
   c_mktsegment || CASE WHEN c_custkey % 7 > 0 AND c_custkey % 3 = 0 THEN '-NEW' ELSE '' END AS c_mktsegment FROM customer""")
 def stream_null_keys(spark, sf_dir):

@@ -3,23 +3,26 @@
 The source is Spark's file stream over the bronze log's ``_commit_version=N``
 folders; each micro-batch (``foreachBatch``, ``availableNow``) is collapsed to
 one change per key, merged into the target's latest state and committed as one
-new target version.  A batch replayed after a crash is recognised by its
-``(query_name, batch_id)`` stored in ``_batch_ref`` and skipped.
+new target version.  A batch replayed after a crash is recognised by the
+stream's own id (from its checkpoint) and the batch id, stored in ``_batch_ref``,
+and skipped; streams that share a target or a query name never meet.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.merge import UPSERT_TYPES, apply_changes
-from strata.operators.metrics import batch_metrics, batch_outcome
+from strata.operators.metrics import batch_outcome, counted_metrics
 from strata.operators.relational import change_type_filter
 from strata.sources import changelog as CL
 
@@ -66,6 +69,14 @@ def has_progress(spark: SparkSession, checkpoint: str) -> bool:
     return bool(fs.exists(path)) and len(fs.listStatus(path)) > 0
 
 
+def stream_key(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint; a checkpoint without a stream yet goes by its path."""
+    _, _, path, fs = CL._jvm_fs(spark, f"{checkpoint}/metadata")
+    if fs.exists(path):
+        return json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]  # one line
+    return "path-" + hashlib.md5(checkpoint.rstrip("/").encode(), usedforsecurity=False).hexdigest()
+
+
 def quarantine_root(target: str) -> str:
     """Rows that cannot be merged (a NULL in their key) are kept beside the target log."""
     return target.rstrip("/") + "__quarantine"
@@ -74,40 +85,47 @@ def quarantine_root(target: str) -> str:
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: StreamConfig, key,
                 columns: Sequence[str] | None = None, upsert_types: Sequence[str] = UPSERT_TYPES,
                 metrics_path: str | None = None, stream_name: str | None = None,
-                snapshot_every: int = 10) -> int | None:
+                snapshot_every: int = 10, counted: Callable[[dict], None] | None = None) -> int | None:
     """One micro-batch: nothing for an empty batch; otherwise collapse, merge into the
     target's current state and commit the resulting change rows as one target version.
     Errors propagate so the batch is retried.  Rows with a NULL in the key are not
-    merged: they go to the quarantine folder, one sub-folder per batch.
+    merged: they go to the quarantine folder, one sub-folder per stream and batch.
 
     Only the target rows of the batch's keys are rebuilt (semi join before the snapshot
     aggregate), and every ``snapshot_every`` versions the target state is stored beside
-    the log, so a batch's cost follows its own size, not the table's history.
+    the log, so a batch's cost follows its own size, not the table's history.  Rows,
+    versions and change types are observed as the batch and its commit pass
+    (``counted`` gets those of the batch), so no count reads them again.
     """
-    if batch.isEmpty():
-        return None
-    ref = f"{config.query_name or 'stream'}:{batch_id}"
+    ref_stream = stream_key(spark, config.checkpoint)
+    ref = f"{ref_stream}:{batch_id}"
     if CL.batch_seen(spark, config.target, ref):
         return None
     key_cols = [key] if isinstance(key, str) else list(key)
     began, name = time.monotonic(), stream_name or config.query_name or "stream"
-    batch = batch.persist()  # its keys, its changes and its counts are read below
+    no_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in key_cols])
+    read, written = Observation(), Observation()
+    versions = [F.min(CL.VERSION).alias("start_version"), F.max(CL.VERSION).alias("end_version")] if CL.VERSION in batch.columns else []
+    batch = batch.observe(read, F.count(F.lit(1)).alias("rows"), F.count_if(no_key).alias("rejected"), *versions,
+                          *_type_counts()).persist()  # its keys and its changes are read below
     try:
-        no_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in key_cols])
+        if not batch.count():  # one pass fills the cache and the counts
+            return None
+        counts = read.get
         bad, good = batch.where(no_key), batch.where(~no_key)
-        if not bad.isEmpty():
-            bad.write.mode("overwrite").parquet(f"{quarantine_root(config.target)}/batch={batch_id}")
+        if counts["rejected"]:
+            bad.write.mode("overwrite").parquet(f"{quarantine_root(config.target)}/stream={ref_stream}/batch={batch_id}")
         current = CL.snapshot_at(spark, config.target, key_cols, only_keys=good)
         result = apply_changes(current, good, key_cols, columns=columns, upsert_types=upsert_types)
-        version = CL.commit(spark, result.changes, config.target, operation="MERGE", batch_ref=ref)
+        version = CL.commit(spark, result.changes.observe(written, *_type_counts()), config.target, operation="MERGE", batch_ref=ref)
         if snapshot_every and version % snapshot_every == 0:
             CL.write_snapshot(spark, config.target, key_cols, version)
         if metrics_path:
-            # Merge counts come from the commit just written (one version folder), not a second merge.
-            written = spark.read.parquet(CL.version_path(config.target, version))
-            rows = batch_metrics(batch, written, name).unionByName(batch_outcome(
-                spark, name, time.monotonic() - began, failed=False, rejected=bad.count()))
+            rows = counted_metrics(spark, name, counts, written.get).unionByName(batch_outcome(
+                spark, name, time.monotonic() - began, failed=False, rejected=counts["rejected"]))
             write_metrics(rows, batch_id, metrics_path)
+        if counted is not None:
+            counted(counts)
         return version
     except Exception:
         if metrics_path:
@@ -117,6 +135,10 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, config: St
         batch.unpersist()
 
 
+def _type_counts() -> list[Column]:
+    return [F.count_if(F.col(CL.CHANGE_TYPE) == t).alias(t) for t in CL.CHANGE_TYPES]
+
+
 def write_metrics(rows: DataFrame, batch_id: int, path: str) -> None:
     rows.withColumn("batch_id", F.lit(batch_id)).withColumn("ts", F.localtimestamp()).write.mode("append").parquet(path)
 
@@ -124,15 +146,28 @@ def write_metrics(rows: DataFrame, batch_id: int, path: str) -> None:
 def run_stream(spark: SparkSession, config: StreamConfig, key, transform: Transform | None = None,
                change_filter: Transform | None = None, columns: Sequence[str] | None = None,
                upsert_types: Sequence[str] = UPSERT_TYPES, metrics_path: str | None = None,
-               wait: bool = True) -> StreamingQuery:
-    """Source -> transformer -> filter -> merge sink, ``availableNow``, checkpointed."""
+               wait: bool = True, runs_path: str | None = None) -> StreamingQuery:
+    """Source -> transformer -> filter -> merge sink, ``availableNow``, checkpointed.
+
+    ``runs_path`` (with ``wait``) gets one row per run: the first and the last
+    source version that it merged, null if none, and the rows (T07).
+    """
+    run = {"start_version": None, "end_version": None, "rows": 0}
+
+    def counted(counts: dict) -> None:
+        run["rows"] += counts["rows"]
+        for field, pick in (("start_version", min), ("end_version", max)):
+            known = [v for v in (run[field], counts.get(field)) if v is not None]
+            run[field] = pick(known) if known else None
+
     stream = read_change_stream(spark, config)
     stream = (transform or identity)(stream)
     if change_filter is not None:
         stream = change_filter(stream)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, batch_id, config, key, columns, upsert_types, metrics_path)
+        merge_batch(batch.sparkSession, batch, batch_id, config, key, columns, upsert_types, metrics_path,
+                    counted=counted)
 
     writer = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", config.checkpoint)
               .trigger(availableNow=True))
@@ -141,6 +176,10 @@ def run_stream(spark: SparkSession, config: StreamConfig, key, transform: Transf
     q = writer.start()
     if wait:
         q.awaitTermination()
+        if runs_path:
+            rows = [(config.query_name, str(q.runId), run["start_version"], run["end_version"], run["rows"])]
+            row = spark.createDataFrame(rows, "query_name string, run_id string, start_version long, end_version long, rows long")
+            row.withColumn("ts", F.localtimestamp()).write.mode("append").parquet(runs_path)
     return q
 
 

@@ -50,9 +50,9 @@ def test_large_limit_is_distributed_and_exact(spark):
     from strata.operators import relational as R
 
     df = spark.range(0, 600_000, 3).withColumnRenamed("id", "k")
-    big = R.top_rows(df, [F.col("k")], 150_000, key="k")
+    big = R.top_rows(df, ["k"], 150_000)
     assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
     got = big.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("mx")).first()
     assert (got.n, got.mx) == (150_000, 449_997)
-    small = R.top_rows(df, [F.col("k")], 5, key="k")
+    small = R.top_rows(df, ["k"], 5)
     assert [r.k for r in small.collect()] == [0, 3, 6, 9, 12]

@@ -45,3 +45,45 @@ def test_replayed_batch_is_skipped(spark, scratch):
     assert cdf.merge_batch(spark, batch, 7, cfg, "o_orderkey") == 1
     assert cdf.merge_batch(spark, batch, 7, cfg, "o_orderkey") is None  # same (query, batch) again
     assert cdf.merge_batch(spark, batch.limit(0), 8, cfg, "o_orderkey") is None  # empty batch
+
+
+def _rows(spark, ids, name):
+    return spark.createDataFrame([(i, name, "insert") for i in ids], "k long, name string, _change_type string")
+
+
+def _target(spark, path):
+    CL.commit(spark, _rows(spark, [], ""), path, operation="CREATE")
+
+
+def test_two_unnamed_streams_share_a_target(spark, scratch):
+    root = scratch("two")
+    _target(spark, f"{root}/t")
+    for name, k in (("a", 1), ("b", 2)):
+        CL.commit(spark, _rows(spark, [k], name), f"{root}/{name}")
+        cdf.run_stream(spark, cdf.StreamConfig(f"{root}/{name}", f"{root}/t", f"{root}/ck-{name}"), "k")
+    state = CL.snapshot(CL.read_log(spark, f"{root}/t"), "k").select("k", "name")
+    assert sorted(map(tuple, state.collect())) == [(1, "a"), (2, "b")]
+
+
+def test_fresh_checkpoint_under_an_old_query_name(spark, scratch):
+    root = scratch("fresh")
+    _target(spark, f"{root}/t")
+    CL.commit(spark, _rows(spark, [1], "a"), f"{root}/s")
+    cdf.run_stream(spark, cdf.StreamConfig(f"{root}/s", f"{root}/t", f"{root}/ck1", "same"), "k")
+    CL.commit(spark, _rows(spark, [2], "b"), f"{root}/s")
+    cdf.run_stream(spark, cdf.StreamConfig(f"{root}/s", f"{root}/t", f"{root}/ck2", "same", starting_version=1), "k")
+    state = CL.snapshot(CL.read_log(spark, f"{root}/t"), "k").select("k", "name")
+    assert sorted(map(tuple, state.collect())) == [(1, "a"), (2, "b")]
+
+
+def test_each_stream_keeps_its_own_quarantine(spark, scratch):
+    root = scratch("aside")
+    _target(spark, f"{root}/t")
+    for name in ("qc", "qd"):
+        CL.commit(spark, _rows(spark, [None, 5], name), f"{root}/{name}")
+        config = cdf.StreamConfig(f"{root}/{name}", f"{root}/t", f"{root}/ck-{name}", name)
+        cdf.run_stream(spark, config, "k")
+        cdf.run_stream(spark, config, "k")  # nothing new
+    aside = spark.read.parquet(cdf.quarantine_root(f"{root}/t"))
+    assert sorted(r.name for r in aside.collect()) == ["qc", "qd"]
+    assert aside.select("stream").distinct().count() == 2
