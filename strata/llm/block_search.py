@@ -144,7 +144,7 @@ def _blocks(members: np.ndarray, place: np.ndarray, size: int) -> list[np.ndarra
         return [members]
     k = -(-len(members) // size)
     pivots = members[np.arange(k) * len(members) // k]
-    nearest = np.argmax(place[members] @ place[pivots].T, axis=1)
+    nearest = np.argmax(np.einsum("ij,kj->ik", place[members], place[pivots]), axis=1)
     out = []
     for c in range(k):
         own = members[nearest == c]
@@ -165,7 +165,7 @@ def shard_row(doc_ids: list, n: np.ndarray, rows: list[np.ndarray], counts: list
     dense = np.zeros((len(rows), width), dtype=np.int32)
     dense[of, term] = value
     signs = np.random.default_rng(1).choice(np.array([-1.0, 1.0], dtype=np.float32), (width, SKETCH))
-    place = np.concatenate([(dense[i:i + 512] * weights.astype(np.float32)) @ signs for i in range(0, len(rows), 512)])
+    place = np.add.reduceat((value * weights[term]).astype(np.float32)[:, None] * signs[term], doc_ptr[:-1])
     place /= np.maximum(np.linalg.norm(place, axis=1, keepdims=True), 1e-9)
     order = np.argsort(term, kind="stable")
     members, ends = of[order], np.cumsum(np.bincount(term, minlength=width))
