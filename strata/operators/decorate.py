@@ -103,19 +103,25 @@ def _bucket(token: str, memo: dict[str, int]) -> int:
     return memo[token]
 
 
+def _dense(counts: Counter, dim: int, memo: dict[str, int]) -> np.ndarray | None:
+    out = np.zeros(dim)
+    for token, n in counts.items():
+        out[_bucket(token, memo) % dim] += n
+    norm = np.sqrt((out * out).sum())
+    return (out / norm).astype(np.float32) if norm else None
+
+
+def _sparse(counts: Counter) -> dict | None:
+    total = sum(counts.values())
+    return {w: np.float32(n / total) for w, n in counts.items()} or None
+
+
 def dense_vector(text: Column, dim: int = DENSE_DIM) -> Column:
     """Hashed bag-of-words vector of ``dim`` floats, L2-normalised, within the row (an Arrow batch at a
     time).  A token's bucket is its md5's first 8 hex digits modulo ``dim``; NULL without tokens."""
     def vectors(texts: pd.Series) -> pd.Series:
         memo: dict[str, int] = {}
-        out = []
-        for t in texts:
-            counts = np.zeros(dim)
-            for token, n in Counter(_words(t)).items():
-                counts[_bucket(token, memo) % dim] += n
-            norm = np.sqrt((counts * counts).sum())
-            out.append((counts / norm).astype(np.float32) if norm else None)
-        return pd.Series(out)
+        return pd.Series([_dense(Counter(_words(t)), dim, memo) for t in texts])
 
     return F.pandas_udf(vectors, "array<float>")(text)
 
@@ -127,15 +133,21 @@ def _words(text: str | None) -> list[str]:
 def sparse_vector(text: Column) -> Column:
     """Token -> tf weight (count / tokens in the row) as ``map<string,float>``, within the row."""
     def vectors(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            words = _words(t)
-            out.append({w: np.float32(n / len(words)) for w, n in Counter(words).items()} or None)
-        return pd.Series(out)
+        return pd.Series([_sparse(Counter(_words(t))) for t in texts])
 
     return F.pandas_udf(vectors, "map<string,float>")(text)
 
 
+def both_vectors(text: Column, dim: int = DENSE_DIM) -> Column:
+    """E06 and E07 of one text in one pass: struct(dense, sparse)."""
+    def vectors(texts: pd.Series) -> pd.DataFrame:
+        memo: dict[str, int] = {}
+        counts = [Counter(_words(t)) for t in texts]
+        return pd.DataFrame({"dense": [_dense(c, dim, memo) for c in counts], "sparse": [_sparse(c) for c in counts]}, dtype=object)
+
+    return F.pandas_udf(vectors, "dense array<float>, sparse map<string,float>")(text)
+
+
 def token_weights(df: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:
     """E07 as rows ``(key, *carry, token, weight)``: tf weight = count / tokens in the row (float).
 
@@ -149,15 +161,18 @@ def token_weights(df: DataFrame, key: str, text: str, carry: Sequence[str] = ())
 
 
 def with_embeddings(df: DataFrame, text: str = "text") -> DataFrame:
-    """The three embedding columns filled where they are missing and have something to embed."""
-    def fill(column, source, vector):
-        missing = F.col(column).isNull() & _nonempty(F.col(source))
-        return F.coalesce(F.col(column), vector(F.when(missing, F.col(source))))
-
-    return df.withColumns({
-        "text_embedding_dense": fill("text_embedding_dense", text, dense_vector),
-        "text_embedding_sparse": fill("text_embedding_sparse", text, sparse_vector),
-        "summary_embedding_dense": fill("summary_embedding_dense", "summary", dense_vector)})
+    """The three embedding columns filled where they are missing and have something to embed.
+
+    The text's two vectors come from one pass over it.
+    """
+    dense, sparse, summary = EMBEDDING_COLUMNS
+    wanted = _nonempty(F.col(text)) & (F.col(dense).isNull() | F.col(sparse).isNull())
+    short = F.col(summary).isNull() & _nonempty(F.col("summary"))
+    rows = df.withColumns({"__both": both_vectors(F.when(wanted, F.col(text))),
+                           "__short": dense_vector(F.when(short, F.col("summary")))})
+    return rows.withColumns({dense: F.coalesce(F.col(dense), F.col("__both.dense")),
+                             sparse: F.coalesce(F.col(sparse), F.col("__both.sparse")),
+                             summary: F.coalesce(F.col(summary), F.col("__short"))}).drop("__both", "__short")
 
 
 # -------------------------------------------------------- generic runner

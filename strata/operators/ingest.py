@@ -39,6 +39,7 @@ DOCUMENT_SCHEMA = StructType([
 # Inputs whose conversion needs tools that are not part of this engine.
 MEDIA_EXTENSIONS = ("jpg", "jpeg", "png", "wav", "mp3", "m4a", "mp4")
 TEXT_EXTENSIONS = ("txt", "text", "md", "markdown", "html", "htm", "csv", "xml", "rss", "atom", "json", "jsonl")
+MARKUP_EXTENSIONS = ("html", "htm", "xml", "rss", "atom")
 PROCESSED, FAILED = "processed", "failed"
 
 
@@ -56,7 +57,8 @@ def decode_files(files: DataFrame) -> DataFrame:
     """``scan_inbox`` rows -> file_hash (of the bytes), text, error: each file is really decoded.
 
     Text, Markdown, HTML, CSV and XML need valid UTF-8, JSON (one value, or one a
-    line) must parse as well; what fails keeps its reason and a NULL text.
+    line) must parse as well; what fails keeps its reason and a NULL text.  Pages
+    and feeds are stored as Markdown.
     """
     raw, ext = F.col("content").cast("string"), extension(F.col("filename"))
     lines = F.filter(F.split(raw, "\n"), lambda x: F.trim(x) != "")
@@ -68,7 +70,8 @@ def decode_files(files: DataFrame) -> DataFrame:
              .when(broken, F.lit("JSONDecodeError('not valid json')")))
     return files.select("path", "filename", F.col("modificationTime").alias("modified_at"),
                         F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("file_hash"), error.alias("error"),
-                        F.when(error.isNull(), F.replace(raw, F.lit("\r\n"), F.lit("\n"))).alias("text"))
+                        F.when(error.isNull(), F.when(ext.isin(*MARKUP_EXTENSIONS), MD.html_to_markdown(raw)).otherwise(
+                            F.replace(raw, F.lit("\r\n"), F.lit("\n")))).alias("text"))
 
 
 def classify_files(parsed: DataFrame, known_hashes: DataFrame) -> DataFrame:

@@ -2,15 +2,14 @@
 
 Each extractor returns a struct ``(title, author, publication_date)`` column;
 :func:`metadata_chain` keeps the first non-empty value per field.  Everything
-is a native expression except the HTML converter, which is an Arrow
-``mapInPandas`` over the standard-library HTML parser.
+is a native expression, the HTML converter too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,72 +144,47 @@ def html_title(html: Column) -> Column:
     return F.trim(F.replace(t, F.lit("&amp;"), F.lit("&")))
 
 
-def _html_to_md(html: str) -> str:
-    from html.parser import HTMLParser
-
-    class Conv(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.out: list[str] = []
-            self.skip = 0
-            self.href: list[str | None] = []
-            self.line: list[str] = []
-
-        def flush(self):
-            text = " ".join("".join(self.line).split())
-            if text:
-                self.out.append(text)
-            self.line = []
-
-        def handle_starttag(self, tag, attrs):
-            if tag in ("script", "style", "head"):
-                self.skip += 1
-            elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                self.flush()
-                self.line.append("#" * int(tag[1]) + " ")
-            elif tag in ("p", "div", "article", "section", "ul", "ol", "nav", "footer", "tr"):
-                self.flush()
-            elif tag == "li":
-                self.flush()
-                self.line.append("- ")
-            elif tag == "br":
-                self.flush()
-            elif tag in ("b", "strong"):
-                self.line.append("**")
-            elif tag == "a":
-                self.href.append(dict(attrs).get("href"))
-                self.line.append("[")
-
-        def handle_endtag(self, tag):
-            if tag in ("script", "style", "head"):
-                self.skip = max(0, self.skip - 1)
-            elif tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "div", "article", "tr"):
-                self.flush()
-            elif tag in ("b", "strong"):
-                self.line.append("**")
-            elif tag == "a":
-                href = self.href.pop() if self.href else None
-                self.line.append(f"]({href})" if href else "]")
-
-        def handle_data(self, data):
-            if not self.skip:
-                self.line.append(data)
-
-    c = Conv()
-    c.feed(html or "")
-    c.close()
-    c.flush()
-    return "\n\n".join(c.out)
-
-
-def html_to_markdown(pages: DataFrame, html_col: str = "html", key: str = "page_id") -> DataFrame:
-    """HTML -> Markdown on the executors (Arrow batches); headings, links, lists kept,
-    script/style/head dropped, images removed and CRLF normalised afterwards."""
-    from strata.functions.text import clean_markdown
-
-    def conv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({key: pdf[key], "markdown": [_html_to_md(h) for h in pdf[html_col]]})
-
-    out = pages.select(key, html_col).mapInPandas(conv, f"{key} long, markdown string")
-    return out.withColumn("markdown", clean_markdown(F.col("markdown")))
+_BLOCKS = "p|div|article|section|ul|ol|nav|footer|header|main|aside|table|tbody|thead|tr|br|hr|li|blockquote|pre|body|html|form|h[1-6]"
+
+#: HTML -> Markdown, in this order: (pattern, replacement with \\1 for a group); all ignore case, a dot is any character.
+MARKDOWN_RULES = [
+    (r"<!--.*?-->", ""),
+    *[(rf"<{tag}\b[^>]*>.*?</{tag}\s*>", "") for tag in ("script", "style", "head")],
+    (r"[ \t\n\r\f]+", " "),
+    *[(rf"<h{n}\b[^>]*>", "\n\n" + "#" * n + " ") for n in range(1, 7)],
+    (r"<li\b[^>]*>", "\n\n- "),
+    (r"<img\b[^>]*>", ""),
+    (r"<a\b[^>]*?\bhref ?= ?\"([^\"]*)\"[^>]*>(.*?)</a ?>", r"[\2](\1)"),
+    (r"<a\b[^>]*?\bhref ?= ?'([^']*)'[^>]*>(.*?)</a ?>", r"[\2](\1)"),
+    (r"</?(?:b|strong)\b[^>]*>", "**"),
+    (rf"</?(?:{_BLOCKS})\b[^>]*>", "\n\n"),
+    (r"</?t[dh]\b[^>]*>", " "),
+    (r"<[a-z/!?][^>]*>", ""),
+]
+#: After the entities are decoded: blanks around line ends, and at the ends of the page.
+_TIDY = [(r"[ \n]*\n[ \n]*", "\n\n"), (r"^[ \n]+|[ \n]+$", "")]
+
+
+def html_to_markdown(html: Column) -> Column:
+    """A page as Markdown: headings, list items, links and bold text kept, one block a paragraph;
+    scripts, styles, the head, comments, images and all other tags removed, common entities decoded."""
+    out = html
+    for pattern, replacement in MARKDOWN_RULES:
+        out = F.regexp_replace(out, "(?is)" + pattern, re.sub(r"\\(\d)", r"$\1", replacement))
+    for name, letter in sorted(HTML_ENTITIES.items(), key=lambda kv: kv[0] == "&amp;"):
+        out = F.replace(out, F.lit(name), F.lit(letter))
+    for pattern, replacement in _TIDY:
+        out = F.regexp_replace(out, pattern, replacement)
+    return out
+
+
+def markdown_sql(html: str) -> str:
+    """The same rules as DuckDB SQL."""
+    out = html
+    for pattern, replacement in MARKDOWN_RULES:
+        out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{replacement}', 'gis')"
+    for name, letter in sorted(HTML_ENTITIES.items(), key=lambda kv: kv[0] == "&amp;"):
+        out = f"replace({out}, '{name}', '{letter.replace(chr(39), chr(39) * 2)}')"
+    for pattern, replacement in _TIDY:
+        out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
+    return out

@@ -4,9 +4,11 @@ missing settings take their defaults.  Scheduling itself is left to the platform
 from __future__ import annotations
 
 import copy
+import importlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import decorate as D
 from strata.operators import ingest as IG
@@ -24,7 +26,8 @@ DEFAULTS = {
     "sync": {"format": "json", "options": {}, "mode": "append", "key": None, "exclude": [],
              "partition_ts": None, "json_columns": [], "limit": None, "move": None, "id": "_id", "dry_run": False},
     "streams": {"key": "_id", "change_types": ["insert", "update_postimage", "delete"], "query_name": None},
-    "decorate": {"decorator": "summary", "key": "_id", "text": "text", "limit": None, "metrics": None},
+    "decorate": {"decorator": "summary", "key": "_id", "text": "text", "limit": None, "metrics": None,
+                 "model": None, "inputs": None, "schema": None, "batch_rows": 64},
 }
 SECTIONS = ("ingest", "sync", "streams", "decorate")
 
@@ -94,22 +97,49 @@ def _decorated(todo: DataFrame, decorator: str, text: str) -> tuple[DataFrame, l
     return D.with_embeddings(todo, text), list(D.EMBEDDING_COLUMNS)
 
 
+class DecorationFailed(RuntimeError):
+    """Rows were pending and the model succeeded on none of them."""
+
+
+def _model(spec):
+    """A function, or ``package.module:function``, that maps a batch of inputs to a batch of the decorator's columns."""
+    if callable(spec):
+        return spec
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def _modelled(todo: DataFrame, job: dict) -> tuple[DataFrame, list[str]]:
+    """The rows on which the configured model succeeded, with the columns of ``schema`` (DDL); one failing row fails alone."""
+    columns = StructType.fromDDL(job["schema"]).fieldNames()
+    res = D.run_decorator(todo, _model(job["model"]), job["key"], job["inputs"] or [job["text"]], job["schema"], job["batch_rows"])
+    return materialize(res, "decorated").where("ok"), columns
+
+
 def run_decorate(spark: SparkSession, job: dict) -> dict:
-    """Silver decoration with the default backend of the decorator; one commit per run."""
+    """Silver decoration by the configured model, or the decorator's default backend; one commit per run.
+
+    Rows on which the model fails stay pending for the next run.  If it succeeds
+    on none, nothing is committed and the run fails, its counts written first.
+    """
     silver = CL.snapshot_at(spark, job["table"], job["key"])
     todo = materialize(D.pending(silver, job["decorator"], job["key"], job["text"], job["limit"]), "pending")
     waiting = todo.count()
     if not waiting:
-        return {"job": "decorate", "version": None, "pending": 0, "succeeded": 0}
-    done, columns = _decorated(todo, job["decorator"], job["text"])
-    res = M.merge_update(todo, done.select(job["key"], *columns), job["key"], columns)
-    version = CL.commit(spark, res.changes, job["table"], operation="DECORATE")
-    written = spark.read.parquet(CL.version_path(job["table"], version))
-    ok = written.where(F.col(CL.CHANGE_TYPE) == "update_postimage").count()
+        return {"job": "decorate", "version": None, "pending": 0, "succeeded": 0, "failed": 0}
+    done, columns = _modelled(todo, job) if job["model"] else _decorated(todo, job["decorator"], job["text"])
+    written, version = Observation(), None
+    if not job["model"] or not done.isEmpty():
+        res = M.merge_update(todo, done.select(job["key"], *columns), job["key"], columns)
+        updated = F.count_if(F.col(CL.CHANGE_TYPE) == "update_postimage").alias("updated")
+        version = CL.commit(spark, res.changes.observe(written, updated), job["table"], operation="DECORATE")
+    ok = written.get["updated"] if version is not None else 0
     if job["metrics"]:
         rows = MX.decorator_metrics(spark, job["decorator"], waiting, ok, waiting - ok)
-        cdf.write_metrics(rows, version, job["metrics"])
-    return {"job": "decorate", "version": version, "pending": waiting, "succeeded": ok}
+        cdf.write_metrics(rows, version or 0, job["metrics"])
+    if not ok:
+        raise DecorationFailed(f"{job['decorator']}: none of {waiting} pending rows was decorated")
+    return {"job": "decorate", "version": version, "pending": waiting, "succeeded": ok, "failed": waiting - ok}
 
 
 RUNNERS = {"ingest": run_ingest, "sync": run_sync, "streams": run_stream_job, "decorate": run_decorate}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import merge as M
 from strata.operators.relational import change_type_filter, required_columns
-from strata.plans.fixtures import F1_FINAL_SQL, F1_SQL, F1N_EXTRA_SQL, ORDER_COLS, f1_change_log, f1n_change_log
+from strata.plans.fixtures import F1_FINAL_SQL, F1_SQL, F1N_EXTRA_SQL, ORDER_COLS, _sql_ts, f1_change_log, f1n_change_log
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sources import changelog as CL
@@ -94,11 +94,20 @@ def apply_changes_columns(spark, sf_dir):
                            columns=["o_orderkey", "o_orderstatus", "o_totalprice"]).table
 
 
-@query("collapse_changes", f"""WITH {F1_SQL}, {F1N_EXTRA_SQL}, r AS (
-  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY _commit_version DESC, {RANK_SQL} DESC) AS rn
-  FROM f1n WHERE o_orderkey IS NOT NULL AND _change_type <> 'update_preimage')
-SELECT {OC}, {META} FROM r WHERE rn = 1
-UNION ALL SELECT {OC}, {META} FROM f1n WHERE o_orderkey IS NULL""")
+# Closed form over one scan of orders: each key's last change by the definition of F1 and its extra rows.
+_LAST = "CASE WHEN o_orderkey = 2 OR o_orderkey % 5 = 4 THEN 3 WHEN o_orderkey % 7 = 0 THEN 2 WHEN o_orderkey % 10 = 1 THEN 1 ELSE 0 END"
+COLLAPSED_SQL = f"""WITH o AS (SELECT *, {_LAST} AS v, o_orderkey <> 2 AND o_orderkey % 5 <> 4 AND o_orderkey % 10 = 1 AS changed FROM orders)
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey = 2 THEN 'C' WHEN changed THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN changed THEN o_totalprice + 100 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+  CASE WHEN o_orderkey = 2 OR v = 1 THEN 'update_postimage' WHEN v = 2 THEN 'delete' ELSE 'insert' END AS _change_type,
+  CAST(v AS BIGINT) AS _commit_version, CASE v WHEN 0 THEN {_sql_ts(0)} WHEN 1 THEN {_sql_ts(1)} WHEN 2 THEN {_sql_ts(2)}
+    ELSE {_sql_ts(3)} END AS _commit_timestamp FROM o
+UNION ALL SELECT NULL, o_custkey, CASE n WHEN 1 THEN o_orderstatus ELSE 'N' END, o_totalprice, o_orderdate, o_orderpriority,
+  'insert', CAST(n AS BIGINT), CASE n WHEN 1 THEN {_sql_ts(1)} ELSE {_sql_ts(2)} END
+FROM orders, (VALUES (1), (2)) AS x(n) WHERE o_orderkey = 2"""
+
+
+@query("collapse_changes", COLLAPSED_SQL)
 def collapse_changes(spark, sf_dir):
     return M.collapse_changes(f1n_change_log(spark, sf_dir), "o_orderkey")
 

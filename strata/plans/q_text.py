@@ -222,9 +222,9 @@ def html_title_q(spark, sf_dir):
     return T(spark, sf_dir, "pages").select("page_id", MD.html_title(F.col("html")).alias("title"))
 
 
-@query("html_to_markdown")
+@query("html_to_markdown", f"SELECT page_id, {MD.markdown_sql('html')} AS markdown FROM pages")
 def html_to_markdown_q(spark, sf_dir):
-    return MD.html_to_markdown(T(spark, sf_dir, "pages"))
+    return T(spark, sf_dir, "pages").select("page_id", MD.html_to_markdown(F.col("html")).alias("markdown"))
 
 
 INBOX_NAME_SQL = """CASE c_custkey % 6 WHEN 0 THEN 'book' || CAST(c_custkey AS VARCHAR) || '.EPUB'

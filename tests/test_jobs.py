@@ -1,7 +1,9 @@
 """A configured job set runs sync -> stream -> decorate end to end."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from strata.plans import jobs as J
 from strata.plans.jobs import run_jobs, with_defaults
 from strata.sources import changelog as CL
 from strata.sources.collection import write_events_collection
@@ -60,3 +62,26 @@ def test_replay_is_seen_behind_another_writers_commit(spark, scratch):
     CL.commit(spark, df, root, batch_ref="s:1")
     CL.commit(spark, df, root, operation="DECORATE")
     assert CL.batch_seen(spark, root, "s:1") and not CL.batch_seen(spark, root, "s:2") and not CL.batch_seen(spark, root, "t:1")
+
+
+def _shout(pdf):
+    if pdf["text"].str.contains("bad").any():
+        raise ValueError("refused")
+    return pdf.assign(summary=pdf["text"].str.upper())[["summary"]]
+
+
+def test_a_model_fails_row_by_row_and_a_run_without_success_fails(spark, scratch):
+    root = scratch("model")
+    rows = [(i, f"text {i}" if i % 4 else f"bad {i}", None, "insert") for i in range(12)]
+    CL.commit(spark, spark.createDataFrame(rows, "_id long, text string, summary string, _change_type string"), f"{root}/t")
+    job = {"table": f"{root}/t", "model": _shout, "schema": "summary string", "batch_rows": 5, "metrics": f"{root}/m"}
+    done = J.run_jobs(spark, {"decorate": [job]})[0]
+    assert (done["pending"], done["succeeded"], done["failed"]) == (12, 9, 3)
+    state = {r._id: r.summary for r in CL.snapshot_at(spark, f"{root}/t", "_id").collect()}
+    assert state == {i: None if i % 4 == 0 else f"TEXT {i}" for i in range(12)}
+    versions = CL.committed_versions(spark, f"{root}/t")
+    with pytest.raises(J.DecorationFailed, match="none of 3 pending"):  # only the refused ones are left
+        J.run_jobs(spark, {"decorate": [job]})
+    assert CL.committed_versions(spark, f"{root}/t") == versions
+    counts = {(r.label, r.value) for r in spark.read.parquet(f"{root}/m").where("metric = 'decorated'").collect()}
+    assert counts == {("succeeded", 9.0), ("failed", 3.0), ("succeeded", 0.0)}

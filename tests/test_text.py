@@ -65,3 +65,15 @@ def test_sanitize_and_strip(spark):
                   X.strip_markdown(F.lit("# **Title** [x](y)  `z`")).alias("b")).first()
     assert r.a == "my_stream_é_1"
     assert r.b == "Title x z"
+
+
+def test_html_becomes_markdown(spark):
+    from strata.operators.metadata import html_to_markdown
+
+    page = """<html><HEAD><title>T</title><script>x < 1</script></HEAD><body><!-- <p>no</p> --><h1 class="a">One
+      <b>two</b></h1><p>See <a class='q' href="b.html#1">the <i>page</i></a> &amp; more&nbsp;<img src="x.png" alt="y"> here.<br/>New line</p>
+      <ul><li>first</li><li>second &lt;tag&gt;</li></ul><style>p {}</style><table><tr><td>a</td><td>b</td></tr></table></body></html>"""
+    rows = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "plain, 1 < 2 and 3 > 2")], "i long, html string")
+    got = {r.i: r.m for r in rows.select("i", html_to_markdown(F.col("html")).alias("m")).collect()}
+    assert got[1] == ("# One **two**\n\nSee [the page](b.html#1) & more  here.\n\nNew line\n\n- first\n\n- second <tag>\n\na  b")
+    assert got[2] is None and got[3] == "" and got[4] == "plain, 1 < 2 and 3 > 2"
