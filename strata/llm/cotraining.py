@@ -44,6 +44,7 @@ CONFIDENT = 0.95
 FOLDS = 10            # fold 0 of the labelled documents calibrates, the others train
 KEEP = 0.5            # quality score from which a document is kept
 STRONGEST = 15        # features of a document that score it: those with the largest weights
+LABELS = 200_000      # labelled documents used at most: their table is sent to the tasks
 BINS = 200            # score bins of the calibration
 BIN_WIDTH = 0.02
 VIEWS = (("text", TEXT_BITS), ("meta", META_BITS))
@@ -231,12 +232,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, con
                    label: str = "quality") -> DataFrame:
     """Per row: doc_id, text_score, meta_score, quality_score (probabilities of good quality).
 
+    At most ``LABELS`` labels (by a hash of the id) are used; further ones count as unknown.
     ``hold_out``: a fold (1 to FOLDS - 1) of the labels that is not used, for measuring.
     """
     spark = docs.sparkSession
     truth = labels.filter(f"doc_id is not null and {label} is not null").groupBy(F.col("doc_id").cast("long").alias("of")) \
         .agg((F.avg(label) >= 0.5).cast("int").alias("label"))
-    rows = _features(docs, source, lang).join(truth, F.col("doc_id") == F.col("of"), "left").drop("of")
+    truth = truth.orderBy(F.xxhash64("of"), "of").limit(LABELS)
+    rows = _features(docs, source, lang).join(F.broadcast(truth), F.col("doc_id") == F.col("of"), "left").drop("of")  # <= LABELS rows
     rows = rows.withColumn("fold", F.when(F.col("label").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")))
     rows = materialize(rows, "views")
     unused = F.col("fold") == 0 if hold_out is None else F.col("fold").isin(0, hold_out)
