@@ -10,6 +10,8 @@
 3. Spark scores the graph in rounds, per kind: a pattern is as good as the share
    of its instances that are believed (seeds fully, others at their score), and
    an instance that is no seed is believed by the noisy-or of its patterns.
+   What confident patterns find are seeds of the next of ``STEPS`` scorings, so
+   patterns beside which no base entity stands can become confident too.
 4. Patterns of at least ``MIN_SEEDS`` distinct seeds and a score of
    ``MIN_SCORE`` extract: candidates in their places become further spans if they
    have the kind's make-up and do not overlap a base span.
@@ -33,6 +35,7 @@ from strata.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
+STEPS = 3            # scorings; between them what was found becomes a seed
 MIN_SEEDS = 3        # distinct seed entities that a pattern must have
 MIN_SCORE = 0.8      # score from which a pattern extracts
 SMOOTHING = 0.5      # disbelief that each pattern starts with, in instances
@@ -257,13 +260,39 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return patterns
 
 
+def bootstrap(edges: DataFrame, rounds: int = ROUNDS, steps: int = STEPS, min_seeds: int = MIN_SEEDS,
+              min_score: float = MIN_SCORE) -> DataFrame:
+    """(pattern, instance, kind, bits) edges -> the confident patterns: pattern, k, seeds, n, score.
+
+    What the confident patterns of a step find (candidates whose ``bits`` allow the
+    kind) are seeds of the next step, where patterns that no base entity has can
+    become confident; it ends when nothing new is found.
+    """
+    edges = materialize(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.bit_or("bits").alias("bits")), "pii-graph")
+    for step in range(steps):
+        scored = score_patterns(edges.select("pattern", "instance", "kind"), rounds)
+        good = materialize(scored.filter((F.col("seeds") >= min_seeds) & (F.col("score") >= min_score)), "pii-confident")
+        if step == steps - 1:
+            break
+        known = good.select(F.col("pattern").alias("p"), F.col("k"), "score")
+        reached = edges.filter("kind is null").join(known, F.col("pattern") == F.col("p")).filter(F.expr("shiftright(bits, k) & 1 = 1"))
+        found = reached.groupBy(F.col("instance").alias("i")).agg((-F.max(F.struct("score", (-F.col("k")).alias("k")))["k"]).alias("found"))
+        found = materialize(found, "pii-found")
+        if not found.take(1):
+            break
+        edges = materialize(edges.join(found, F.col("instance") == F.col("i"), "left").select(
+            "pattern", "instance", F.coalesce("kind", "found").alias("kind"), "bits"), "pii-graph")
+    return good
+
+
 def personal_data(docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
-                  min_score: float = MIN_SCORE) -> DataFrame:
+                  min_score: float = MIN_SCORE, steps: int = STEPS) -> DataFrame:
     """Per row: doc_id, base (spans), added (spans the patterns discovered)."""
     rows = materialize(_scan(docs), "pii-rows")
     places = rows.select("row", F.explode("places").alias("x")).select("row", "x.*")
-    edges = places.select(F.explode("patterns").alias("pattern"), "instance", F.when(F.col("kind") >= 0, F.col("kind")).alias("kind"))
-    good = score_patterns(edges, rounds).filter((F.col("seeds") >= min_seeds) & (F.col("score") >= min_score))
+    edges = places.select(F.explode("patterns").alias("pattern"), "instance", F.when(F.col("kind") >= 0, F.col("kind")).alias("kind"),
+                          F.when(F.col("kind") < 0, -F.col("kind")).otherwise(0).alias("bits"))
+    good = bootstrap(edges, rounds, steps, min_seeds, min_score)
     good = good.select(F.col("pattern").alias("p"), F.col("k"), "score")
     open_places = places.filter("kind < 0").select("row", "start", "end", (-F.col("kind")).alias("bits"), F.explode("patterns").alias("pattern"))
     hits = open_places.join(good, F.col("pattern") == F.col("p")).filter(F.expr("shiftright(bits, k) & 1 = 1"))
@@ -274,7 +303,7 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SE
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """doc_id, base counts per kind, base_sha256, spans, n_added."""
+    """doc_id, base counts per kind, base_sha256, spans, n_added, n_spans (base and added)."""
     names = F.array(*[F.lit(k) for k in KINDS])
 
     def written(spans):
@@ -286,4 +315,5 @@ def digests(found: DataFrame) -> DataFrame:
 
     counts = [of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"),
-                        written(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+                        written(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                        (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

@@ -190,9 +190,14 @@ def leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
             .select("doc_id", "item_id", "b.item_words", "b.covered_words", "b.n_tiles", "b.longest_tile"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` (all columns) that no benchmark item contaminates."""
-    bad = materialize(contaminated(docs, items, **options).select(
-        F.col("doc_id").alias("bad_doc_"), F.col("text_hash").alias("bad_text_")).distinct(), "contaminated")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("bad_doc_")) & (F.xxhash64(docs["text"]) == F.col("bad_text_"))
-    return docs.join(bad, same, "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) that no benchmark item of ``min_match`` words or more contaminates.
+
+    Shorter items are reported by ``leaks``, but a word or two that anyone may write remove no document.
+    """
+    found = contaminated(docs, items, min_match, **options).filter(F.col("item_words") >= min_match)
+    bad = materialize(found.select("doc_id", "text_hash").distinct(), "contaminated")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one struct, so its columns may have any names
+    rows = docs.select(row.alias("row"), F.xxhash64("text").alias("hash"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(bad["doc_id"]) & (F.col("hash") == bad["text_hash"])
+    return rows.join(bad, same, "left_anti").select("row.*")

@@ -130,6 +130,27 @@ def test_patterns_discover_identifiers_with_spaces(spark):
         assert found[2000 + i].n_added == 0
 
 
+def test_what_is_found_finds_more(spark):
+    """Base addresses stand by one context only; masked ones there are seeds of a second, and that of a third."""
+    r = random.Random(11)
+
+    def masked(name):
+        return f"{name}[at]hidden.org"
+
+    shared, lone = [masked(f"u{i}x") for i in range(6)], [masked(f"v{i}y") for i in range(6)]
+    last = [masked(f"w{i}z") for i in range(6)]
+    texts = [f"mailbox {x} please" for x in [f"a{i}@open.org" for i in range(30)] + shared]
+    texts += [f"reachable {x} daily" for x in shared + lone] + [f"scribe {x} often" for x in lone + last]
+    texts += [f"version b{i}r4[at]9 shipped" for i in range(20)]  # look alike, but no context is believed
+    r.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    added = {k: {texts[x.doc_id].split()[1] for x in pii_bootstrap.digests(pii_bootstrap.personal_data(docs, steps=k)).collect()
+                 if x.n_added} for k in (1, 2, 3)}
+    assert added[1] == set(shared)
+    assert added[2] == {*shared, *lone}
+    assert added[3] == {*shared, *lone, *last}
+
+
 def test_candidates_with_spaces():
     def said(text):
         return [text[s:e] for s, e, _ in pii_bootstrap.candidates(text, pii_bootstrap.base_spans(text))]
@@ -338,5 +359,5 @@ def test_reordered_passages_and_hostile_rows(spark):
     found = {(r.doc_id, r.item_id) for r in string_tiling.leaks(docs, items).collect()}
     assert found == {(500, 1), (500, None), (3, 4), (4, 4), (5, 4), (6, 4)}
     left = string_tiling.drop_contaminated(docs, items)
-    assert left.columns == docs.columns and left.count() == docs.count() - 5
+    assert left.columns == docs.columns and left.count() == docs.count() - 1  # an item of one word drops nothing
     assert string_tiling.leaks(empty(spark), items).collect() == [] == string_tiling.leaks(docs, items.limit(0)).collect()
