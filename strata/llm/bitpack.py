@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strata.llm import words
 from strata.llm.encoder import encoder
 
 BLOCK_IDS = 1 << 16  # a block is closed once it holds so many ids
@@ -68,6 +69,7 @@ def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Encode ``docs`` (doc_id, text and the columns ``order``) and write block files in ascending ``order``."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.forget()  # what an earlier stage's tasks left in this worker
         enc = encoder(tokenizer_path)
         width = bit_width(max(enc.size, end_id + 1))
         shard = TaskContext.get().partitionId()
@@ -81,17 +83,20 @@ def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                     shard, block, start, at, width, pack(np.concatenate(held), width), ids, offsets, lengths),
                     strict=True)], schema=BLOCK_FIELDS)
 
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)))
-                ids.append(key)
-                at += len(held[-1])
-                if at >= block_ids:
-                    yield close()
-                    start, block = start + at, block + 1
-                    held, ids, at = [], [], 0
-        if held:
-            yield close()
+        try:
+            for batch in batches:
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    held.append(np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)))
+                    ids.append(key)
+                    at += len(held[-1])
+                    if at >= block_ids:
+                        yield close()
+                        start, block = start + at, block + 1
+                        held, ids, at = [], [], 0
+            if held:
+                yield close()
+        finally:
+            enc.forget()
 
     keys = [f"packing_order_{i}" for i in range(len(order))]
     rows = docs.select("doc_id", "text", *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)])

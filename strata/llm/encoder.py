@@ -20,8 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 
-PIECES = 300_000      # pieces and pre-tokens remembered per worker; a memo is emptied beyond its limit
-PRETOKENS = 800_000
+PIECES = 150_000      # pieces and pre-tokens remembered per task; a memo is emptied beyond its limit
+PRETOKENS = 250_000
 _SPACE_PAIR = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -68,6 +68,11 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.pretokens = _Pretokens(self.tokenizer.model)
 
+    def forget(self) -> None:
+        """Empty the memos (at the end of a task: workers outlive them)."""
+        self.pieces.clear()
+        self.pretokens.clear()
+
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 

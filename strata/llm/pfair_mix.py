@@ -32,7 +32,6 @@ from pyspark.sql.window import Window
 from strata.session import materialize
 
 BLOCK_ROWS = 32
-PERIOD = 1000
 CHUNK = 200_000        # slots whose blocks are scheduled together
 TEMPERATURE = 0.5      # default target weight of a source: its row count to this power
 ROWS_PER_BUCKET = 20_000
@@ -79,96 +78,41 @@ def exact_slots(blocks: np.ndarray, weights: np.ndarray, chunk: int = CHUNK) ->
     return slots
 
 
-def integer_weights(weights: Mapping, period: int = PERIOD) -> dict:
-    """Positive weights as integers that add up to about ``period``, by largest remainders, 1 at least."""
-    total = sum(weights.values())
-    exact = {s: w * period / total for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    left = period - sum(out.values())
-    for s in sorted(exact, key=lambda s: (-(exact[s] - int(exact[s])), str(s)))[:max(0, left)]:
-        out[s] += 1
+def _free_names(columns: list[str], names: list[str]) -> list[str]:
+    """``names``, with underscores behind those that a table has already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
     return out
 
 
-def pfair_period(weights: Mapping) -> dict:
-    """Per source the slots of its blocks in one period, earliest deadline first among those released."""
-    total = sum(weights.values())
-    releases: list[list] = [[] for _ in range(total)]
-    for s, a in weights.items():
-        for i in range(a):
-            releases[i * total // a].append((-(-(i + 1) * total // a), str(s), s, i))
-    ready: list = []
-    slots = {s: np.zeros(a, dtype=np.int64) for s, a in weights.items()}
-    for t in range(total):
-        for entry in releases[t]:
-            heapq.heappush(ready, entry)
-        _, _, s, i = heapq.heappop(ready)
-        slots[s][i] = t
-    return slots
-
-
-def schedule(blocks: Mapping, weights: Mapping) -> dict:
-    """Integer weights, begun anew when a source runs out (``mixed`` follows ``exact_slots``).
-
-    Per source its phases: (first block, first slot of the phase, weight, period, slots in the period).
-    """
-    done = dict.fromkeys(blocks, 0)
-    alive = {s for s, n in blocks.items() if n > 0}
-    phases: dict = {s: [] for s in blocks}
-    base = 0
-    while alive:
-        part = {s: weights[s] for s in alive}
-        total, slots = sum(part.values()), pfair_period(part)
-        end = min((blocks[s] - done[s] - 1) // a * total + int(slots[s][(blocks[s] - done[s] - 1) % a]) + 1
-                  for s, a in part.items())
-        for s, a in part.items():
-            phases[s].append((done[s], base, a, total, slots[s]))
-            done[s] += end // total * a + int(np.searchsorted(slots[s], end % total))
-        base += end
-        alive = {s for s in alive if done[s] < blocks[s]}
-    return phases
-
-
-def slot_of(phases: list, block: np.ndarray) -> np.ndarray:
-    """Slots of a source's blocks."""
-    first = np.array([p[0] for p in phases])
-    which = np.searchsorted(first, block, side="right") - 1
-    out = np.empty(len(block), dtype=np.int64)
-    for k, (start, base, a, total, slots) in enumerate(phases):
-        at = which == k
-        i = block[at] - start
-        out[at] = base + i // a * total + slots[i % a]
-    return out
-
-
-def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = None,
-          block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``docs`` with mix_block (number in its source), mix_slot and mix_position (0, 1, ... over all rows)."""
-    key = F.col(source).cast("string")
-    counts = {r[0]: r[1] for r in docs.groupBy(key).count().collect()}
-    given = weights or {}
-    names = sorted(counts, key=lambda s: (s is not None, s or ""))
-    number = {s: k for k, s in enumerate(names)}
-    rows_of = np.array([counts[s] for s in names], dtype=np.int64)
+def _placed(docs: DataFrame, source: str, weights: Mapping | None, block_rows: int) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, a struct of block, slot and position, and that column's name."""
+    origin, bucket, s, b, start, number, placed = _free_names(
+        docs.columns, ["mix_source", "mix_bucket", "mix_s", "mix_b", "mix_start", "mix_number", "mix_place"])
+    given = docs.withColumn(origin, F.col(f"`{source}`").cast("string"))
+    counts = {r[0]: r[1] for r in given.groupBy(origin).count().collect()}
+    names = sorted(counts, key=lambda name: (name is not None, name or ""))
+    place_of = {name: k for k, name in enumerate(names)}
+    rows_of = np.array([counts[name] for name in names], dtype=np.int64)
     blocks = -(-rows_of // block_rows)
-    target = np.array([float(given.get(s, counts[s] ** TEMPERATURE)) for s in names])
+    target = np.array([float((weights or {}).get(name, counts[name] ** TEMPERATURE)) for name in names])
     slots = exact_slots(blocks, target) if names else np.empty(0, dtype=np.int64)
     last = slots[np.cumsum(blocks) - 1]
     by = np.argsort(last)
     missing = np.concatenate([[0], np.cumsum((blocks * block_rows - rows_of)[by])]).astype(np.int64)
-    plan = docs.sparkSession.sparkContext.broadcast((number, np.cumsum(blocks) - blocks, slots, last[by], missing))
+    plan = docs.sparkSession.sparkContext.broadcast((place_of, np.cumsum(blocks) - blocks, slots, last[by], missing))
 
     buckets = max(1, sum(counts.values()) // ROWS_PER_BUCKET)
-    rows = docs.withColumn("mix_source_", key).withColumn(
-        "mix_bucket_", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
-    sizes = materialize(rows.groupBy("mix_source_", "mix_bucket_").count(), "mix-sizes")
-    before = Window.partitionBy("mix_source_").orderBy("mix_bucket_")  # as many rows as buckets
-    starts = sizes.select(F.col("mix_source_").alias("mix_s_"), F.col("mix_bucket_").alias("mix_b_"),
-                          (F.sum("count").over(before) - F.col("count")).alias("mix_start_"))
-    inside = Window.partitionBy("mix_source_", "mix_bucket_").orderBy("doc_id", F.xxhash64("text"))
-    ranked = rows.withColumn("mix_row_", F.row_number().over(inside) - 1)
-    same = F.col("mix_source_").eqNullSafe(F.col("mix_s_")) & (F.col("mix_bucket_") == F.col("mix_b_"))
-    ranked = ranked.join(starts, same).withColumn("mix_rank_", F.col("mix_start_") + F.col("mix_row_"))
+    rows = given.withColumn(bucket, F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
+    sizes = materialize(rows.groupBy(origin, bucket).agg(F.count(F.lit(1)).alias("rows")), "mix-sizes")
+    before = Window.partitionBy(origin).orderBy(bucket)  # as many rows as buckets
+    starts = sizes.select(F.col(origin).alias(s), F.col(bucket).alias(b), (F.sum("rows").over(before) - F.col("rows")).alias(start))
+    inside = Window.partitionBy(origin, bucket).orderBy("doc_id", F.xxhash64("text"))
+    ranked = rows.withColumn(number, F.row_number().over(inside) - 1)
+    ranked = ranked.join(starts, F.col(origin).eqNullSafe(F.col(s)) & (F.col(bucket) == F.col(b)))
 
     def place(ranks: pd.Series, names: pd.Series) -> pd.DataFrame:
         known, first, slots, short_at, gaps = plan.value
@@ -179,14 +123,26 @@ def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = Non
         position = slot * block_rows + value % block_rows - gaps[np.searchsorted(short_at, slot)]
         return pd.DataFrame({"block": value // block_rows, "slot": slot, "position": position})
 
-    placed = F.pandas_udf(place, "block long, slot long, position long")
-    return (ranked.withColumn("mix_", placed("mix_rank_", "mix_source_"))
-            .select(*[docs[c] for c in docs.columns], F.col("mix_.block").alias("mix_block"),
-                    F.col("mix_.slot").alias("mix_slot"), F.col("mix_.position").alias("mix_position")))
+    places = F.pandas_udf(place, "block long, slot long, position long")
+    ranked = ranked.withColumn(placed, places(F.col(start) + F.col(number), F.col(origin)))
+    return ranked.select(*[F.col(f"`{c}`") for c in docs.columns], placed), placed
+
+
+def mixed(docs: DataFrame, source: str = "source", weights: Mapping | None = None,
+          block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``docs`` with mix_block (number in its source), mix_slot and mix_position (0, 1, ... over all rows).
+
+    Columns of these names that the input has already are replaced.
+    """
+    new = {"mix_block": "block", "mix_slot": "slot", "mix_position": "position"}
+    rows, place = _placed(docs, source, weights, block_rows)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new],
+                       *[F.col(place)[field].alias(name) for name, field in new.items()])
 
 
-def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+def in_mixed_order(docs: DataFrame, source: str = "source", weights: Mapping | None = None,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The rows of ``docs`` (its columns only), in files and rows by mixed position."""
-    rows = mixed(docs, **options)
-    return (rows.repartitionByRange("mix_position").sortWithinPartitions("mix_position")
-            .drop("mix_block", "mix_slot", "mix_position"))
+    rows, place = _placed(docs, source, weights, block_rows)
+    position = F.col(place)["position"]
+    return rows.repartitionByRange(position).sortWithinPartitions(position).drop(place)

@@ -120,8 +120,9 @@ def judge_documents(docs: DataFrame, host: str = "source", max_rate: float = MAX
 
 def filter_documents(docs: DataFrame, host: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
     """The rows of ``docs`` (all columns) that the document rules and their host's verdict keep."""
-    m = measures(F.col("text"))
-    verdicts = host_verdicts(docs.select(F.col(host).alias("host"), m.alias("m")), max_rate)
-    bad = verdicts.filter("rejected").select(F.col("host").alias("rejected_host_"))
-    good = docs.join(bad, docs[host] == F.col("rejected_host_"), "left_anti")
-    return good.withColumn("measures_", m).filter(~base_failed(F.col("measures_"))).drop("measures_")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one struct, so its columns may have any names
+    rows = docs.select(row.alias("row"), F.col(host).alias("host"), measures(F.col("text")).alias("m"))
+    rows = materialize(rows, "measured")  # the texts are measured once
+    bad = host_verdicts(rows, max_rate).filter("rejected").select(F.col("host").alias("bad_host"))
+    good = rows.filter(~base_failed(F.col("m"))).join(bad, F.col("host") == F.col("bad_host"), "left_anti")
+    return good.select("row.*")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
 
-MEMO_LIMIT = 500_000  # words remembered per Python worker; the memo is emptied beyond it
+MEMO_LIMIT = 200_000  # words remembered per Python worker (some 25 MB); the memo is emptied beyond it
 ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -35,6 +35,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter([memo[w] for w in words], dtype=np.uint64, count=len(words))
 
 
+def forget() -> None:
+    """Empty the memo: for a task that needs the memory for something else."""
+    _MEMO.clear()
+
+
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """One hash per window of ``n`` consecutive words (none if there are fewer)."""
     m = len(hashes) - n + 1

@@ -83,29 +83,28 @@ def test_plan_is_native(spark):
 
 # --- mixing
 
-@pytest.mark.parametrize("seed", range(8))
-def test_schedule_deviates_by_less_than_a_block(seed):
-    r = random.Random(seed)
-    weights = pfair_mix.integer_weights({f"s{i}": r.random() + 0.01 for i in range(r.randrange(1, 9))}, 97)
-    blocks = {s: r.randrange(0, 300) for s in weights}
-    phases = pfair_mix.schedule(blocks, weights)
-    order = {}
-    for s, n in blocks.items():
-        for k, slot in enumerate(pfair_mix.slot_of(phases[s], np.arange(n)).tolist() if n else []):
-            assert slot not in order
-            order[slot] = (s, k)
-    assert sorted(order) == list(range(sum(blocks.values())))
-    done, alive, since, begin = dict.fromkeys(blocks, 0), {s for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
-    for t in range(len(order)):
-        s, k = order[t]
-        assert k == done[s]  # blocks of a source go out in order
-        done[s] += 1
-        total = sum(weights[x] for x in alive)
-        for x in alive:
-            assert abs((done[x] - since[x]) - (t + 1 - begin) * weights[x] / total) < 1
-        if any(done[x] == blocks[x] for x in alive):  # a source has run out: the rest begin anew
-            alive = {x for x in alive if done[x] < blocks[x]}
-            since, begin = dict(done), t + 1
+def test_a_mixed_table_can_be_mixed_again(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", f"s{i % 3}", "x", "y") for i in range(200)],
+                                 "doc_id long, text string, source string, mix_place string, mix_source string")
+    once = pfair_mix.mixed(docs, block_rows=4)
+    again = pfair_mix.mixed(once, block_rows=4)
+    assert again.columns == once.columns == [*docs.columns, "mix_block", "mix_slot", "mix_position"]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, once.collect()))
+    order = pfair_mix.in_mixed_order(once, block_rows=4)
+    assert order.columns == once.columns and order.where("mix_place = 'x' AND mix_source = 'y'").count() == 200
+
+
+def test_clashing_columns_pass_the_filters(spark):
+    from strata.llm import quality_rules, string_tiling
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30)), "s", 1, 2, 3) for i in range(8)],
+                                 "doc_id long, text string, source string, measures_ int, row int, hash int")
+    assert quality_rules.filter_documents(docs).columns == docs.columns and quality_rules.filter_documents(docs).count() == 8
+    items = spark.createDataFrame([(1, "w1x1"), (2, " ".join(f"w2x{j}" for j in range(30)))], "item_id long, text string")
+    kept = string_tiling.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7]  # the one-word item drops nothing
+    assert {(r.doc_id, r.item_id) for r in string_tiling.leaks(docs, items).collect()} == {(1, 1), (2, 2)}
 
 
 @pytest.mark.parametrize("make", [hostile, empty])

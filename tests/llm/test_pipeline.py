@@ -56,6 +56,22 @@ def test_stages_on_hostile_rows(spark):
     check(spark, materialize(empty(spark), "t-empty"))
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    from strata.llm import prefix_trie_join
+
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "y"), (3, b + " end", "z"), (4, "short text", "w"), (4, None, "w"), (None, a, "n"),
+            (5, "alone " + a, "row"), (6, "same words", "p"), (6, "same words", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = prefix_trie_join.one_of_each_group(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect() if r.doc_id is not None), key=repr)
+    assert [(d, t) for d, t in kept if d == 1] == [(1, a), (1, b)]  # each the least id of its component
+    assert [d for d, _ in kept if d in (2, 3, 5)] == []
+    assert [d for d, _ in kept if d == 4] == [4, 4] and [d for d, _ in kept if d == 6] == [6]
+    assert got.where("doc_id IS NULL").count() == 1
+
+
 def test_entry_imports_without_the_subpackage():
     code = ("import sys; sys.modules['strata.llm'] = None\n"
             "class Gone:\n"
