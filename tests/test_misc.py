@@ -63,7 +63,8 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", ["apply_changes", "upsert_by_hash", "dense_topk", "sparse_dot", "metric_mapping",
-                                  "counter_increase", "ingest_outcome", "bronze_to_silver"])
+                                  "counter_increase", "ingest_outcome", "bronze_to_silver", "entity_pairs", "sparse_dot_batch",
+                                  "dense_query_topk", "duration_p95_exact", "counter_increase_sliding", "html_to_markdown"])
 def test_no_cartesian_or_row_udf(spark, name):
     load_all()
     plan = _plan(QUERIES[name](spark, SMALL))
