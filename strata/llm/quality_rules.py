@@ -120,9 +120,13 @@ def judge_documents(docs: DataFrame, host: str = "source", max_rate: float = MAX
 
 def filter_documents(docs: DataFrame, host: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
     """The rows of ``docs`` (all columns) that the document rules and their host's verdict keep."""
+    rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.col(host).alias("host"), measures(F.col("text")).alias("m"))
+    rows = materialize(rows, "measures")  # a few numbers per document: the texts are measured once
+    bad_host = host_verdicts(rows, max_rate).filter("rejected").select(F.col("host").alias("bad_host"))
+    bad_text = rows.filter(base_failed(F.col("m"))).select(F.col("doc_id").alias("bad_doc"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad_text = materialize(bad_text, "failed-texts")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one struct, so its columns may have any names
-    rows = docs.select(row.alias("row"), F.col(host).alias("host"), measures(F.col("text")).alias("m"))
-    rows = materialize(rows, "measured")  # the texts are measured once
-    bad = host_verdicts(rows, max_rate).filter("rejected").select(F.col("host").alias("bad_host"))
-    good = rows.filter(~base_failed(F.col("m"))).join(bad, F.col("host") == F.col("bad_host"), "left_anti")
-    return good.select("row.*")
+    given = docs.select(row.alias("row"), F.xxhash64("text").alias("hash"))
+    good = given.join(bad_host, F.col(f"row.`{host}`") == F.col("bad_host"), "left_anti")
+    failed = F.col("row.doc_id").eqNullSafe(F.col("bad_doc")) & (F.col("hash") == F.col("bad_hash"))
+    return good.join(bad_text, failed, "left_anti").select("row.*")
