@@ -64,17 +64,16 @@ def test_replay_is_seen_behind_another_writers_commit(spark, scratch):
     assert CL.batch_seen(spark, root, "s:1") and not CL.batch_seen(spark, root, "s:2") and not CL.batch_seen(spark, root, "t:1")
 
 
-def _shout(pdf):
-    if pdf["text"].str.contains("bad").any():
-        raise ValueError("refused")
-    return pdf.assign(summary=pdf["text"].str.upper())[["summary"]]
-
-
 def test_a_model_fails_row_by_row_and_a_run_without_success_fails(spark, scratch):
+    def shout(pdf):
+        if pdf["text"].str.contains("bad").any():
+            raise ValueError("refused")
+        return pdf.assign(summary=pdf["text"].str.upper())[["summary"]]
+
     root = scratch("model")
     rows = [(i, f"text {i}" if i % 4 else f"bad {i}", None, "insert") for i in range(12)]
     CL.commit(spark, spark.createDataFrame(rows, "_id long, text string, summary string, _change_type string"), f"{root}/t")
-    job = {"table": f"{root}/t", "model": _shout, "schema": "summary string", "batch_rows": 5, "metrics": f"{root}/m"}
+    job = {"table": f"{root}/t", "model": shout, "schema": "summary string", "batch_rows": 5, "metrics": f"{root}/m"}
     done = J.run_jobs(spark, {"decorate": [job]})[0]
     assert (done["pending"], done["succeeded"], done["failed"]) == (12, 9, 3)
     state = {r._id: r.summary for r in CL.snapshot_at(spark, f"{root}/t", "_id").collect()}
