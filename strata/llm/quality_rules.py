@@ -30,6 +30,8 @@ MAX_RATE = 0.5          # shrunk share of failing documents from which a host is
 PRIOR_STRENGTH = (2.0, 1000.0)  # bounds of the prior's weight in documents
 RULES = ("short", "repetitive", "symbols", "duplicate_lines", "word_length")
 
+BROADCAST_ROWS = 500_000  # failed documents (16 bytes each) that are sent to the tasks at most
+
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
@@ -125,6 +127,8 @@ def filter_documents(docs: DataFrame, host: str = "source", max_rate: float = MA
     bad_host = host_verdicts(rows, max_rate).filter("rejected").select(F.col("host").alias("bad_host"))
     bad_text = rows.filter(base_failed(F.col("m"))).select(F.col("doc_id").alias("bad_doc"), F.col("text_hash").alias("bad_hash")).distinct()
     bad_text = materialize(bad_text, "failed-texts")
+    if bad_text.count() <= BROADCAST_ROWS:
+        bad_text = F.broadcast(bad_text)  # two numbers a row; more are joined by a shuffle
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one struct, so its columns may have any names
     given = docs.select(row.alias("row"), F.xxhash64("text").alias("hash"))
     good = given.join(bad_host, F.col(f"row.`{host}`") == F.col("bad_host"), "left_anti")
