@@ -62,7 +62,8 @@ def dense_topk(vectors: DataFrame, key: str, group: str, vec: str, k: int = 5) -
 
 
 def _token_rows(df: DataFrame, key: str, weights: str, alias: str, w: str) -> DataFrame:
-    """Rows (key, t, weight) of stored sparse vectors or of (id, token, weight) rows."""
+    """Rows (key, t, weight) of stored sparse vectors or of (id, token, weight) rows; those without a key are left out."""
+    df = df.where(F.col(key).isNotNull())
     if weights in df.columns:
         return df.select(F.col(key).alias(alias), F.explode(weights).alias("t", w)).withColumn(w, F.col(w).cast("double"))
     return df.select(F.col(key).alias(alias), F.col("token").alias("t"), F.col("weight").cast("double").alias(w))

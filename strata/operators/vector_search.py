@@ -12,7 +12,8 @@ never what is found.
 A cluster is searched in shards of some thousand vectors, each of which returns
 its own k best per query, so that no cluster has to fit into one task and only
 k rows per query and shard are shuffled.  Cosine works on vectors scaled to
-length one; null vectors and those of length zero have no cosine and are left out.
+length one; null vectors and those of length zero have no cosine and are left out,
+as are rows without a key.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ def _unit(x: np.ndarray, scale: bool) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True) if scale else x
 
 
-def _usable(df: DataFrame, vec: str, scale: bool) -> DataFrame:
-    some = F.col(vec).isNotNull()
+def _usable(df: DataFrame, key: str, vec: str, scale: bool) -> DataFrame:
+    some = F.col(key).isNotNull() & F.col(vec).isNotNull()
     return df.where(some & F.exists(vec, lambda v: v != 0)) if scale else df.where(some)
 
 
@@ -153,8 +154,8 @@ def search_clusters(queries: DataFrame, q_key: str, vectors: DataFrame, d_key: s
     scale = measure == "cosine"
     if measure not in ("cosine", "dot"):
         raise ValueError(f"measure must be cosine or dot, not {measure}")
-    asked = materialize(_usable(queries, vec, scale).select(F.col(q_key).alias("q"), F.col(vec).alias("v")), "asked")
-    given = _usable(vectors, vec, scale)
+    asked = materialize(_usable(queries, q_key, vec, scale).select(F.col(q_key).alias("q"), F.col(vec).alias("v")), "asked")
+    given = _usable(vectors, d_key, vec, scale)
     centroids = fit_centroids(given, d_key, vec, scale)
     if not len(centroids):
         kinds = f"q {asked.schema['q'].dataType.simpleString()}, d {given.schema[d_key].dataType.simpleString()}, score double"
