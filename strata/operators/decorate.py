@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,6 +161,31 @@ def token_weights(df: DataFrame, key: str, text: str, carry: Sequence[str] = ())
     return counts.select(key, *carry, "token", (F.col("__n") / F.col("__total")).cast("float").alias("weight"))
 
 
+def token_rows(df: DataFrame, key: str, text: str, slice_bytes: int = 2 << 20) -> DataFrame:
+    """E07 as rows ``(key, token, weight)`` made within the row, without a shuffle: batches are cut by the bytes of
+    their texts, and a slice's rows leave as flat columns."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            texts = batch.column(1).to_pylist()
+            ends = np.cumsum([len(t or "") for t in texts]) // slice_bytes
+            for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
+                places, names, weights = [], [], []
+                for i in part.tolist():
+                    counts = Counter(_words(texts[i]))
+                    total = sum(counts.values())
+                    places.append(np.full(len(counts), i))
+                    names += counts
+                    weights.append(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) / max(total, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.concatenate(places))), pa.array(names, pa.string()),
+                     pa.array(np.concatenate(weights).astype(np.float32))], names=[key, "token", "weight"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.where(F.col(text).isNotNull()).select(key, text).mapInArrow(rows, f"{key} {kind}, token string, weight float")
+
+
 def with_embeddings(df: DataFrame, text: str = "text") -> DataFrame:
     """The three embedding columns filled where they are missing and have something to embed.
 

@@ -194,10 +194,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
 def sparse_dot_batch(spark, sf_dir):
     # E11 with given queries: every benchmark item is a query against all documents, top 10 each.
-    # The vectors are made within the row; of the documents' only the tokens that a query has are shuffled.
-    weights = D.sparse_vector(F.col("text")).alias("weights")
-    q = read_table(spark, sf_dir, "benchmark").select("item_id", weights)
-    d = read_table(spark, sf_dir, "documents").select("doc_id", weights)
+    # The weights are made within the row; of the documents' only the tokens that a query has are kept.
+    q = D.token_rows(read_table(spark, sf_dir, "benchmark"), "item_id", "text")
+    d = D.token_rows(read_table(spark, sf_dir, "documents"), "doc_id", "text")
     return SIM.sparse_dot_topk(q, "item_id", d, "doc_id", k=10)
 
 

@@ -77,3 +77,10 @@ def test_scan_prunes_and_pushes(spark):
     plan = _plan(QUERIES["scan_path"](spark, SMALL))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_token_rows_within_the_row(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (None, "C c d"), (5, "!!")], "k long, t string").repartition(8)
+    got = sorted(((r.k, r.token, round(r.weight, 4)) for r in D.token_rows(df, "k", "t", slice_bytes=2).collect()), key=repr)
+    assert got == [(1, "a", 0.6667), (1, "b", 0.3333), (None, "c", 0.6667), (None, "d", 0.3333)]
+    assert D.token_rows(df.limit(0), "k", "t").count() == 0
