@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 
 SLACK = 2e-6  # scores have six digits
+BROADCAST_DOCS = 500_000  # documents (a key each) that are sent to the tasks at most
 LIGHT = 0.3   # part of a query's k-th score that postings too light to be joined may add up to
 
 
@@ -70,7 +71,17 @@ def _token_rows(df: DataFrame, key: str, weights: str, alias: str, w: str) -> Da
 
 
 def _dots(pairs: DataFrame, q: DataFrame, postings: DataFrame) -> DataFrame:
-    """(q, d, score): full dot products of the given pairs."""
+    """(q, d, score): full dot products of the given pairs.
+
+    The pairs' documents are few as a rule: up to ``BROADCAST_DOCS`` of them are
+    sent to the postings, so that only theirs are shuffled; more are met by a shuffle.
+    """
+    from strata.session import materialize
+
+    pairs = materialize(pairs, "pairs")
+    docs = materialize(pairs.select("d").distinct(), "pair-documents")
+    few = docs.count() <= BROADCAST_DOCS
+    postings = postings.select("d", "t", "wd").join(F.broadcast(docs) if few else docs, "d", "left_semi")
     return (pairs.join(q, "q").join(postings, ["d", "t"]).groupBy("q", "d")
             .agg(F.round(F.sum(F.col("wq") * F.col("wd")), 6).alias("score")))
 
