@@ -34,7 +34,7 @@ def strip_markdown_q(spark, sf_dir):
 
 @query("normalize_text")
 def normalize_text(spark, sf_dir):
-    # Whole texts through NFKD/casefold (Arrow UDF) and native regex steps; golden cases in tests.
+    # Whole texts through native folding and regex steps; golden cases in tests.
     return T(spark, sf_dir, "documents").select("doc_id", X.normalize(F.col("text")).alias("norm"))
 
 

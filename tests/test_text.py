@@ -77,3 +77,14 @@ def test_html_becomes_markdown(spark):
     got = {r.i: r.m for r in rows.select("i", html_to_markdown(F.col("html")).alias("m")).collect()}
     assert got[1] == ("# One **two**\n\nSee [the page](b.html#1) & more  here.\n\nNew line\n\n- first\n\n- second <tag>\n\na  b")
     assert got[2] is None and got[3] == "" and got[4] == "plain, 1 < 2 and 3 > 2"
+
+
+def test_folding_takes_no_text_apart(spark):
+    multi = X._fold_table()[2]
+    text = "Straße ½ ﬁne word " * 2000 + "".join(multi)
+    df = spark.createDataFrame([(0, text), (1, "plain"), (2, None)], "i int, s string").select(
+        "i", X.normalize(F.col("s")).alias("n"))
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.i: r.n for r in df.collect()}
+    assert got == {0: words_of(text), 1: "plain", 2: None}
+    assert len(X._char_class(multi)) < len(multi) * 4  # neighbours are one range
