@@ -34,6 +34,8 @@ EMBEDDING_COLUMNS = ("text_embedding_dense", "text_embedding_sparse", "summary_e
 SUMMARY_CHARS = 200
 DENSE_DIM = 64
 TOKEN_RE = "[^a-z0-9]+"
+SLICE_BYTES = 1 << 20   # characters of text whose vectors a Python worker holds at a time
+MEMO_TOKENS = 200_000   # buckets of tokens that a task remembers; the memo is emptied beyond
 _TOKEN = re.compile("[a-z0-9]+")
 
 
@@ -117,14 +119,51 @@ def _sparse(counts: Counter) -> dict | None:
     return {w: np.float32(n / total) for w, n in counts.items()} or None
 
 
+def _slices(texts: pa.Array, slice_bytes: int) -> Iterator[list[Counter]]:
+    """Token counts of the texts, in slices that end with the text that brings them to ``slice_bytes``."""
+    held, size = [], 0
+    for text in texts:
+        text = text.as_py()
+        held.append(Counter(_words(text)))
+        size += len(text or "")
+        if size >= slice_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _dense_array(counts: list[Counter], dim: int, memo: dict[str, int]) -> pa.Array:
+    if len(memo) > MEMO_TOKENS:
+        memo.clear()
+    vectors = [_dense(c, dim, memo) for c in counts]
+    missing = np.array([v is None for v in vectors])
+    flat = np.concatenate([np.empty(0, np.float32), *[v for v in vectors if v is not None]])
+    return pa.ListArray.from_arrays(_offsets(np.where(missing, 0, dim)), pa.array(flat, pa.float32()), mask=pa.array(missing))
+
+
+def _sparse_array(counts: list[Counter]) -> pa.Array:
+    sizes = np.array([len(c) for c in counts])
+    weights = [np.fromiter(c.values(), dtype=np.float64, count=len(c)) / max(sum(c.values()), 1) for c in counts]
+    flat = np.concatenate([np.empty(0), *weights]).astype(np.float32)
+    return pa.MapArray.from_arrays(_offsets(sizes), pa.array([w for c in counts for w in c], pa.string()),
+                                   pa.array(flat), mask=pa.array(sizes == 0))
+
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+
+
 def dense_vector(text: Column, dim: int = DENSE_DIM) -> Column:
-    """Hashed bag-of-words vector of ``dim`` floats, L2-normalised, within the row (an Arrow batch at a
+    """Hashed bag-of-words vector of ``dim`` floats, L2-normalised, within the row (a slice of texts at a
     time).  A token's bucket is its md5's first 8 hex digits modulo ``dim``; NULL without tokens."""
-    def vectors(texts: pd.Series) -> pd.Series:
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict[str, int] = {}
-        return pd.Series([_dense(Counter(_words(t)), dim, memo) for t in texts])
+        for texts in batches:
+            for counts in _slices(texts, SLICE_BYTES):
+                yield _dense_array(counts, dim, memo)
 
-    return F.pandas_udf(vectors, "array<float>")(text)
+    return F.arrow_udf(vectors, "array<float>")(text)
 
 
 def _words(text: str | None) -> list[str]:
@@ -132,21 +171,23 @@ def _words(text: str | None) -> list[str]:
 
 
 def sparse_vector(text: Column) -> Column:
-    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``, within the row."""
-    def vectors(texts: pd.Series) -> pd.Series:
-        return pd.Series([_sparse(Counter(_words(t))) for t in texts])
+    """Token -> tf weight (count / tokens in the row) as ``map<string,float>``, within the row (a slice of texts at a time)."""
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield from map(_sparse_array, _slices(texts, SLICE_BYTES))
 
-    return F.pandas_udf(vectors, "map<string,float>")(text)
+    return F.arrow_udf(vectors, "map<string,float>")(text)
 
 
 def both_vectors(text: Column, dim: int = DENSE_DIM) -> Column:
     """E06 and E07 of one text in one pass: struct(dense, sparse)."""
-    def vectors(texts: pd.Series) -> pd.DataFrame:
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict[str, int] = {}
-        counts = [Counter(_words(t)) for t in texts]
-        return pd.DataFrame({"dense": [_dense(c, dim, memo) for c in counts], "sparse": [_sparse(c) for c in counts]}, dtype=object)
+        for texts in batches:
+            for counts in _slices(texts, SLICE_BYTES):
+                yield pa.StructArray.from_arrays([_dense_array(counts, dim, memo), _sparse_array(counts)], names=["dense", "sparse"])
 
-    return F.pandas_udf(vectors, "dense array<float>, sparse map<string,float>")(text)
+    return F.arrow_udf(vectors, "dense array<float>, sparse map<string,float>")(text)
 
 
 def token_weights(df: DataFrame, key: str, text: str, carry: Sequence[str] = ()) -> DataFrame:

@@ -84,3 +84,23 @@ def test_token_rows_within_the_row(spark):
     got = sorted(((r.k, r.token, round(r.weight, 4)) for r in D.token_rows(df, "k", "t", slice_bytes=2).collect()), key=repr)
     assert got == [(1, "a", 0.6667), (1, "b", 0.3333), (None, "c", 0.6667), (None, "d", 0.3333)]
     assert D.token_rows(df.limit(0), "k", "t").count() == 0
+
+
+def test_vectors_are_made_a_slice_of_texts_at_a_time(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    sizes = [len(x) for x in D._slices(pa.array(["a b c"] * 1000 + [None, ""]), 500)]
+    assert sum(sizes) == 1002 and max(sizes) == 100
+    long = "word " * (D.SLICE_BYTES // 4) + "other"  # longer than a slice
+    texts = ["B a b", None, "", "?!", long, "Ünï x1"] + [f"t{i} t{i} u" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    got = {r.i: r for r in df.select("i", D.sparse_vector(F.col("s")).alias("w"), D.dense_vector(F.col("s")).alias("v"),
+                                     D.both_vectors(F.col("s")).alias("b")).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        words = D._words(text)
+        weights = {w: float(np.float32(words.count(w) / len(words))) for w in set(words)} or None
+        assert got[i].w == weights and got[i].b.sparse == weights and got[i].b.dense == got[i].v
+        assert (got[i].v is None) == (not words)
+    assert abs(sum(x * x for x in got[0].v) - 1) < 1e-5 and len(got[0].v) == D.DENSE_DIM
