@@ -104,3 +104,16 @@ def test_vectors_are_made_a_slice_of_texts_at_a_time(spark):
         assert got[i].w == weights and got[i].b.sparse == weights and got[i].b.dense == got[i].v
         assert (got[i].v is None) == (not words)
     assert abs(sum(x * x for x in got[0].v) - 1) < 1e-5 and len(got[0].v) == D.DENSE_DIM
+
+
+def test_missing_vectors_of_very_different_texts(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 3 else "x y z " * (2000 if i % 50 == 0 else 1), [-1.0] if i % 8 == 0 else None)
+                                for i in range(400)], "doc_id long, text string, text_embedding_dense array<float>")
+    df = df.selectExpr("*", "cast(null as map<string,float>) text_embedding_sparse", "'a summary' summary",
+                       "cast(null as array<float>) summary_embedding_dense")
+    out = {r.doc_id: r for r in D.with_embeddings(df).collect()}
+    assert len(out) == 400
+    for i, r in out.items():
+        assert (r.text_embedding_dense == [-1.0]) == (i % 8 == 0)
+        assert (r.text_embedding_sparse is None) == (i % 7 == 3) and r.summary_embedding_dense is not None
+    assert max(len(x) for x in D._slices(df.select("text").toArrow().column(0).combine_chunks(), 60)) <= 60  # null texts weigh nothing
