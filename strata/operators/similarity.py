@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 SLACK = 2e-6  # scores have six digits
 BROADCAST_DOCS = 500_000  # documents (a key each) that are sent to the tasks at most
+BROADCAST_TOKENS = 500_000  # (query, token, tier) rows that are sent to the tasks at most
+TASK_POSTINGS = 1_000_000   # postings of a task that meets them
 LIGHT = 0.3   # part of a query's k-th score that postings too light to be joined may add up to
 
 
@@ -137,6 +139,8 @@ def sparse_candidates(q: DataFrame, postings: DataFrame, k: int) -> DataFrame:
     list; only those postings are joined.  A document that they reach is a candidate
     if their sum, with all that its lighter postings could add, comes to the bound.
     """
+    from strata.session import materialize
+
     tiered = postings.withColumn("tier", _tier(F.col("wd")))
     tiers = tiered.groupBy("t", "tier").agg(F.count(F.lit(1)).alias("n"), F.max("wd").alias("most"))
     lists = tiers.groupBy("t").agg(F.max("most").alias("most"), F.sum("n").alias("df"),
@@ -152,6 +156,11 @@ def sparse_candidates(q: DataFrame, postings: DataFrame, k: int) -> DataFrame:
                                                    "cut double, light double, all_light double")
     wanted = cuts.where(F.col("most") >= F.col("cut")).withColumn("tier", F.explode(F.sequence(
         _tier(F.col("most")) - 1, _tier(F.col("cut")) + 1)))
+    # Up to a bound the queries' tokens are sent to the postings, which are dealt by document to tasks of bounded
+    # size: no list of a frequent token is one task's, and a document's pairs meet where its postings are.
+    wanted = materialize(wanted, "wanted")
+    if wanted.count() <= BROADCAST_TOKENS:
+        wanted, tiered = F.broadcast(wanted), tiered.repartition(-(-postings.count() // TASK_POSTINGS) + 1, "d")
     met = wanted.join(tiered, ["t", "tier"]).where(F.col("wd") >= F.col("cut"))
     reach = met.groupBy("q", "d").agg(F.sum(F.col("wq") * F.col("wd") - F.col("light")).alias("more"),
                                       F.max("all_light").alias("all_light"), F.max("least").alias("least"))

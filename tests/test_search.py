@@ -104,3 +104,22 @@ def test_dense_odd_vectors(spark):
     assert [tuple(r) for r in got.collect()] == [(1, 1, 1.0, 1)]
     assert VS.dense_query_topk(q, "q", d.limit(0), "d", "v").count() == 0
     assert VS.dense_query_topk(q.limit(0), "q", d, "d", "v").count() == 0
+
+
+def test_postings_meet_the_queries_in_tasks_of_bounded_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from strata.operators import similarity as SIM
+
+    rows = [(d, f"t{t}", 1.0 / (1 + (d * 7 + t * 3) % 11)) for d in range(60) for t in range(12) if (d + t) % 3]
+    postings = spark.createDataFrame(rows, "d long, t string, wd double")
+    q = spark.createDataFrame([(i, f"t{t}", 0.5 + i) for i in range(3) for t in range(i, 12, 2)], "q long, t string, wq double")
+    monkeypatch.setattr(SIM, "TASK_POSTINGS", 100, raising=False)
+    pairs = SIM.sparse_candidates(q, postings, 3)
+    assert "REPARTITION_BY_NUM" in pairs._jdf.queryExecution().executedPlan().toString()
+    best = {}
+    for r in q.join(postings, "t").groupBy("q", "d").agg(F.round(F.sum(F.col("wq") * F.col("wd")), 6).alias("s")).collect():
+        best.setdefault(r.q, []).append((-r.s, r.d))
+    few = {(r.q, r.d) for r in pairs.collect()}
+    monkeypatch.setattr(SIM, "BROADCAST_TOKENS", 0, raising=False)
+    many = {(r.q, r.d) for r in SIM.sparse_candidates(q, postings, 3).collect()}
+    assert few == many and {(i, d) for i, s in best.items() for _, d in sorted(s)[:3]} <= few
