@@ -15,8 +15,13 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 
 MEMO_LIMIT = 200_000  # words remembered per Python worker (some 25 MB); the memo is emptied beyond it
+LONG_WORD = 256       # bytes; longer words are hashed one by one
 ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = bytes(int(i in b"\t\n\v\f\r ") for i in range(256))
+_BYTES = np.array([xxhash.xxh3_64_intdigest(bytes([i])) for i in range(256)], dtype=np.uint64)
 
 
 class _Memo(dict):
@@ -35,6 +40,50 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter([memo[w] for w in words], dtype=np.uint64, count=len(words))
 
 
+def _powers(base: int, count: int) -> np.ndarray:
+    """1, ``base``, ``base`` ** 2, ... modulo 2 ** 64."""
+    out = np.full(count, base, dtype=np.uint64)
+    if count:
+        out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWERS = {b: _powers(b, 1 << 18) for b in (_BASE, _INVERSE)}
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    known = _POWERS[base]
+    return known[:count] if count <= len(known) else _powers(base, count)
+
+
+def sums_from(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, scale): ``(sums[b] - sums[a]) * scale[a]`` tells ``values[a:b]`` apart, wherever it stands."""
+    n = len(values)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * powers(_BASE, n), dtype=np.uint64, out=sums[1:])
+    return sums, powers(_INVERSE, n)
+
+
+def flat_word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and how many words each text has.
+
+    The words are cut and hashed by numpy; other hashes than those of ``word_hashes``.
+    """
+    joined = b" ".join(raws)
+    space = np.frombuffer(b"\1" + joined.translate(_SPACE) + b"\1", dtype=np.uint8)
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums, scale = sums_from(_BYTES[np.frombuffer(joined, dtype=np.uint8)])
+    out = (sums[ends] - sums[starts]) * scale[starts]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(29)
+    for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(joined[starts[k]:ends[k]])
+    sizes = np.array([len(r) + 1 for r in raws], dtype=np.int64)
+    return out, np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])))
+
+
 def forget() -> None:
     """Empty the memo: for a task that needs the memory for something else."""
     _MEMO.clear()

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import pii_bootstrap, prefix_trie_join, quality_rules, string_tiling, suffix_dedup
+from strata.llm.words import flat_word_hashes
 from tests.llm.cases import LOWER, empty, hostile, prose, rows_of, words
 
 SMALL = "/root/testdata/sf0.001/documents.parquet"
@@ -203,6 +204,53 @@ def test_repeats_of_overlapping_passages(spark):
     assert all(hashlib.sha256(x.kept).hexdigest() == x.kept_sha256 for x in got.collect())
 
 
+def near_copies(n, changes, length=200, seed=5):
+    """Copies of a text, each with words of its own at some places, and some whole copies of copies."""
+    r, base, rows = random.Random(seed), prose(seed, length).split(), []
+    for i in range(n):
+        text = list(base)
+        for _ in range(r.randrange(changes + 1)):
+            text[r.randrange(length)] = f"own{i}x{r.randrange(3)}"
+        rows += [" ".join(text)] * (2 if i % 10 == 0 else 1)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("changes", [1, 12])
+def test_repeats_of_many_near_copies(spark, changes):
+    rows = near_copies(120, changes) + [(1000 + i, t) for i, t in near_copies(40, changes, length=60, seed=6)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), group_runs=3)
+    expected = repeats_cut([t for _, t in rows])
+    assert rows_of(got) == sorted([(i, *e) for (i, _), e in zip(rows, expected, strict=True)], key=repr)
+
+
+def test_a_large_group_is_cut_by_parts_not_by_windows(spark, monkeypatch):
+    docs = spark.createDataFrame(near_copies(300, 1), "doc_id long, text string")
+    written, write = {}, suffix_dedup.materialize
+
+    def noted(df, name):
+        written.setdefault(name, []).append(write(df, name))
+        return written[name][-1]
+
+    monkeypatch.setattr(suffix_dedup, "materialize", noted)
+    suffix_dedup.remove_repeats(docs, group_runs=20)
+    runs = written["open-runs"][0].join(written["large-prefixes"][0], F.col("prefix") == F.col("p"), "left_semi").count()
+    assert runs > 200 and len(written["run-parts"]) == 3
+    assert max(x.count() for x in written["run-parts"]) <= 5 * runs  # up to 28 windows in each
+
+
+def test_flat_word_hashes_tell_words_apart():
+    r = random.Random(1)
+    spaces = [b" ", b"  ", b"\n", b"\t\x0b\x0c\r", b" \n "]
+    texts = [b"", b" ", b"a", b" a b ", b"\x1c\x85 \x00 \x00\x00", b"x" * 3000 + b" " + b"x" * 3001]
+    texts += [b"".join(r.choice([b"a", b"b", b"ab", b"\xc3\xa9", b"ba", b"y" * 300]) + r.choice(spaces) for _ in range(400)) for _ in range(30)]
+    hashes, counts = flat_word_hashes(texts)
+    split = [t.split() for t in texts]
+    assert counts.tolist() == list(map(len, split))
+    found = dict(zip((w for ws in split for w in ws), hashes.tolist(), strict=False))
+    assert [found[w] for ws in split for w in ws] == hashes.tolist() and len(set(found.values())) == len(found)
+    assert [len(x) for x in flat_word_hashes([])] == [0, 0]
+
+
 def test_deep_nodes_are_maximal_repeats():
     def coded(*xs):
         return b"".join(x.to_bytes(8, "big") for x in xs)
