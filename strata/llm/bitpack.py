@@ -30,6 +30,7 @@ from strata.llm import words
 from strata.llm.encoder import encoder
 
 BLOCK_IDS = 1 << 16  # a block is closed once it holds so many ids
+SLICE_BYTES = 1 << 20  # of texts that are encoded at a time
 BLOCK_SCHEMA = ("shard int, block int, start long, n_ids long, width int, payload binary, "
                 "doc_ids array<long>, offsets array<long>, lengths array<long>")
 BLOCK_FIELDS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()),
@@ -84,9 +85,10 @@ def write_packed(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                     strict=True)], schema=BLOCK_FIELDS)
 
         try:
-            for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    held.append(np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)))
+            for batch in words.slices(batches, "text", SLICE_BYTES):
+                coded = enc.encode_many([text or "" for text in batch.column(1).to_pylist()])
+                for key, found in zip(batch.column(0).to_pylist(), coded, strict=True):
+                    held.append(np.append(found, np.uint32(end_id)))
                     ids.append(key)
                     at += len(held[-1])
                     if at >= block_ids:

@@ -64,6 +64,11 @@ def sums_from(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, powers(_INVERSE, n)
 
 
+def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``sums_from`` for bytes."""
+    return sums_from(_BYTES[data])
+
+
 def flat_word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in a row, and how many words each text has.
 
@@ -73,7 +78,7 @@ def flat_word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = np.frombuffer(b"\1" + joined.translate(_SPACE) + b"\1", dtype=np.uint8)
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[::2], edges[1::2]
-    sums, scale = sums_from(_BYTES[np.frombuffer(joined, dtype=np.uint8)])
+    sums, scale = byte_sums(np.frombuffer(joined, dtype=np.uint8))
     out = (sums[ends] - sums[starts]) * scale[starts]
     out ^= out >> np.uint64(32)
     out *= np.uint64(0xBF58476D1CE4E5B9)

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strata.llm import bitpack, length_histogram
+from strata.llm import bitpack, encoder, length_histogram
 from strata.llm.encoder import Encoder
 from strata.session import scratch_path
 from tests.llm.cases import empty, hostile
@@ -29,6 +29,38 @@ def test_pieces_give_the_ids_of_the_whole_text(texts):
     assert [ENCODER.encode(t).tolist() for t in texts] == [plain(t) for t in texts]
 
 
+_SNIPPETS = [*" \n'sabcé09.,!", "  ", "\n\n", " \n", "\n ", "'s", "'re", "'ve", "'ll", "'m", "'t", "'d", "''", " '", "don't", "×", "\t", "<|endoftext|>"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_SNIPPETS), max_size=25).map("".join), max_size=12))
+def test_many_texts_give_the_ids_of_each(texts):
+    assert [x.tolist() for x in ENCODER.encode_many(texts)] == [plain(t) for t in texts]
+
+
+def test_many_texts_in_slices(monkeypatch):
+    monkeypatch.setattr(encoder, "SLICE_CHARS", 30)
+    texts = ["It's a 'quoted' word", "", "x" * 100, "ends ", " begins", "\n", "naïve café", "日本 語", "a\n\n  b"] * 5
+    assert [x.tolist() for x in ENCODER.encode_many(texts)] == [plain(t) for t in texts]
+    assert ENCODER.encode_many([]) == []
+
+
+def test_pretokens_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(encoder, "byte_sums", lambda data: (np.zeros(len(data) + 1, np.uint64), np.ones(len(data), np.uint64)))
+    texts = ["aa bb cc", "dd ee"]  # all hashes are 0
+    assert [x.tolist() for x in ENCODER.encode_many(texts)] == [plain(t) for t in texts]
+
+
+def test_texts_are_encoded_many_at_a_time():
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "aeiou" for c in ["", "st", "nd", "rk"]]
+    texts = [" ".join(words[(i * k) % len(words)] for k in range(1, 200)) for i in range(1, 400)]
+    calls, enc = [], Encoder(PATH)
+    enc.encode = lambda t: calls.append(t) or Encoder.encode(enc, t)
+    assert [x.tolist() for x in enc.encode_many(texts)] == [plain(t) for t in texts]
+    assert not calls and not enc.pieces  # plain texts are not taken apart one by one
+    assert len(enc.pretokens) <= 2 * len(words)
+
+
 def test_other_tokenizers_are_encoded_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     enc = Encoder(path)
