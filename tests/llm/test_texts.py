@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,9 +13,11 @@ from pyspark.sql import functions as F
 
 from strata.llm import pii_bootstrap, prefix_trie_join, quality_rules, string_tiling, suffix_dedup
 from strata.llm.words import flat_word_hashes
+from strata.session import materialize
 from tests.llm.cases import LOWER, empty, hostile, prose, rows_of, words
 
 SMALL = "/root/testdata/sf0.001/documents.parquet"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @pytest.fixture(scope="module", params=["hostile", "sf0.001", "empty"])
@@ -238,6 +242,31 @@ def test_a_large_group_is_cut_by_parts_not_by_windows(spark, monkeypatch):
     assert max(x.count() for x in written["run-parts"]) <= 5 * runs  # up to 28 windows in each
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for f in Path(d.getPath()).rglob("shuffle_*")}
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    docs = spark.createDataFrame(near_copies(100, 1), "doc_id long, text string")
+    setting, before = spark.conf.get(SHUFFLE_CLEANUP), shuffle_files(spark)
+    got = suffix_dedup.remove_repeats(docs, group_runs=20)
+    until = time.time() + 20  # executors delete them shortly after each write
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting  # the session's own setting is back
+    assert got.count() == docs.count()
+
+
+def test_the_session_keeps_its_own_cleanup_setting(spark):
+    for own in ("false", "true"):
+        spark.conf.set(SHUFFLE_CLEANUP, own)
+        materialize(spark.range(3), "three")
+        assert spark.conf.get(SHUFFLE_CLEANUP) == own
+    spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def test_flat_word_hashes_tell_words_apart():
     r = random.Random(1)
     spaces = [b" ", b"  ", b"\n", b"\t\x0b\x0c\r", b" \n "]
