@@ -351,6 +351,37 @@ def test_near_duplicates_in_chains_blocks_and_hot_ngrams(spark, monkeypatch, blo
     assert rows_of(prefix_trie_join.near_duplicates(docs, block=block)) == expected_components(docs)
 
 
+def test_shingle_sets_of_many_texts_at_once(docs):
+    texts = [r.text for r in docs.collect()] + ["a b", "A\tB", "b a", "a b c d e", "y" * 300 + " z", "a b a b a b a b"]
+    raws = [None if t is None else t.encode() for t in texts]
+    flat, sizes = prefix_trie_join.shingle_sets(raws)
+    sets = [s.tolist() for s in np.split(flat, np.cumsum(sizes)[:-1])]
+    expected = [shingles(t) for t in texts]
+    assert sizes.tolist() == [len(s) for s in expected] and all(s == sorted(set(s)) for s in sets)
+    for x, a in zip(expected, sets, strict=True):
+        assert [len(x & y) for y in expected] == [len(set(a) & set(b)) for b in sets]
+    assert [a for part in prefix_trie_join.sliced(raws) for a in prefix_trie_join.shingle_sets(raws[part])[0].tolist()] == flat.tolist()
+    empty_sets, none = prefix_trie_join.shingle_sets([])
+    assert len(empty_sets) == len(none) == 0
+
+
+@pytest.mark.parametrize("most", [3, 1 << 50])
+def test_sets_in_a_row_come_in_order(most):
+    r = np.random.default_rng(3)
+    sketch = r.integers(0, most, 1 << prefix_trie_join.SKETCH_BITS)
+    sets = [np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (0, 5, 1, 0, 20_000, 300)]
+    sizes = np.array([len(s) for s in sets])
+    shift = np.uint64(64 - prefix_trie_join.SKETCH_BITS)
+    expected = [x for s in sets for x in sorted(s.tolist(), key=lambda v: (sketch[v >> int(shift)], v))]
+    assert prefix_trie_join.in_order(np.concatenate(sets), sizes, sketch).tolist() == expected
+
+
+def test_groups_are_settled_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie_join, "SLICE", 1)
+    docs = chains(spark)
+    assert rows_of(prefix_trie_join.near_duplicates(docs)) == expected_components(docs)
+
+
 def test_trie_links_connect_all_links():
     r = random.Random(1)
     for _ in range(60):
