@@ -143,11 +143,9 @@ def document_rows(files: DataFrame, ingested_at: Column) -> DataFrame:
 
 def book_rows(books: DataFrame, chapters: DataFrame, ingested_at: Column) -> DataFrame:
     """One row per chapter in the fixed chapter layout (chapter id = sha1(hash:number))."""
-    meta = file_metadata(F.col("text"), F.col("filename"))
-    b = books.select("doc_id", "file_hash", "filename", meta.alias("m"), F.col("strategy").alias("split_strategy"))
-    c = chapters.select("doc_id", F.col("number").cast("int").alias("chapter_number"),
-                        F.col("name").alias("chapter_name"), F.col("part").alias("part_name"), "text")
-    j = c.join(b, "doc_id")
+    c = chapters.select("doc_id", F.col("number").cast("int").alias("chapter_number"), F.col("name").alias("chapter_name"),
+                        F.col("part").alias("part_name"), "text", F.col("strategy").alias("split_strategy"))
+    j = c.join(books.select("doc_id", "file_hash", "filename", "m"), "doc_id")
     return j.select(chapter_id(F.col("file_hash"), F.col("chapter_number")).alias("chapter_id"), "file_hash",
                     "filename", F.col("m.title").alias("title"), F.col("m.author").alias("author"),
                     F.col("m.publication_date").alias("publication_date"), "part_name", "chapter_number",
@@ -155,12 +153,13 @@ def book_rows(books: DataFrame, chapters: DataFrame, ingested_at: Column) -> Dat
 
 
 def book_chapters(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(files with their strategy, chapters): books are split after their header block."""
+    """(files with their metadata ``m``, without texts; chapters): books are split after their header block."""
     from strata.operators.splitting import split_cascade
 
-    chapters = materialize(split_cascade(files.select("doc_id", MD.strip_header(F.col("text")).alias("text"))), "chapters")
-    strategy = chapters.groupBy("doc_id").agg(F.first("strategy").alias("strategy"))
-    return files.join(strategy, "doc_id"), chapters
+    meta = file_metadata(F.col("text"), F.col("filename"))
+    # Written, so the texts are not shuffled once more to meet their chapters.
+    books = materialize(files.select("doc_id", "file_hash", "filename", meta.alias("m")), "books")
+    return books, split_cascade(files.select("doc_id", MD.strip_header(F.col("text")).alias("text")))
 
 
 LAYOUTS = {"documents": (DOCUMENT_SCHEMA, "document_id"), "books": (CHAPTER_SCHEMA, "chapter_id")}

@@ -137,7 +137,14 @@ def f5_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.operators.relational import position_within
 
     d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    p = position_within(d, ["source"], "doc_id")
+    keys = d.select("doc_id", "source")
+    if keys.groupBy("doc_id", "source").count().where("count > 1").isEmpty():
+        # Only the keys are numbered and written; each text finds its own again.
+        place = position_within(keys, ["source"], "doc_id").select(
+            F.col("doc_id").alias("place_id"), F.col("source").alias("place_source"), "pos", "pos_count")
+        p = d.join(place, F.col("doc_id").eqNullSafe(F.col("place_id")) & F.col("source").eqNullSafe(F.col("place_source")))
+    else:
+        p = position_within(d, ["source"], "doc_id")
     books = F.greatest(F.floor(F.col("pos_count") / BOOK_SIZE), F.lit(1))
     book_no = F.least(F.floor(F.col("pos") / BOOK_SIZE), books - 1)
     src_num = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).cast("int"), F.lit(0))

@@ -107,7 +107,16 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     with shuffles_dropped(spark):
         df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.scratch_folder = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete the files of a table of ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df, *keys: str):
